@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: White space as the contracts define it, for SQL regular expressions.
 SPACE = r"[\x20\x09-\x0D]"
@@ -36,14 +38,42 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: computed once, without lineage, and safe when executors are lost."""
+#: Rows in a file of a table of a few numbers a row.
+ROWS_PER_FILE = 500_000
+
+
+def settle(df: DataFrame, name: str, slim: bool = False) -> DataFrame:
+    """Write df to the shared folder and read it back: computed once, without lineage, and safe when executors are lost.
+
+    slim: rows of a few numbers, written to as few files as they need.
+    """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    if slim:
+        held = keep(df)
+        held.coalesce(1 + held.count() // ROWS_PER_FILE).write.parquet(path)
+        held.unpersist()
+    else:
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Have df computed once, in memory or on the executors' disks; what a lost executor held is computed again from its lineage.
+
+    For tables that a few later steps read. Loops cut their lineage with settle().
+    """
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def few(df: DataFrame, most: int) -> DataFrame:
+    """A table of a row per group, computed once: up to so many rows as a broadcast table, more as a table in the shared folder."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) <= most:
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return settle(df, "groups")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finloom.llm.common import settle
+from finloom.llm.common import few
 
 #: Up to this many sources the table of distributions is broadcast; beyond it the join shuffles.
 BROADCAST_SOURCES = 2_000
@@ -56,8 +56,8 @@ def distributions(source_rates: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, temperature: float = 0.5, epochs: float = 1.0, seed: int = 17) -> DataFrame:
     """The columns of docs with copy_no (1, 2, ...) and shuffle_key, in random order by shuffle_key within random partitions."""
-    table = settle(distributions(rates(docs, weights, temperature, epochs)), "mix-rates").withColumnRenamed("source", "_mix_source").withColumnRenamed("cdf", "_mix_cdf")
-    table = F.broadcast(table) if table.count() <= BROADCAST_SOURCES else table
+    table = distributions(rates(docs, weights, temperature, epochs)).select(F.col("source").alias("_mix_source"), F.col("cdf").alias("_mix_cdf"))
+    table = few(table, BROADCAST_SOURCES)
     draw = uniform(seed, F.col("doc_id"))
     drawn = docs.withColumn("_mix_u", draw).join(table, F.col("source").eqNullSafe(F.col("_mix_source")))
     u = F.col("_mix_u")

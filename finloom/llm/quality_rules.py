@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from finloom.llm.common import settle, small_batches
+from finloom.llm.common import few, keep, small_batches
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -34,7 +34,7 @@ STEPS = 4
 TAIL = 1e-6
 #: Standard deviations that each statistic has at least; those of repetition are wide, as clean texts repeat a line now and then.
 FLOORS = (0.3, 0.5, 0.9, 0.8, 0.5, 0.6)
-#: Up to this many groups their estimates are broadcast.
+#: Up to this many groups their estimates (27 numbers each) are broadcast; of more, joined by a shuffle.
 BROADCAST_GROUPS = 20_000
 P = len(FLOORS)
 
@@ -132,29 +132,22 @@ def _estimates(moments: DataFrame, factor: float) -> DataFrame:
     return moments.select("_qr_lang", "_qr_source", invert("n", "s", "q").alias("e")).select("_qr_lang", "_qr_source", F.col("e.m").alias("_qr_m"), F.col("e.inv").alias("_qr_inv"))
 
 
-def _per_group(df: DataFrame, few: DataFrame, wide: bool) -> DataFrame:
-    """Join a table of one row per group: broadcast if there are not too many groups."""
-    return df.join(few if wide else F.broadcast(few), ["_qr_lang", "_qr_source"])
-
-
 def _moments(rows: DataFrame) -> DataFrame:
     s = F.array(*[F.sum(x) for x in X])
     q = F.array(*[F.sum(F.col(X[min(i, j)]) * F.col(X[max(i, j)])) for i in range(P) for j in range(P)])
     return rows.groupBy("_qr_lang", "_qr_source").agg(F.count("*").alias("n"), s.alias("s"), q.alias("q"))
 
 
-def _pooled(rows: DataFrame) -> tuple[DataFrame, bool]:
-    """rows with the group that judges them; whether there are too many groups to broadcast."""
+def _pooled(rows: DataFrame) -> DataFrame:
+    """rows with the group that judges them."""
     lang, source = F.concat(F.lit("="), F.coalesce("lang", F.lit("\0"))), F.concat(F.lit("="), F.coalesce("source", F.lit("\0")))
     rows = rows.withColumns({"_qr_lang": lang, "_qr_source": source})
-    wide = False
     for drop in (["_qr_source"], ["_qr_lang", "_qr_source"]):
-        sizes = settle(rows.where("not base_failed").groupBy("_qr_lang", "_qr_source").agg(F.count("*").alias("_qr_n")), "group-sizes")
-        wide = wide or sizes.count() > BROADCAST_GROUPS
-        rows = rows.join(sizes if wide else F.broadcast(sizes), ["_qr_lang", "_qr_source"], "left")
+        sizes = few(rows.where("not base_failed").groupBy("_qr_lang", "_qr_source").agg(F.count("*").alias("_qr_n")), BROADCAST_GROUPS)
+        rows = rows.join(sizes, ["_qr_lang", "_qr_source"], "left")
         small = F.coalesce("_qr_n", F.lit(0)) < MIN_GROUP
         rows = rows.withColumns({c: F.when(small, F.lit("")).otherwise(F.col(c)) for c in drop}).drop("_qr_n")
-    return rows, wide
+    return rows
 
 
 def judged(docs: DataFrame, text: str = "text", tail: float = TAIL) -> DataFrame:
@@ -164,9 +157,8 @@ def judged(docs: DataFrame, text: str = "text", tail: float = TAIL) -> DataFrame
     # Under one struct, so that columns of docs may bear any name.
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_qr_row"), "lang", "source", arrow_udf(statistics, STATISTICS)(F.col(text)).alias("_qr_s")).select("_qr_row", "lang", "source", "_qr_s.*")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    rows = settle(rows.withColumn("base_failed", failed).withColumns(_vector()), "statistics")
-    rows, wide = _pooled(rows)
-    rows = settle(rows, "grouped")
+    rows = keep(rows.withColumn("base_failed", failed).withColumns(_vector()))
+    rows = _pooled(rows)
     fit = rows.where("not base_failed").select("_qr_lang", "_qr_source", *X)
 
     # Start: medians and quartile ranges, no correlation.
@@ -174,16 +166,16 @@ def judged(docs: DataFrame, text: str = "text", tail: float = TAIL) -> DataFrame
     start = fit.groupBy("_qr_lang", "_qr_source").agg(F.count("*").alias("_qr_n"), q.alias("q")).where(F.col("_qr_n") >= MIN_GROUP)
     spread = [F.pow((F.col("q")[i][2] - F.col("q")[i][0]) / 1.349, 2) + FLOORS[i] ** 2 for i in range(P)]
     inverse = F.array(*[F.lit(1.0) / spread[i] if i == j else F.lit(0.0) for i in range(P) for j in range(P)])
-    params = settle(start.select("_qr_lang", "_qr_source", F.array(*[F.col("q")[i][1] for i in range(P)]).alias("_qr_m"), inverse.alias("_qr_inv")), "start")
+    params = few(start.select("_qr_lang", "_qr_source", F.array(*[F.col("q")[i][1] for i in range(P)]).alias("_qr_m"), inverse.alias("_qr_inv")), BROADCAST_GROUPS)
     for _ in range(STEPS):
-        measured = _per_group(fit, params, wide).withColumn("_qr_d", _distance())
-        cut = settle(measured.groupBy("_qr_lang", "_qr_source").agg(F.percentile_approx("_qr_d", SUBSET, 1000).alias("_qr_cut")), "cut")
-        near = _per_group(measured, cut, wide).where("_qr_d <= _qr_cut")
-        params = settle(_estimates(_moments(near), _consistency(SUBSET)), "estimates")
-    inner = _per_group(fit, params, wide).where(_distance() <= chi2_quantile(0.025, P))
-    params = settle(_estimates(_moments(inner), _consistency(0.975)), "estimates")
-
-    out = rows.join(params if wide else F.broadcast(params), ["_qr_lang", "_qr_source"], "left").withColumn("distance", _distance())
+        measured = fit.join(params, ["_qr_lang", "_qr_source"]).withColumn("_qr_d", _distance())
+        cut = few(measured.groupBy("_qr_lang", "_qr_source").agg(F.percentile_approx("_qr_d", SUBSET, 1000).alias("_qr_cut")), BROADCAST_GROUPS)
+        near = measured.join(cut, ["_qr_lang", "_qr_source"]).where("_qr_d <= _qr_cut")
+        params = few(_estimates(_moments(near), _consistency(SUBSET)), BROADCAST_GROUPS)
+    inner = fit.join(params, ["_qr_lang", "_qr_source"]).where(_distance() <= chi2_quantile(0.025, P))
+    params = few(_estimates(_moments(inner), _consistency(0.975)), BROADCAST_GROUPS)
+
+    out = rows.join(params, ["_qr_lang", "_qr_source"], "left").withColumn("distance", _distance())
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= chi2_quantile(tail, P))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     return out.select("_qr_row", *counts, "distance", kept.alias("kept"))
