@@ -8,8 +8,8 @@ all 64 bands with probability 8e-6, one of 0.3 meets in 0.4 % of cases.
 Links: documents with the same set are one class and only its representative goes on. In each bucket of a band the member that
 shares most buckets with others is the centre, and each class is first compared with the best centre it meets, so a group of
 thousands of near copies costs a comparison each. Connected classes are then joined; where a bucket still holds several components,
-all pairs across them are compared. No pair within a component needs comparing, as it can't change the result. A comparison is:
-sizes that allow the similarity; the collision-corrected Jaccard estimate, with six standard errors of leeway; then the full sets.
+all pairs across them are compared by their registers, in blocks. No pair within a component needs comparing, as it can't change the result. A comparison is:
+sizes that allow the similarity; the collision-corrected Jaccard estimate, with five standard errors of leeway; then the full sets.
 
 Defined results: a null or empty text has no set and is linked with nothing; a text of fewer words than a shingle is one shingle;
 rows that repeat a doc_id are the same document and must carry the same text; a null doc_id gets its group's component but is never
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from finloom.llm.common import settle, small_batches
+from finloom.llm.common import keep, settle, small_batches
 
 BUCKET_BITS, MANTISSA_BITS, BAND_ROWS = 9, 10, 8
 BUCKETS = 1 << BUCKET_BITS
@@ -40,6 +40,8 @@ SALTS = 32
 #: Up to this many candidate ids (8 bytes each) are broadcast to choose texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 MAX_WORDS = 300_000
+CUT_ROUNDS = 3
+CELL = 512
 
 _PROBES = np.random.default_rng(20240).integers(0, BUCKETS, (128, BUCKETS))
 #: For sets so small that no probe hits: the filled bucket with the smallest number in the empty one's column.
@@ -151,38 +153,93 @@ def _comparer(width: int, percent: int):
     return compare
 
 
+def _cell_comparer(percent: int):
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows come sorted by (cell, role): few rows of role 0 are held, and each row of role 1 is compared with them."""
+        cell, held, arrays = None, [], None
+        for batch in batches:
+            found = []
+            for key, across, down, role, rep, n, component, regs in batch.itertuples(index=False):
+                if cell != (key, across, down):
+                    cell, held, arrays = (key, across, down), [], None
+                if role == 0:
+                    held.append((rep, n, component, regs))
+                elif held:
+                    if arrays is None:
+                        r, m, c, x = zip(*held)
+                        arrays = np.array(r), np.array(m, float), np.array(c), np.frombuffer(b"".join(x), np.uint16).reshape(-1, BUCKETS)
+                    r, m, c, x = arrays
+                    able = np.flatnonzero((c != component) & (100 * np.minimum(m, n) >= percent * np.maximum(m, n)))
+                    chance = CHANCE * 4 * n * m[able] / (n + m[able]) ** 2
+                    same = x[able] == np.frombuffer(regs, np.uint16)
+                    near = (same.mean(axis=1) - chance) / (1 - chance) >= percent / 100 - leeway(percent)
+                    near &= same.reshape(len(able), BANDS, BAND_ROWS).all(axis=2).argmax(axis=1) == key % BANDS  # once: in the first band they share
+                    found += [(min(rep, o), max(rep, o)) for o in r[able[near]].tolist()]
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return compare
+
+
+def _across(left: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of the members of a bucket (key, rep, n, component) that lie in different components and may be similar.
+
+    In each bucket all members pass by those outside its largest component. Both sides are dealt to a grid of cells of about
+    CELL by CELL members, and only pairs whose estimate is high enough leave a cell.
+    """
+    parts = left.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("m"))
+    grid = parts.select("key", F.col("top.component").alias("largest"), F.ceil(F.col("m") / CELL).cast("int").alias("wide"), F.ceil((F.col("m") - F.col("top.c")) / CELL).cast("int").alias("high"))
+    rows = left.join(grid, "key")
+    deal = lambda size: F.pmod(F.xxhash64("rep"), F.col(size)).cast("int")
+    every = lambda size: F.explode(F.sequence(F.lit(0), F.col(size) - 1))
+    passing = rows.select("key", deal("wide").alias("across"), every("high").alias("down"), F.lit(1).alias("role"), "rep", "n", "component")
+    held = rows.where("component <> largest").select("key", every("wide").alias("across"), deal("high").alias("down"), F.lit(0).alias("role"), "rep", "n", "component")
+    small_batches(left.sparkSession)
+    cells = passing.unionByName(held).join(reps.select("rep", "registers"), "rep").select("key", "across", "down", "role", "rep", "n", "component", "registers")
+    cells = cells.repartition("key", "across", "down").sortWithinPartitions("key", "across", "down", "role")
+    return cells.mapInPandas(_cell_comparer(percent), "a long, b long")
+
+
+def leeway(percent: int) -> float:
+    """Five standard errors of the estimate at the threshold: a pair that is similar fails with probability 3e-7."""
+    return 5 * (percent / 100 * (1 - percent / 100) / BUCKETS) ** 0.5
+
+
 def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) of representatives that are similar enough. a is the one with many partners."""
     spark = docs.sparkSession
     side = lambda c: reps.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("registers").alias(f"r_{c}"))
-    leeway = 6 * (percent / 100 * (1 - percent / 100) / BUCKETS) ** 0.5
     near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", arrow_udf(estimated, "double")("r_a", "r_b", "n_a", "n_b").alias("e"))
-    near = settle(near.where(F.col("e") >= percent / 100 - leeway).select("a", "b"), "near-pairs")
+    near = keep(near.where(F.col("e") >= percent / 100 - leeway(percent)).select("a", "b"))
     dealt = near.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
     roles = dealt.select("a", "salt", F.col("a").alias("id"), F.lit(0).alias("role")).distinct().unionByName(dealt.select("a", "salt", F.col("b").alias("id"), F.lit(1).alias("role")))
-    ids = settle(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-ids")
+    ids = keep(near.select(F.col("a").alias("id")).union(near.select("b")).distinct())
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     texts = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text")).join(wanted, "id", "left_semi")
     texts = texts.groupBy("id").agg(F.max("text").alias("text"))
     small_batches(spark)
     rows = roles.join(texts, "id").select("a", "salt", "role", "id", "text").repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
-    return settle(rows.mapInPandas(_comparer(width, percent), "a long, b long"), "links")
+    links = settle(rows.mapInPandas(_comparer(width, percent), "a long, b long"), "links", slim=True)
+    near.unpersist()
+    ids.unpersist()
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
     """node, component: the smallest node reachable, for all nodes of the links (a, b).
 
-    Each round takes the smallest label among the neighbours and then that label's own label; a round is a table, so nothing
-    but a count of changes reaches the driver, and the lineage stays short.
+    Each round takes the smallest label among the neighbours and then that label's own label. Nothing but whether a label changed
+    reaches the driver; every CUT_ROUNDS rounds the labels are written to the shared folder, so the lineage stays short.
     """
-    both = settle(links.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(links.select(F.col("b").alias("x"), F.col("a").alias("y"))).distinct(), "cc-edges")
-    labels = settle(both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("label")).select(F.col("x").alias("node"), "label"), "cc-labels")
+    both = keep(links.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(links.select(F.col("b").alias("x"), F.col("a").alias("y"))).distinct())
+    labels = keep(both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("label")).select(F.col("x").alias("node"), "label"))
+    rounds = 0
     while True:
         around = both.join(labels, both.y == labels.node).groupBy("x").agg(F.min("label").alias("near"))
         lower = labels.join(around, labels.node == around.x).select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         ends = labels.select(F.col("node").alias("end"), F.col("label").alias("end_label"))
         jumped = lower.join(ends, lower.label == ends.end).select("node", "was", F.least("label", "end_label").alias("label"))
-        jumped = settle(jumped, "cc-labels")
+        rounds += 1
+        jumped = keep(jumped) if rounds % CUT_ROUNDS else settle(jumped, "labels", slim=True)
         changed = jumped.where("was <> label").limit(1).count()
         labels = jumped.select("node", "label")
         if not changed:
@@ -192,35 +249,36 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id, kept. Linked: 100 * intersection >= percent * union."""
     small_batches(docs.sparkSession)
+    # Plans over kept tables print theirs too; without a limit the driver holds megabytes of text for each job.
+    docs.sparkSession.conf.set("spark.sql.maxPlanStringLength", "8192")
     docs = docs.select("doc_id", "text")
-    sketched = settle(docs.select("doc_id", sketch(width)("text").alias("s")).select("doc_id", "s.*"), "sketches")
+    sketched = keep(docs.select("doc_id", sketch(width)("text").alias("s")).select("doc_id", "s.*"))
     classes = sketched.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("registers").alias("registers"))
-    reps = settle(classes.where("rep is not null"), "classes")
+    reps = keep(classes.where("rep is not null"))
 
     piece = lambda i: F.substring(F.col("registers"), i * 2 * BAND_ROWS + 1, F.lit(2 * BAND_ROWS))
-    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, piece(i)))
-    keyed = reps.select("rep", "n", F.explode(bands).alias("key"))
+    # The band's number stands in the key's low bits.
+    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(piece(i)).bitwiseAND(F.lit(-BANDS)).bitwiseOR(i.cast("long")))
+    keyed = reps.select("rep", F.explode(bands).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = settle(keyed.join(shared, "key"), "buckets")
+    members = keep(keyed.join(shared, "key"))
 
     popular = members.groupBy("rep").agg(F.round(F.sum(F.log2("size")), 6).alias("popularity"))
-    members = settle(members.join(popular, "rep").select("key", "rep", "n", "popularity"), "members")
+    members = settle(members.join(popular, "rep").join(reps.select("rep", "n"), "rep").select("key", "rep", "n", "popularity"), "members", slim=True)
     centre = members.groupBy("key").agg(F.max(F.struct("popularity", (-F.col("rep")).alias("neg"), "n")).alias("c"))
     met = members.join(centre, "key").select("rep", "n", "c.popularity", (-F.col("c.neg")).alias("a"), F.col("c.n").alias("n_a"))
     fits = lambda n, m: F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m)
     best = met.where((F.col("a") != F.col("rep")) & fits("n", "n_a")).groupBy("rep").agg(F.max(F.struct("popularity", (-F.col("a")).alias("neg"))).alias("c"))
-    stars = settle(best.select((-F.col("c.neg")).alias("a"), F.col("rep").alias("b")), "stars")
+    stars = keep(best.select((-F.col("c.neg")).alias("a"), F.col("rep").alias("b")))
     links = _linked(stars, reps, docs, width, percent)
 
     known = components(links)
     labelled = members.join(known, members.rep == known.node, "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    left = settle(labelled.join(mixed, "key"), "mixed-buckets")
-    other = left.select("key", *(F.col(c).alias(f"{c}_2") for c in ("rep", "n", "component")))
-    across = left.join(other, "key").where((F.col("component") < F.col("component_2")) & fits("n", "n_2"))
-    across = across.select(F.least("rep", "rep_2").alias("a"), F.greatest("rep", "rep_2").alias("b")).distinct()
+    left = settle(labelled.join(mixed, "key"), "mixed-buckets", slim=True)
+    across = _across(left, reps, percent)
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = _linked(settle(across.join(tried, ["a", "b"], "left_anti"), "across"), reps, docs, width, percent)
+    more = _linked(settle(across.join(tried, ["a", "b"], "left_anti"), "across", slim=True), reps, docs, width, percent)
 
     final = components(links.unionByName(more))
     named = reps.join(final, reps.rep == final.node, "left").select("digest", F.coalesce("component", "rep").alias("component"))
