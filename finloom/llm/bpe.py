@@ -15,6 +15,7 @@ as the output is replaced; others pass through.
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 from itertools import chain
 
@@ -27,8 +28,8 @@ from pyspark.sql.functions import arrow_udf
 
 from finloom.llm.common import small_batches
 
-MAX_STATES = 200_000
-MAX_PIECES = 200_000
+MAX_STATES = 250_000
+MAX_PIECES = 450_000
 MAX_PAIRS = 400_000
 #: Texts are split into pieces a part of about this many characters at a time.
 PART_CHARS = 1_000_000
@@ -55,6 +56,7 @@ class Transducer:
                 node = self.child.get(key) or self._grow(key)
             self.ends[node] = rank
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.halves: dict[int, tuple[int, int] | None] = {}
         self._reset()
 
     def _grow(self, key: int) -> int:
@@ -63,13 +65,14 @@ class Transducer:
         return len(self.ends) - 1
 
     def _reset(self) -> None:
-        start = ((-1, 0, ()),)
-        self.states, self.names, self.moves = [start], {start: 0}, {}
+        # A state is a dict: byte -> (next state, tokens emitted), and under -1 its guesses (last token, trie node, tokens held).
+        self.start = {-1: ((-1, 0, ()),)}
+        self.names = {self.start[-1]: self.start}
 
-    def merged(self, data: bytes) -> list[int]:
-        """The encoding of a few bytes by its definition: merge the lowest rank, leftmost first, until none is left."""
+    def merged(self, data: bytes, until: int = 1) -> list[int]:
+        """The encoding of a few bytes by its definition: merge the lowest rank, leftmost first, until none or so many are left."""
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
+        while len(parts) > until:
             best = min(((self.ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))), default=(1 << 60, 0))
             if best[0] == 1 << 60:
                 break
@@ -83,58 +86,115 @@ class Transducer:
         if known is None:
             if len(self.pairs) >= MAX_PAIRS:
                 self.pairs.clear()
-            own = self.tokens[token]
-            known = self.merged(own) == [token] if last < 0 else self.merged(self.tokens[last] + own) == [last, token]
-            self.pairs[last, token] = known
+            known = self.pairs[last, token] = self._reachable(token) if last < 0 else self._stays_apart(last, token)
         return known
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        alive = []
-        for last, node, held in self.states[state]:
-            to = self.child.get(node << 8 | byte)
+    def _parts_of(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes this one; None for a byte, and for a token that no merges reach."""
+        if token not in self.halves:
+            parts = self.merged(self.tokens[token], 2)
+            self.halves[token] = tuple(parts) if len(parts) == 2 else None
+        return self.halves[token]
+
+    def _reachable(self, token: int) -> bool:
+        return len(self.tokens[token]) == 1 or self._parts_of(token) is not None
+
+    def _stays_apart(self, left: int, right: int) -> bool:
+        """Whether merging the bytes of both ends with both: going back from the last merge to the first, no merge across the
+        border may come before the one that covers it on either side."""
+        if not (self._reachable(left) and self._reachable(right)):
+            return False
+        ranks, tokens = self.ranks, self.tokens
+        later = 1 << 60  # what is undone so far came at this rank
+        equal = False  # of equal ranks the leftmost merges first, so a merge across loses to the same one on its left
+        while True:
+            across = ranks.get(tokens[left] + tokens[right])
+            if across is not None and (across < later or equal and across == later):
+                return False
+            a, b = self._parts_of(left), self._parts_of(right)
+            if a is None and b is None:
+                return True
+            if b is None or (a is not None and left > right):
+                later, left, equal = left, a[1], False
+            else:
+                later, right, equal = right, b[0], True
+
+    def _move(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
+        alive, closed = [], None
+        child, ends, pairs = self.child.get, self.ends, self.pairs.get
+        for last, node, held in state[-1]:
+            to = child(node << 8 | byte)
             if to is None:
                 continue
             alive.append((last, to, held))
-            token = self.ends[to]
-            if token >= 0 and self.may_follow(last, token):
-                alive.append((token, 0, (*held, token)))
-        shared = 0
-        shortest = min(len(h) for _, _, h in alive)
-        while shared < shortest and len({h[shared] for _, _, h in alive}) == 1:
-            shared += 1
-        emitted = alive[0][2][:shared]
-        target = tuple(sorted((a, n, h[shared:]) for a, n, h in alive))
-        number = self.names.get(target)
-        if number is None:
-            number = self.names[target] = len(self.states)
-            self.states.append(target)
-        self.moves[state << 8 | byte] = number, emitted
-        return number, emitted
+            token = ends[to]
+            if token >= 0:
+                known = pairs((last, token))
+                if self.may_follow(last, token) if known is None else known:
+                    closed = (token, 0, (*held, token))  # one at most: an encoding is unique
+        if closed:
+            alive.append(closed)
+        # Guesses stand in the order in which they began, so equal sets are equal tuples.
+        emitted = ()
+        if alive[0][2]:
+            shared = 0
+            for tokens in zip(*(h for _, _, h in alive)):
+                if tokens.count(tokens[0]) < len(tokens):
+                    break
+                shared += 1
+            if shared:
+                emitted = alive[0][2][:shared]
+                alive = [(a, n, h[shared:]) for a, n, h in alive]
+        target = tuple(alive)
+        to = self.names.get(target)
+        if to is None:
+            to = self.names[target] = {-1: target}
+        move = state[byte] = to, emitted
+        return move
 
     def encode_piece(self, data: bytes) -> list[int]:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        if len(self.states) > MAX_STATES:
+        if len(self.names) > MAX_STATES:
             self._reset()
-        state, out = 0, []
+        state, out = self.start, []
         for byte in data:
-            move = self.moves.get(state << 8 | byte) or self._move(state, byte)
-            state = move[0]
-            if move[1]:
-                out += move[1]
-        out += next(held for _, node, held in self.states[state] if node == 0)
+            state, emitted = state.get(byte) or self._move(state, byte)
+            if emitted:
+                out += emitted
+        out += state[-1][-1][2]  # the closed guess stands last
         return out
 
 
+def latin_pattern(pattern: str) -> re.Pattern:
+    """The pattern for texts below U+0100: its classes written out, so that the faster module of the standard library can run it."""
+    of = {c: "".join(re.escape(chr(i)) for i in range(256) if regex.match(c, chr(i))) for c in (r"\s", r"\S", r"\p{L}", r"\p{N}")}
+    out, inside, at = [], False, 0
+    while at < len(pattern):
+        name = next((c for c in of if pattern.startswith(c, at)), None)
+        if name:
+            out.append(of[name] if inside else f"[{of[name]}]")
+            at += len(name)
+            continue
+        inside = pattern[at] == "[" or inside and pattern[at] != "]"
+        out.append(pattern[at])
+        at += 1
+    return re.compile("".join(out))
+
+
 class Encoder:
     def __init__(self, path: str, pattern: str):
-        self.machine, self.pattern, self.pieces = Transducer(read_ranks(path)), regex.compile(pattern), {}
+        self.machine, self.pattern = Transducer(read_ranks(path)), regex.compile(pattern)
+        self.latin = latin_pattern(pattern)
+        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}  # the generation before, from which what is used again moves up
 
     def _piece(self, piece: str) -> tuple[int, ...]:
         if len(self.pieces) >= MAX_PIECES:
-            self.pieces.clear()
-        ids = self.pieces[piece] = tuple(self.machine.encode_piece(piece.encode("utf-8", "surrogatepass")))
+            self.older, self.pieces = self.pieces, {}
+        ids = self.older.get(piece) or tuple(self.machine.encode_piece(piece.encode("utf-8", "surrogatepass")))
+        self.pieces[piece] = ids
         return ids
 
     def _parts(self, text: str):
@@ -146,9 +206,10 @@ class Encoder:
 
     def encode(self, text: str) -> np.ndarray:
         found = []
+        pieces_of = self.latin.findall if text.isascii() or max(text) < "\u0100" else self.pattern.findall
         for part in self._parts(text):
-            known = self.pieces
-            ids = [known.get(p) or self._piece(p) for p in self.pattern.findall(part)]
+            known = self.pieces.get
+            ids = [known(p) or self._piece(p) for p in pieces_of(part)]
             found.append(np.fromiter(chain.from_iterable(ids), np.int32))
         return found[0] if len(found) == 1 else np.concatenate(found)
 
