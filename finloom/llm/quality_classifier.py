@@ -4,8 +4,8 @@ A text is compressed in blocks of BLOCK bytes under each dictionary; the differe
 the evidence, and a logistic curve fitted on labelled texts that no dictionary saw makes it the probability of label 1. Blocks are
 compressed apart, so that the evidence per byte doesn't fade as a long text becomes its own dictionary; every byte of a text counts.
 
-The fit is bounded: at most MAX_CHUNKS chunks of CHUNK characters a class for the dictionaries (drawn by hash from whole labelled
-texts) and MAX_CALIBRATION texts for the curve. Scoring covers all rows.
+The fit is bounded: at most MAX_TEXTS labelled texts a class for the dictionaries, MAX_CHUNKS chunks of CHUNK characters of them,
+and MAX_TEXTS other texts a class for the curve, all drawn by hash. Scoring covers all rows.
 
 Defined results: an empty or null text has no evidence and gets the curve's value at zero; rows without a label score like others;
 a null label is no label; if a class has no labelled text, every score is the share of label 1 (0.5 without labels); repeated rows
@@ -14,7 +14,6 @@ score alike; an empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
-import math
 from functools import lru_cache
 
 import numpy as np
@@ -24,12 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from finloom.llm.common import small_batches
+from finloom.llm.common import keep, small_batches
 
 BLOCK, CHUNK = 2048, 2048
 #: Bytes added to a text's length, so that a few bytes are no strong evidence.
 DAMPING = 150
-MAX_CHUNKS, MAX_CALIBRATION = 1500, 3000
+MAX_TEXTS, MAX_CHUNKS = 1500, 1500
 DICTIONARY_BYTES, LEVEL = 65_536, 3
 THRESHOLD = 0.3
 
@@ -62,40 +61,50 @@ def evidence_column(good: bytes, bad: bytes):
     return column
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """slope, intercept of P(1) = sigmoid(slope * x + intercept): Newton steps with a small ridge."""
+def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """slope, intercept of P(1) = sigmoid(slope * x + intercept): weighted Newton steps with a small ridge."""
     scale = x.std() or 1.0
     a = np.stack([x / scale, np.ones_like(x)], axis=1)
     w = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        h = a.T @ (a * (p * (1 - p))[:, None]) + 1e-2 * np.eye(2)
-        w = w + np.clip(np.linalg.solve(h, a.T @ (y - p) - 1e-2 * w), -5, 5)
+        h = a.T @ (a * (weight * p * (1 - p))[:, None]) + 1e-2 * np.eye(2)
+        w = w + np.clip(np.linalg.solve(h, a.T @ (weight * (y - p)) - 1e-2 * w), -5, 5)
     return float(w[0] / scale), float(w[1])
 
 
-def _draw(rows: DataFrame, key, most: int) -> DataFrame:
-    return rows.orderBy(key, "doc_id").limit(most)
+def train(docs: DataFrame, labels: DataFrame) -> dict:
+    """A model from documents (doc_id, text) and labels (doc_id, quality).
 
-
-def train(labelled: DataFrame) -> dict:
-    """A model from rows (doc_id, text, quality)."""
-    small_batches(labelled.sparkSession)
-    rows = labelled.where("quality in (0, 1) and text is not null and text <> ''").select("doc_id", "text", "quality")
-    share = rows.agg(F.avg(F.col("quality").cast("double"))).first()[0]
+    The labels are drawn first, by a hash of doc_id; so documents are only passed over, and what comes to the driver is bounded.
+    """
+    small_batches(docs.sparkSession)
     half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2))
+    slim = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id", F.col("quality").cast("int").alias("quality"), half.alias("half"))
+    counts = {(r["half"], r["quality"]): r["count"] for r in slim.groupBy("half", "quality").count().collect()}
+    total = sum(counts.values())
+    share = sum(n for (_, q), n in counts.items() if q) / total if total else 0.5
+    drawn = [r for h in (0, 1) for q in (0, 1) for r in slim.where((F.col("half") == h) & (F.col("quality") == q)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TEXTS).collect()]
+    if not all(counts.get((0, q)) for q in (0, 1)):
+        return {"constant": share}
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(drawn, slim.schema).distinct())
+    rows = keep(docs.select("doc_id", "text").where("text <> ''").join(chosen, "doc_id"))
+    starts = F.sequence(F.lit(1), F.length("text"), F.lit(CHUNK))
+    pieces = F.transform(starts, lambda s: F.struct(s.alias("at"), F.substring(F.col("text"), s, F.lit(CHUNK)).alias("chunk")))
+    chunks = rows.where("half = 0").select("doc_id", "quality", F.explode(pieces).alias("c")).select("doc_id", "quality", "c.*")
     dictionaries = {}
     for quality in (1, 0):
-        starts = F.sequence(F.lit(1), F.length("text"), F.lit(CHUNK))
-        chunks = rows.where((half == 0) & (F.col("quality") == quality)).select("doc_id", F.explode(F.transform(starts, lambda s: F.struct(s.alias("at"), F.substring(F.col("text"), s, F.lit(CHUNK)).alias("chunk")))).alias("c"))
-        drawn = _draw(chunks.select("doc_id", "c.*"), F.xxhash64("doc_id", "at"), MAX_CHUNKS).collect()
-        samples = [r["chunk"].encode("utf-8", "surrogatepass") for r in drawn]
-        dictionaries[quality] = _dictionary(samples)
-    if not (dictionaries[0] and dictionaries[1]):
-        return {"constant": 0.5 if share is None else float(share)}
-    drawn = _draw(rows.where(half == 1), F.xxhash64(F.lit("curve"), "doc_id"), MAX_CALIBRATION)
-    seen = drawn.select(F.col("quality").cast("double"), evidence_column(dictionaries[1], dictionaries[0])("text").alias("x")).toPandas()
-    slope, intercept = fit_curve(seen["x"].to_numpy(), seen["quality"].to_numpy()) if seen["quality"].nunique() == 2 else (0.0, math.log((share + 1e-6) / (1 - share + 1e-6)))
+        found = chunks.where(F.col("quality") == quality).orderBy(F.xxhash64("doc_id", "at"), "doc_id").limit(MAX_CHUNKS).collect()
+        dictionaries[quality] = _dictionary([r["chunk"].encode("utf-8", "surrogatepass") for r in found])
+    x = evidence_column(dictionaries[1], dictionaries[0])("text")
+    seen = rows.where("half = 1").select("quality", x.alias("x")).toPandas()
+    rows.unpersist()
+    sizes = seen["quality"].value_counts()
+    if len(sizes) < 2 or not (dictionaries[0] and dictionaries[1]):
+        return {"constant": share}
+    # Each class counts for as much as it has labels.
+    weight = seen["quality"].map(lambda q: counts[1, q] / sizes[q]).to_numpy()
+    slope, intercept = fit_curve(seen["x"].to_numpy(), seen["quality"].to_numpy().astype(float), weight * len(seen) / weight.sum())
     return {"good": dictionaries[1], "bad": dictionaries[0], "slope": slope, "intercept": intercept}
 
 

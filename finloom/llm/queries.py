@@ -62,7 +62,7 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(~quality_classifier.held_out())
-    model = quality_classifier.train(docs.join(labels, "doc_id"))
+    model = quality_classifier.train(docs, labels)
     scored = quality_classifier.score(docs, model)
     return scored.select("doc_id", quality_classifier.held_out().alias("held_out"), "score", (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"))
 

@@ -112,19 +112,19 @@ def labelled(spark):
 
 def test_classifier_on_texts_it_has_not_seen(spark):
     rows = labelled(spark)
-    model = quality_classifier.train(rows.where("doc_id < 400"))
+    model = quality_classifier.train(rows.where("doc_id < 400"), rows.where("doc_id < 400"))
     got = quality_classifier.score(rows.where("doc_id >= 400"), model).collect()
     assert all((x.score >= 0.3) == bool(x.quality) and 0 <= x.score <= 1 for x in got)
 
 
 def test_classifier_edge_cases(spark):
     rows = labelled(spark)
-    model = quality_classifier.train(rows)
+    model = quality_classifier.train(rows, rows)
     odd = spark.createDataFrame([(1, None, "s"), (2, "", "s"), (None, "abc" * 100_000, "s")], "doc_id int, text string, x string")
     assert all(0 <= x.score <= 1 for x in quality_classifier.score(odd, model).collect())
-    one = quality_classifier.score(odd, quality_classifier.train(rows.where("quality = 1"))).collect()
+    one = quality_classifier.score(odd, quality_classifier.train(rows.where("quality = 1"), rows.where("quality = 1"))).collect()
     assert {x.score for x in one} == {1.0}
-    assert {x.score for x in quality_classifier.score(odd, quality_classifier.train(rows.limit(0))).collect()} == {0.5}
+    assert {x.score for x in quality_classifier.score(odd, quality_classifier.train(rows.limit(0), rows.limit(0))).collect()} == {0.5}
 
 
 PAGES = {
