@@ -18,6 +18,7 @@ import base64
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,9 +27,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from finloom.llm.common import small_batches
+from finloom.llm.common import keep, small_batches
 
 RECORDS_PER_FILE = 3_000
+#: Up to this many payloads that occur twice (about 200 bytes each) are broadcast; of more, the join shuffles.
+BROADCAST_DIGESTS = 100_000
 
 
 def payload_digest(data: bytes) -> str:
@@ -86,12 +89,23 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     rows = rows.withColumn("digest", arrow_udf(digest_of, "string")("payload"))
     # Of equal payloads the largest id is the response: one slim row per digest, from partial maxima.
     first = rows.groupBy("digest").agg(F.max(F.struct("page_id", "url")).alias("f"), F.count("*").alias("same")).where("same > 1")
-    first = first.select("digest", F.col("f.page_id").alias("first_id"), F.col("f.url").alias("first_url"))
+    first = keep(first.select("digest", F.col("f.page_id").alias("first_id"), F.col("f.url").alias("first_url")))
+    first = F.broadcast(first) if first.count() <= BROADCAST_DIGESTS else first
     joined = rows.join(first, "digest", "left")
     revisit = F.col("first_id").isNotNull() & ~F.col("first_id").eqNullSafe(F.col("page_id"))
     shown = joined.select("page_id", "url", "payload", "digest", F.when(revisit, F.col("first_id")).alias("same_id"), F.when(revisit, F.col("first_url")).alias("same_url"))
     text = shown.select(arrow_udf(records_of, "string")("page_id", "url", "payload", "digest", "same_id", "same_url").alias("value"))
-    text.write.option("lineSep", "\r\n").option("maxRecordsPerFile", RECORDS_PER_FILE // 3).text(path)
+    text.write.option("lineSep", "\r\n").option("maxRecordsPerFile", RECORDS_PER_FILE // 3).option("compression", "gzip").text(path)
+
+
+def unzipped(data: bytes) -> bytes:
+    """A file's bytes; gzip may be of one member, or of one for each record."""
+    parts = []
+    while data[:2] == b"\x1f\x8b":
+        stream = zlib.decompressobj(31)
+        parts.append(stream.decompress(data))
+        data = stream.unused_data
+    return b"".join(parts) + data
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -108,7 +122,7 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 def _rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for data in batch["content"]:
-            out = []
+            data, out = unzipped(data), []
             for h, block in parse(data):
                 page, digest = h.get("x-page-id"), h.get("warc-payload-digest", "")
                 payload = block.partition(b"\r\n\r\n")[2] if h["warc-type"] == "response" else None if h["warc-type"] == "revisit" else block
