@@ -17,7 +17,7 @@ from __future__ import annotations
 import base64
 import re
 from functools import lru_cache
-from itertools import chain
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from pyspark.sql.functions import arrow_udf
 from finloom.llm.common import small_batches
 
 MAX_STATES = 250_000
-MAX_PIECES = 450_000
+MAX_PIECES = 400_000
 MAX_PAIRS = 400_000
 #: Texts are split into pieces a part of about this many characters at a time.
 PART_CHARS = 1_000_000
@@ -42,6 +42,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+def packed(ids: tuple[int, ...]) -> bytes:
+    return pack(f"={len(ids)}i", *ids) if ids else b""
+
+
 class Transducer:
     """Encodes one piece (what the pattern matched) after another."""
 
@@ -65,8 +69,9 @@ class Transducer:
         return len(self.ends) - 1
 
     def _reset(self) -> None:
-        # A state is a dict: byte -> (next state, tokens emitted), and under -1 its guesses (last token, trie node, tokens held).
-        self.start = {-1: ((-1, 0, ()),)}
+        # A state is a dict: byte -> (next state, packed tokens emitted); under -1 its guesses (last token, trie node, tokens held),
+        # under -2 the packed tokens that are still to be emitted if the piece ends here.
+        self.start = {-1: ((-1, 0, ()),), -2: b""}
         self.names = {self.start[-1]: self.start}
 
     def merged(self, data: bytes, until: int = 1) -> list[int]:
@@ -119,7 +124,7 @@ class Transducer:
             else:
                 later, right, equal = right, b[0], True
 
-    def _move(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
+    def _move(self, state: dict, byte: int) -> tuple[dict, bytes]:
         alive, closed = [], None
         child, ends, pairs = self.child.get, self.ends, self.pairs.get
         for last, node, held in state[-1]:
@@ -135,7 +140,7 @@ class Transducer:
         if closed:
             alive.append(closed)
         # Guesses stand in the order in which they began, so equal sets are equal tuples.
-        emitted = ()
+        emitted = b""
         if alive[0][2]:
             shared = 0
             for tokens in zip(*(h for _, _, h in alive)):
@@ -143,28 +148,29 @@ class Transducer:
                     break
                 shared += 1
             if shared:
-                emitted = alive[0][2][:shared]
+                emitted = packed(alive[0][2][:shared])
                 alive = [(a, n, h[shared:]) for a, n, h in alive]
         target = tuple(alive)
         to = self.names.get(target)
         if to is None:
-            to = self.names[target] = {-1: target}
+            to = self.names[target] = {-1: target, -2: packed(target[-1][2])}  # the closed guess stands last
         move = state[byte] = to, emitted
         return move
 
-    def encode_piece(self, data: bytes) -> list[int]:
+    def encode_piece(self, data: bytes) -> bytes:
+        """The tokens of a piece, packed to four bytes each."""
         whole = self.ranks.get(data)
         if whole is not None:
-            return [whole]
+            return packed((whole,))
         if len(self.names) > MAX_STATES:
             self._reset()
         state, out = self.start, []
         for byte in data:
             state, emitted = state.get(byte) or self._move(state, byte)
             if emitted:
-                out += emitted
-        out += state[-1][-1][2]  # the closed guess stands last
-        return out
+                out.append(emitted)
+        out.append(state[-2])
+        return b"".join(out)
 
 
 def latin_pattern(pattern: str) -> re.Pattern:
@@ -187,13 +193,13 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         self.machine, self.pattern = Transducer(read_ranks(path)), regex.compile(pattern)
         self.latin = latin_pattern(pattern)
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}  # the generation before, from which what is used again moves up
+        self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the generation before, from which what is used again moves up
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
+    def _piece(self, piece: str) -> bytes:
         if len(self.pieces) >= MAX_PIECES:
             self.older, self.pieces = self.pieces, {}
-        ids = self.older.get(piece) or tuple(self.machine.encode_piece(piece.encode("utf-8", "surrogatepass")))
+        ids = self.older.get(piece) or self.machine.encode_piece(piece.encode("utf-8", "surrogatepass"))
         self.pieces[piece] = ids
         return ids
 
@@ -209,9 +215,8 @@ class Encoder:
         pieces_of = self.latin.findall if text.isascii() or max(text) < "\u0100" else self.pattern.findall
         for part in self._parts(text):
             known = self.pieces.get
-            ids = [known(p) or self._piece(p) for p in pieces_of(part)]
-            found.append(np.fromiter(chain.from_iterable(ids), np.int32))
-        return found[0] if len(found) == 1 else np.concatenate(found)
+            found += [known(p) or self._piece(p) for p in pieces_of(part)]
+        return np.frombuffer(b"".join(found), np.int32)
 
 
 class Utf8Stream:
