@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
 
-def queries() -> dict:
-    return dict(QUERIES)
+from finloom.operators import analysis, checks
+from finloom.plans.facts import TABLES
+
+STATEMENTS: dict[str, Callable[[str], str]] = {**analysis.QUERIES, **checks.QUERIES}
+
+
+def _query(statement: Callable[[str], str]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        sql = statement("spark")
+        for name in TABLES:
+            if name in sql:
+                spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").createOrReplaceTempView(name)
+        return spark.sql(sql)
+
+    return run
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: _query(statement) for name, statement in STATEMENTS.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    return {name: statement("duckdb") for name, statement in STATEMENTS.items()}
