@@ -15,6 +15,7 @@ as the output is replaced; others pass through.
 from __future__ import annotations
 
 import base64
+import gc
 import re
 from functools import lru_cache
 from struct import pack
@@ -29,7 +30,7 @@ from pyspark.sql.functions import arrow_udf
 from finloom.llm.common import small_batches
 
 MAX_STATES = 250_000
-MAX_PIECES = 400_000
+MAX_PIECES = 250_000
 MAX_PAIRS = 400_000
 #: Texts are split into pieces a part of about this many characters at a time.
 PART_CHARS = 1_000_000
@@ -164,6 +165,7 @@ class Transducer:
             return packed((whole,))
         if len(self.names) > MAX_STATES:
             self._reset()
+            gc.collect()
         state, out = self.start, []
         for byte in data:
             state, emitted = state.get(byte) or self._move(state, byte)
@@ -261,7 +263,11 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
     @arrow_udf("array<int>")
     def encoded(texts: pa.Array) -> pa.Array:
         coder = _encoder(path, pattern)
-        found = [coder.encode(t or "") for t in texts.to_pylist()]
+        gc.disable()  # hundreds of thousands of states live long; _reset() collects those it gives up
+        try:
+            found = [coder.encode(t or "") for t in texts.to_pylist()]
+        finally:
+            gc.enable()
         offsets = np.zeros(len(found) + 1, np.int32)
         np.cumsum([len(x) for x in found], out=offsets[1:])
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found) if found else np.zeros(0, np.int32)))
