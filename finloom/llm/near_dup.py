@@ -39,7 +39,7 @@ CHANCE = 0.169919487159739 * 2.0**-MANTISSA_BITS
 SALTS = 32
 #: Up to this many candidate ids (8 bytes each) are broadcast to choose texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
-MAX_WORDS = 200_000
+MAX_WORDS = 100_000
 CUT_ROUNDS = 3
 CELL = 512
 
