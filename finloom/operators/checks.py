@@ -45,8 +45,8 @@ QUERIES = {
         one as (select *, coalesce(equity, total_assets - liabilities) as equity_1, coalesce(pat, pbt + tax_expense) as pat_1 from sparse), two as (select *, coalesce(total_assets, equity_1 + liabilities) as assets_2 from one)
         select company_id, fy, round(equity_1, 2) as equity, round(pat_1, 2) as pat, round(assets_2, 2) as total_assets, equity is null and equity_1 is not null as equity_derived, pat is null and pat_1 is not null as pat_derived, total_assets is null and assets_2 is not null as assets_derived from two""",
     "rules_single_period": lambda d: BASE + " " + " union all ".join(
-        f"select company_id, fy, '{k}' as rule_key, abs({e} - ({a})) <= 1 as passed, round({e} - ({a}), 2) + cast(0 as double) as delta from annual where {e} is not null and ({a}) is not null"
-        for k, e, a in (("bs_balances", "total_assets", "liabilities + equity"), ("is_pbt_to_pat", "pat", "pbt + tax_expense"), ("is_gross", "pbt", "revenue * 0.15"), ("cf_cash", "cash", "op_cash + capex + coalesce(dividends, 0)"), ("eps", "pat / shares * 100", "round(pat / shares * 100, 2)"))
+        f"select company_id, fy, '{k}' as rule_key, abs({e} - ({a})) <= 1 as passed, case when abs({e} - ({a})) < 0.001 then cast(0 as double) else round({e} - ({a}), 7) end as delta from annual where {e} is not null and ({a}) is not null"
+        for k, e, a in (("bs_balances", "total_assets", "liabilities + equity"), ("is_pbt_to_pat", "pat", "pbt + tax_expense"), ("is_gross", "pbt", "revenue * 0.15"), ("cf_cash", "cash", "op_cash + capex + coalesce(dividends, 0)"), ("eps", "pat / shares * 100", "floor(pat / shares * 100)"))
     ),
     "rules_magnitude": lambda d: BASE + ", p as (select company_id, fy, revenue, lag(revenue) over (partition by company_id order by period_end) as before from annual) select company_id, fy, round(revenue / before, 6) as ratio, case when abs(revenue / before - 1000) <= 0.05 or abs(revenue / before - 100) <= 0.05 then 95 else 40 end as severity from p where before <> 0 and abs(revenue / before - 1) > 0.8",
     "rules_q4": lambda d: BASE + QUARTERS + " select q.company_id, q.fy, count(*) as quarters, abs(sum(q.revenue) - max(a.revenue)) <= 1 as passed, round(max(case when quarter = 4 then q.revenue end), 2) as q4 from q join annual a on a.company_id = q.company_id and a.fy = q.fy group by q.company_id, q.fy having count(*) = 4",
