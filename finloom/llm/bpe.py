@@ -43,15 +43,25 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def packed(ids: tuple[int, ...]) -> bytes:
-    return pack(f"={len(ids)}i", *ids) if ids else b""
+class State(dict):
+    """byte -> (next state, packed tokens emitted), filled in as bytes come; a state that nothing has left yet holds no table."""
+
+    __slots__ = ("guesses", "machine")
+
+    def __init__(self, guesses: tuple, machine: Transducer):
+        self.guesses, self.machine = guesses, machine
+
+    def __missing__(self, byte: int) -> tuple[State, bytes]:
+        move = self[byte] = self.machine.move(self.guesses, byte)
+        return move
 
 
 class Transducer:
-    """Encodes one piece (what the pattern matched) after another."""
+    """Encodes one piece (what the pattern matched) after another. Tokens in hand are packed to four bytes each."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.tokens = ranks, {i: b for b, i in ranks.items()}
+        self.packed = {i: pack("=i", i) for i in self.tokens}
         self.child: dict[int, int] = {}  # trie: node << 8 | byte -> node
         self.ends = [-1]  # token that ends at a node
         for token, rank in ranks.items():
@@ -60,7 +70,7 @@ class Transducer:
                 key = node << 8 | byte
                 node = self.child.get(key) or self._grow(key)
             self.ends[node] = rank
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}  # last << 32 | token -> whether token may follow last
         self.halves: dict[int, tuple[int, int] | None] = {}
         self._reset()
 
@@ -70,10 +80,9 @@ class Transducer:
         return len(self.ends) - 1
 
     def _reset(self) -> None:
-        # A state is a dict: byte -> (next state, packed tokens emitted); under -1 its guesses (last token, trie node, tokens held),
-        # under -2 the packed tokens that are still to be emitted if the piece ends here.
-        self.start = {-1: ((-1, 0, ()),), -2: b""}
-        self.names = {self.start[-1]: self.start}
+        # A guess is (last token, trie node, tokens held).
+        self.start = State(((-1, 0, b""),), self)
+        self.names = {self.start.guesses: self.start}
 
     def merged(self, data: bytes, until: int = 1) -> list[int]:
         """The encoding of a few bytes by its definition: merge the lowest rank, leftmost first, until none or so many are left."""
@@ -88,11 +97,12 @@ class Transducer:
 
     def may_follow(self, last: int, token: int) -> bool:
         """Whether token can stand after last (-1: at the start) in an encoding."""
-        known = self.pairs.get((last, token))
+        key = last << 32 | token
+        known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= MAX_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[last, token] = self._reachable(token) if last < 0 else self._stays_apart(last, token)
+            known = self.pairs[key] = self._reachable(token) if last < 0 else self._stays_apart(last, token)
         return known
 
     def _parts_of(self, token: int) -> tuple[int, int] | None:
@@ -125,53 +135,51 @@ class Transducer:
             else:
                 later, right, equal = right, b[0], True
 
-    def _move(self, state: dict, byte: int) -> tuple[dict, bytes]:
-        alive, closed = [], None
-        child, ends, pairs = self.child.get, self.ends, self.pairs.get
-        for last, node, held in state[-1]:
+    def move(self, guesses: tuple, byte: int) -> tuple[State, bytes]:
+        child, ends = self.child.get, self.ends
+        alive, closing = [], []
+        for last, node, held in guesses:
             to = child(node << 8 | byte)
-            if to is None:
-                continue
-            alive.append((last, to, held))
-            token = ends[to]
-            if token >= 0:
-                known = pairs((last, token))
-                if self.may_follow(last, token) if known is None else known:
-                    closed = (token, 0, (*held, token))  # one at most: an encoding is unique
-        if closed:
-            alive.append(closed)
+            if to is not None:
+                alive.append((last, to, held))
+                if ends[to] >= 0:
+                    closing.append((last, ends[to], held))
+        # Any bytes have one encoding, so one guess closes here: the last candidate, if none before it does.
+        for last, token, held in closing[:-1]:
+            if self.may_follow(last, token):
+                break
+        else:
+            last, token, held = closing[-1]
+        alive.append((token, 0, held + self.packed[token]))
         # Guesses stand in the order in which they began, so equal sets are equal tuples.
-        emitted = b""
-        if alive[0][2]:
-            shared = 0
-            for tokens in zip(*(h for _, _, h in alive)):
-                if tokens.count(tokens[0]) < len(tokens):
-                    break
-                shared += 1
+        shared = alive[0][2]
+        if shared:
+            for _, _, held in alive:
+                while not held.startswith(shared):
+                    shared = shared[:-4]
             if shared:
-                emitted = packed(alive[0][2][:shared])
-                alive = [(a, n, h[shared:]) for a, n, h in alive]
+                n = len(shared)
+                alive = [(last, node, held[n:]) for last, node, held in alive]
         target = tuple(alive)
         to = self.names.get(target)
         if to is None:
-            to = self.names[target] = {-1: target, -2: packed(target[-1][2])}  # the closed guess stands last
-        move = state[byte] = to, emitted
-        return move
+            to = self.names[target] = State(target, self)
+        return to, shared
 
     def encode_piece(self, data: bytes) -> bytes:
-        """The tokens of a piece, packed to four bytes each."""
+        """The tokens of a piece, packed."""
         whole = self.ranks.get(data)
         if whole is not None:
-            return packed((whole,))
+            return self.packed[whole]
         if len(self.names) > MAX_STATES:
             self._reset()
             gc.collect()
         state, out = self.start, []
         for byte in data:
-            state, emitted = state.get(byte) or self._move(state, byte)
+            state, emitted = state[byte]
             if emitted:
                 out.append(emitted)
-        out.append(state[-2])
+        out.append(state.guesses[-1][2])  # the guess that closed at the last byte
         return b"".join(out)
 
 
@@ -191,20 +199,34 @@ def latin_pattern(pattern: str) -> re.Pattern:
     return re.compile("".join(out))
 
 
-class Encoder:
-    def __init__(self, path: str, pattern: str):
-        self.machine, self.pattern = Transducer(read_ranks(path)), regex.compile(pattern)
-        self.latin = latin_pattern(pattern)
-        self.pieces: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}  # the generation before, from which what is used again moves up
-
-    def _piece(self, piece: str) -> bytes:
-        if len(self.pieces) >= MAX_PIECES:
-            self.older, self.pieces = self.pieces, {}
+def is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+class Pieces(dict):
+    """Pieces met, with their tokens: two generations, of which what is used again moves up into the younger."""
+
+    def __init__(self, machine: Transducer):
+        self.machine, self.older = machine, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= MAX_PIECES:
+            self.older = dict(self)
+            self.clear()
         ids = self.older.get(piece) or self.machine.encode_piece(piece.encode("utf-8", "surrogatepass"))
-        self.pieces[piece] = ids
+        self[piece] = ids
         return ids
 
+
+class Encoder:
+    def __init__(self, path: str, pattern: str):
+        self.pieces = Pieces(Transducer(read_ranks(path)))
+        self.pattern, self.latin = regex.compile(pattern), latin_pattern(pattern)
+
     def _parts(self, text: str):
         at = 0
         while len(text) - at > PART_CHARS and (cut := CUT.search(text, at + PART_CHARS)):
@@ -213,12 +235,8 @@ class Encoder:
         yield text[at:] if at else text
 
     def encode(self, text: str) -> np.ndarray:
-        found = []
-        pieces_of = self.latin.findall if text.isascii() or max(text) < "\u0100" else self.pattern.findall
-        for part in self._parts(text):
-            known = self.pieces.get
-            found += [known(p) or self._piece(p) for p in pieces_of(part)]
-        return np.frombuffer(b"".join(found), np.int32)
+        pieces_of = (self.latin if is_latin(text) else self.pattern).findall
+        return np.frombuffer(b"".join(b"".join(map(self.pieces.__getitem__, pieces_of(part))) for part in self._parts(text)), np.int32)
 
 
 class Utf8Stream:
