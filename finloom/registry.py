@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from finloom.operators import analysis, checks
+from finloom.operators import analysis, checks, layout, reports, text
 from finloom.plans.facts import TABLES
 
-STATEMENTS: dict[str, Callable[[str], str]] = {**analysis.QUERIES, **checks.QUERIES}
+STATEMENTS: dict[str, Callable[[str], str]] = {**analysis.QUERIES, **checks.QUERIES, **reports.QUERIES, **text.QUERIES}
 
 
 def _query(statement: Callable[[str], str]) -> Callable[[SparkSession, str], DataFrame]:
@@ -24,8 +24,8 @@ def _query(statement: Callable[[str], str]) -> Callable[[SparkSession, str], Dat
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _query(statement) for name, statement in STATEMENTS.items()}
+    return {**{name: _query(statement) for name, statement in STATEMENTS.items()}, **layout.FRAMES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: statement("duckdb") for name, statement in STATEMENTS.items()}
+    return {**{name: statement("duckdb") for name, statement in STATEMENTS.items()}, **layout.FRAMES_SQL}
