@@ -5,8 +5,9 @@ id, pairs with an enclosing article or main) and of its text (length, full stop,
 weights per feature and label, and weights per pair of neighbouring labels; it is trained by gradient steps on the conditional
 likelihood of labelled pages (a few hundred blocks, on the driver) and sent to the tasks as one small table.
 
-Defined results: null, empty and text-less html give ''; script, style, template, head and comments are no text, closed or not;
-character references are decoded (once), white space within a block becomes one space; br is white space; pages of any size are
+Defined results: null, empty and text-less html give ''; script, style, title, iframe, head and comments are no text, closed or not;
+template and svg are none up to their own end tag (svg also ends where html of the page begins again; <svg/> is empty), and where
+nothing ends them, only the start tag is passed over; math, object and noscript are read like text around them; character references are decoded (once), white space within a block becomes one space; br is white space; pages of any size are
 read whole; repeated rows give equal results; an empty table gives none; a column named as the output is replaced.
 """
 
@@ -28,9 +29,16 @@ from finloom.llm.labelled_pages import labelled_pages
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+|[^>]*)>", re.S)
 NAMES = re.compile(r"(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORD = re.compile(r"[a-z]+")
-#: Elements whose content is not text of the page.
-SILENT = {"script", "style", "template", "noscript", "svg", "head", "title", "iframe", "object", "math"}
-INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr input".split())
+#: Elements whose content is not text of the page. Those of RAW hold no tags: without an end tag they take in the rest of the page.
+RAW = {"script", "style", "title", "iframe"}
+SILENT = RAW | {"template", "svg", "head"}
+INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark noscript object q s samp small span strike strong sub sup time tt u var wbr input".split())
+#: Formulas stand within a line of text; the cells of their tables and their notations in other languages are set apart by a space.
+MATH = set("math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtext munder munderover semantics none".split())
+APART = {"br", "mtd", "mtr", "mlabeledtr", "annotation", "annotation-xml"}
+INLINE |= MATH | APART
+#: Tags that can't stand in svg, so that one left open ends before them.
+NOT_SVG = set("article aside b big blockquote body br center code dd div dl dt em embed figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html i img li listing main menu meta nav nobr ol p pre ruby s section small span strong strike sub sup table tbody td th tr tt u ul var".split())
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 #: A start tag that closes an open one of these.
 CLOSES = {"li": {"li"}, "p": {"p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
@@ -65,6 +73,39 @@ def _features(text: str, stack: list[tuple[str, tuple[str, ...]]], linked: float
     return sorted(found)
 
 
+def _end(page: str, tag: str, at: int, lost: set[int]) -> int | None:
+    """Where the element that was opened before at ends, or None if nothing ends it.
+
+    lost: after a search in vain, where the start tags end that nothing ends, so that a page full of them is searched once.
+    """
+    if tag in RAW or tag == "head":
+        found = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+        if tag == "head" and not found:  # the end tag may be left out; body ends it too
+            found = re.compile(r"(?=<body\b)", re.I).search(page, at)
+        return found.end() if found else len(page) if tag in RAW else None
+    if at in lost:
+        return None
+    starts, foreign = [at], 0
+    while found := TOKEN.search(page, at):
+        at, name = found.end(), (found[2] or "").lower()
+        step = -1 if found[1] else 0 if name in ("svg", "foreignobject") and found[3].endswith("/") else 1
+        if name == tag:
+            if step > 0:
+                starts.append(at)
+            elif step < 0:
+                starts.pop()
+            if not starts:
+                return at
+        elif name == "foreignobject":
+            foreign = max(0, foreign + step)
+        elif tag == "svg" and not foreign and name in NOT_SVG:
+            return found.start()
+        elif name in RAW and step > 0 and not (tag == "svg" and found[3].endswith("/")):
+            at = _end(page, name, at, lost)
+    lost.update(starts)
+    return None
+
+
 def blocks(page: str | None) -> list[Block]:
     """The blocks of a page that have text, in page order."""
     page = page or ""
@@ -72,6 +113,7 @@ def blocks(page: str | None) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     links = in_link = 0
+    lost: set[int] = set()
     at = 0
 
     def flush() -> None:
@@ -107,14 +149,13 @@ def blocks(page: str | None) -> list[Block]:
         if tag in SILENT:
             if tag == "head":
                 flush()
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            if tag == "head" and not end:  # the end tag may be left out; body ends it too
-                end = re.compile(r"(?=<body\b)", re.I).search(page, at)
-            at = end.end() if end else at if tag == "head" else len(page)
+            if tag != "svg" or not found[3].endswith("/"):
+                end = _end(page, tag, at, lost)
+                at = at if end is None else end
             continue
         if tag == "a":
             in_link += 1
-        if tag == "br":
+        if tag in APART:
             parts.append(" ")
         if tag in INLINE:
             continue

@@ -149,6 +149,30 @@ def test_extraction(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+def test_extraction_cuts_no_article_at_silent_tags():
+    pages = {
+        "<article><p>a</p><svg/><p>b</p></article>": "a\nb",
+        "<article><p>a</p><svg width='1' /><p>b</p><svg><text>x</text></svg><p>c</p></article>": "a\nb\nc",
+        "<article><p>a</p><math/><p>b</p></article>": "a\nb",
+        "<article><p>a</p><svg><path><p>b</p></article>": "a\nb",
+        "<article><p>a</p><svg><path><p>b</p><p>c</p><svg></svg></article>": "a\nb\nc",
+        "<article><p>a</p><svg><svg/><svg><title>t</title></svg><text>x</text></svg><p>b</p></article>": "a\nb",
+        "<article><p>a</p><svg><foreignObject><p>x</p></foreignObject></svg><p>b</p></article>": "a\nb",
+        "<article><p>a</p><template><p>b</p></article>": "a\nb",
+        "<article><p>a</p><template><template>x</template>y</template><p>b</p></article>": "a\nb",
+        "<article><p>a</p><noscript><p>b</p></article>": "a\nb",
+        "<article><p>a</p><noscript><p>b</p></noscript><p>c</p></article>": "a\nb\nc",
+        "<article><p>a</p><object data=x><p>b</p></object><p>c</p></article>": "a\nb\nc",
+        "<article><p>a</p><object data=x><p>b</p></article>": "a\nb",
+        "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold.</p></article>": "Let x=1 hold.",
+        "<article><p>a</p><script>b</article>": "a",
+    }
+    model = html_extract.default_model()
+    assert {p: html_extract.main_text(p, model) for p in pages} == pages
+    many = "<article>" + "<svg><template>" * 20_000 + "<p>a</p></article>"
+    assert html_extract.main_text(many, model) == "a"
+
+
 def test_viterbi_equals_brute_force():
     import itertools
 
