@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from finloom import registry
 from finloom.operators import layout
 from finloom.sources import files
 
@@ -83,3 +84,29 @@ def test_row_groups(spark):
 def test_reach(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (7, 8), (None, 1)], "src int, dst int")
     assert rows(layout.reach(links, spark.createDataFrame([(1,), (1,)], "node int"), 3), "node") == [(1, 0), (2, 1), (3, 2), (4, 3)]
+
+
+def test_reach_over_all_links_of_the_tables(spark):
+    import pyarrow.parquet as pq
+
+    sf = "/root/testdata/sf0.001"
+    column = lambda table, name: pq.read_table(f"{sf}/{table}.parquet", columns=[name])[name].to_pylist()
+    buyer = dict(zip(column("orders", "o_orderkey"), column("orders", "o_custkey")))
+    pairs = {(f"c{buyer[k]}", f"s{s}") for k, s in zip(column("lineitem", "l_orderkey"), column("lineitem", "l_suppkey")) if k in buyer}
+    links = pairs | {(b, a) for a, b in pairs}
+    assert sorted(map(tuple, layout.both_ways(spark, sf).collect())) == sorted(links)
+
+    def walk(seeds):
+        depths, newest = dict.fromkeys(seeds, 0), set(seeds)
+        for depth in (1, 2, 3):
+            newest = {b for a, b in links if a in newest} - depths.keys()
+            depths.update(dict.fromkeys(newest, depth))
+        return depths
+
+    customers = [f"c{c}" for c in column("customer", "c_custkey")]
+    whole = registry.queries()["crawl_bfs_whole"](spark, sf).collect()
+    assert sorted(map(tuple, whole)) == sorted(walk(customers).items())
+    assert {d for _, d in whole} == {0, 1}
+    one = sorted({a for a, _ in pairs})[:1]
+    deep = layout.reach(layout.both_ways(spark, sf), spark.createDataFrame([(c,) for c in one], "node string"), 3).collect()
+    assert sorted(map(tuple, deep)) == sorted(walk(one).items()) and {d for _, d in deep} >= {0, 1, 2}
