@@ -33,7 +33,9 @@ SUBSET = 0.75
 STEPS = 4
 TAIL = 1e-6
 #: Standard deviations that each statistic has at least; those of repetition are wide, as clean texts repeat a line now and then.
-FLOORS = (0.3, 0.5, 0.9, 0.8, 0.5, 0.6)
+#: Half of 20 lines or more, repeated, pass the cut alone. Repeated windows can't, as the base rule bounds them: the floor for that
+#: (0.55), with this one of lines, rejects clean documents of sf0.1.
+FLOORS = (0.3, 0.5, 0.6, 0.8, 0.5, 0.6)
 #: Up to this many groups their estimates (27 numbers each) are broadcast; of more, joined by a shuffle.
 BROADCAST_GROUPS = 20_000
 P = len(FLOORS)

@@ -98,6 +98,19 @@ def test_quality_outliers_go_and_clean_documents_stay(spark):
     assert quality_rules.verdicts(docs.limit(0)).count() == 0
 
 
+def test_quality_repeated_lines_alone_are_an_outlier(spark):
+    r = random.Random(5)
+    words = ["".join(r.choices("abcdefghij", k=r.randint(2, 9))) for _ in range(3000)]
+    lines = lambda n: [" ".join(r.choices(words, k=r.randint(6, 14))) for _ in range(n)]
+    clean = ["\n".join(lines(r.randint(5, 40))) for _ in range(200)]
+    once = ["\n".join([*x, x[0]]) for x in (lines(10) for _ in range(5))]
+    planted = ["\n".join(y for x in lines(n) for y in (x, "read more")) for n in (15, 20, 60)]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(clean + once + planted)], "doc_id int, text string, lang string, source string")
+    rows = {x.doc_id: x for x in quality_rules.verdicts(docs).collect()}
+    assert not any(x.base_failed for x in rows.values())
+    assert {i for i, x in rows.items() if not x.kept} == {205, 206, 207}
+
+
 def test_chi_squared():
     assert abs(quality_rules.chi2_quantile(0.05, 4) - 9.487729) < 1e-5 and abs(quality_rules.chi2_cdf(9.487729, 4) - 0.95) < 1e-6
 
