@@ -189,6 +189,13 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
 
 def reject(docs: DataFrame) -> DataFrame:
-    """The rows of docs that are kept, with their columns. Rows are told apart by doc_id, language and source."""
-    kept = verdicts(docs).where("kept").select(F.col("doc_id").alias("_qr_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_qr_id")), "left_semi")
+    """The rows of docs that are kept, with their columns, whatever their doc_ids.
+
+    A verdict depends on text, language and source alone, so it joins back by these, the text as a digest; doc_id spreads copies.
+    """
+    digest = F.sha2("text", 256)
+    keys = {"doc_id": docs["doc_id"], "lang": docs["lang"], "source": docs["source"], "digest": F.sha2(docs["text"], 256)}
+    kept = judged(docs.select("doc_id", "text", "lang", "source", digest.alias("digest"))).where("kept")
+    kept = kept.select(*(F.col(f"_qr_row.{k}").alias(f"_qr_key_{k}") for k in keys)).distinct()
+    same = [c.eqNullSafe(F.col(f"_qr_key_{k}")) for k, c in keys.items()]
+    return docs.join(kept, same, "left_semi")

@@ -111,6 +111,17 @@ def test_quality_repeated_lines_alone_are_an_outlier(spark):
     assert {i for i, x in rows.items() if not x.kept} == {205, 206, 207}
 
 
+def test_quality_verdicts_hold_for_rows_without_ids_of_their_own(spark):
+    words = lambda k: " ".join(f"w{(k * 7919 + i * 31) % 997}" for i in range(40))
+    good = [(None if k % 2 else 7, words(k), "en", "s", {"k": k}) for k in range(70)]
+    bad = [(None, "too short", "en", "s", {}), (7, None, "en", "s", {}), (7, "a b c d e f g h " * 50, None, None, {})]
+    docs = spark.createDataFrame(good + bad, "doc_id int, text string, lang string, source string, `a.b` map<string, int>")
+    got = quality_rules.reject(docs)
+    assert got.schema == docs.schema
+    by_text = lambda rows: sorted(map(tuple, rows), key=lambda r: r[1])
+    assert by_text(got.collect()) == by_text(good)
+
+
 def test_chi_squared():
     assert abs(quality_rules.chi2_quantile(0.05, 4) - 9.487729) < 1e-5 and abs(quality_rules.chi2_cdf(9.487729, 4) - 0.95) < 1e-6
 
