@@ -1,7 +1,6 @@
 """BPE, quality rules, classifier, extraction, licences."""
 
 import hashlib
-import math
 import random
 
 import public_tokenizers
@@ -9,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from finloom.llm import bpe, html_extract, licenses, quality_classifier, quality_rules, token_counts
+from finloom.llm import bpe, licenses, quality_classifier, quality_rules, token_counts
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 ODD = ["", None, " ", "a", "Hello  world\n\n\n x", "naïve café — 日本語 🙂 don't", "\x1c\x85\xa0 1234567²", "a" * 3000, " " * 500 + "x", "\r\n\t\x0b", "\x00\x01"]
@@ -151,67 +150,6 @@ def test_classifier_edge_cases(spark):
     assert {x.score for x in quality_classifier.score(odd, quality_classifier.train(rows.limit(0), rows.limit(0))).collect()} == {0.5}
 
 
-PAGES = {
-    "<html><head><title>T</title><style>p{}</style></head><body><nav><a href=/>Home</a></nav><article><h1>Head &amp; tail</h1><p>One<b> two</b>\n three.<br>Four</p><div class='ad'>Buy this now.</div><p>Last.</p></article><footer>&copy; us</footer></body></html>": "Head & tail\nOne two three. Four\nLast.",
-    "<body><div id=header><p>Site of sites</p></div><main><p>Text that counts.</p><form><label>Name</label><button>Send</button></form><p>More of it.</p></main><section class=comments><p>A reader says this is long enough to look like text, is it not?</p></section></body>": "Text that counts.\nMore of it.",
-    "<body><div class='cookie-notice'><p>We use cookies.</p></div><div class=content><h1>Title</h1><p>Body text, first part.<p>Second part without an end tag.</div><aside class=sidebar><p>Popular posts of this week and others.</p></aside></body>": "Title\nBody text, first part.\nSecond part without an end tag.",
-    "<article><p>a<script>var t='</p><p>no</p>';</script>b &lt;i&gt; &amp;amp;</p><!-- <p>no</p> --><style>x": "ab <i> &amp;",
-    "": "",
-    None: "",
-    "<": "<",
-    "<p": "<p",
-}
-
-
-def test_extraction(spark):
-    pages = spark.createDataFrame([(i, "u", h, 1) for i, h in enumerate(PAGES)], "page_id int, url string, html string, text int")
-    got = {r.page_id: r.text for r in html_extract.extract(pages).collect()}
-    wanted = list(PAGES.values())
-    for i in range(6):
-        assert got[i] == wanted[i], (i, got[i])
-    assert all(got[i] is not None for i in (6, 7))
-    assert html_extract.extract(pages.limit(0)).count() == 0
-
-
-def test_extraction_cuts_no_article_at_silent_tags():
-    pages = {
-        "<article><p>a</p><svg/><p>b</p></article>": "a\nb",
-        "<article><p>a</p><svg width='1' /><p>b</p><svg><text>x</text></svg><p>c</p></article>": "a\nb\nc",
-        "<article><p>a</p><math/><p>b</p></article>": "a\nb",
-        "<article><p>a</p><svg><path><p>b</p></article>": "a\nb",
-        "<article><p>a</p><svg><path><p>b</p><p>c</p><svg></svg></article>": "a\nb\nc",
-        "<article><p>a</p><svg><svg/><svg><title>t</title></svg><text>x</text></svg><p>b</p></article>": "a\nb",
-        "<article><p>a</p><svg><foreignObject><p>x</p></foreignObject></svg><p>b</p></article>": "a\nb",
-        "<article><p>a</p><template><p>b</p></article>": "a\nb",
-        "<article><p>a</p><template><template>x</template>y</template><p>b</p></article>": "a\nb",
-        "<article><p>a</p><noscript><p>b</p></article>": "a\nb",
-        "<article><p>a</p><noscript><p>b</p></noscript><p>c</p></article>": "a\nb\nc",
-        "<article><p>a</p><object data=x><p>b</p></object><p>c</p></article>": "a\nb\nc",
-        "<article><p>a</p><object data=x><p>b</p></article>": "a\nb",
-        "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold.</p></article>": "Let x=1 hold.",
-        "<article><p>a</p><script>b</article>": "a",
-    }
-    model = html_extract.default_model()
-    assert {p: html_extract.main_text(p, model) for p in pages} == pages
-    many = "<article>" + "<svg><template>" * 20_000 + "<p>a</p></article>"
-    assert html_extract.main_text(many, model) == "a"
-
-
-def test_viterbi_equals_brute_force():
-    import itertools
-
-    r = random.Random(8)
-    model = html_extract.Crf({f"f{i}": (r.gauss(0, 1), r.gauss(0, 1)) for i in range(6)}, [[r.gauss(0, 1) for _ in "ab"] for _ in "ab"])
-    for _ in range(30):
-        seq = [[f"f{r.randrange(6)}" for _ in range(r.randint(0, 3))] for _ in range(r.randint(1, 7))]
-
-        def total(labels):
-            return sum(sum(model.emission[f][y] for f in fs) for fs, y in zip(seq, labels)) + sum(model.moves[a][b] for a, b in zip(labels, labels[1:]))
-
-        best = max(total(x) for x in itertools.product((0, 1), repeat=len(seq)))
-        assert math.isclose(total(model.decode(seq)), best, abs_tol=1e-9)
-
-
 def test_licences(spark):
     mit = "MIT Licence\n\nCopyright (c) 2020 Some Body\n\n" + licenses.MIT.upper().replace(",", " ,")
     texts = [mit, "Words.\n  released under the MIT Licence!\nSPDX-License-Identifier: Apache-2.0", None, "", "Copyright 2020 X", "MIT"]
