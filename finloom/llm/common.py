@@ -66,12 +66,15 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+#: A table is broadcast below this size, counted as JSON.
+BROADCAST_BYTES = 24 << 20
+
+
 def few(df: DataFrame, most: int) -> DataFrame:
-    """A table of a row per group, computed once: up to so many rows as a broadcast table, more as a table in the shared folder."""
-    rows = df.limit(most + 1).collect()
-    if len(rows) <= most:
-        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-    return settle(df, "groups")
+    """A table of a row per group, computed once in the shared folder; broadcast if its rows and bytes are counted and small."""
+    held = settle(df, "groups")
+    rows, size = held.agg(F.count("*"), F.sum(F.length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in held.columns)))).cast("long"))).first()
+    return F.broadcast(held) if rows <= most and (size or 0) <= BROADCAST_BYTES else held
 
 
 def remove(spark: SparkSession, path: str) -> None:

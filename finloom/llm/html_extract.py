@@ -371,9 +371,9 @@ b as (select page_id, url, string_split(regexp_replace(replace(body, '<br>', ' '
 c as (
     select page_id, url, list_transform(parts, lambda x: regexp_replace(x, '<[^>]*>', '', 'g')) as bare from b
 ), d as (
-    select page_id, url, list_transform(bare, lambda x: regexp_replace(regexp_replace(regexp_replace(x, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g')) as some from c
+    select page_id, url, list_transform(bare, lambda x: regexp_replace(regexp_replace(regexp_replace(x, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g')) as plain from c
 ), e as (
-    select page_id, url, list_filter(list_transform(some, lambda x: trim(regexp_replace(regexp_replace(regexp_replace(x, '&#(x27|39);', chr(39), 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda x: x <> '') as kept from d
+    select page_id, url, list_filter(list_transform(plain, lambda x: trim(regexp_replace(regexp_replace(regexp_replace(x, '&#(x27|39);', chr(39), 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda x: x <> '') as kept from d
 )
 select page_id, url, coalesce(array_to_string(kept, chr(10)), '') as text, length(coalesce(array_to_string(kept, chr(10)), '')) as n_chars from e
 """

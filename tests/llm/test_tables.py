@@ -40,35 +40,94 @@ def test_counts_equal_the_tokenizer(spark):
     assert got == {i: len(count(t or "")) for i, t in enumerate(texts)}
 
 
+HTML = "<p>ü\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\nWARC/</p>"
+
+
 def test_warc_round_trip(spark):
-    html = "<p>ü\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n</p>"
-    rows = [(1, "http://a/x", html, 0), (2, "http://a/y", html, 0), (3, None, None, 0), (4, "u\nv", "", 0), (5, "http://b", "z" * 300_000, 0), (None, "http://c", html, 0), (1, "http://a/x", html, 0)]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest int")
+    rows = [(1, "http://a/x", HTML, 0), (2, "http://a/y", HTML, 0), (3, None, None, 0), (4, "u\nv", "", 0), (5, "http://b", "z" * 300_000, 0), (None, "http://c", HTML, 0), (1, "http://a/x", HTML, 0)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, value int")
     path = new_folder(spark, "w")
     warc.write_archives(pages, path)
     records = warc.read_archives(spark, path)
-    assert records.count() == 3 * len(rows) and warc.orphans(records).count() == 0
-    got = {r.page_id: r for r in warc.captures(warc.assemble(records)).collect()}
-    assert len(got) == 6
+    assert records.count() == records.select("record_id").distinct().count() == 3 * len(rows) and warc.orphans(records).count() == 0
+    found = warc.captures(warc.assemble(records)).collect()
+    assert len(found) == len(rows)
+    got = {r.page_id: r for r in found}
     assert {k: (v.record_type, v.refers_to) for k, v in got.items()} == {1: ("revisit", 2), 2: ("response", None), 3: ("revisit", 4), 4: ("response", None), 5: ("response", None), None: ("revisit", 2)}
     assert all(v.payload_digest == warc.payload_digest((rows[k - 1][2] or "").encode()) and v.payload_bytes == len((rows[k - 1][2] or "").encode()) for k, v in got.items() if k)
-    nested = {r.capture.page_id: r for r in warc.assemble(records).collect()}
-    assert bytes(nested[2].capture.payload).decode() == html and nested[1].request.target_uri == "http://a/x" and nested[5].n_requests == nested[5].n_metadata == 1
+    nested = {r.metadata.page_id: r for r in warc.assemble(records).collect()}
+    assert bytes(nested[2].capture.payload).decode() == HTML and nested[1].request.target_uri == "http://a/x" and nested[5].n_requests == nested[5].n_metadata == 1
 
 
-def test_warc_orphans_and_no_pages(spark):
-    rows = [("c", "response", None, 0), ("q2", "request", "c", 0), ("q1", "request", "c", 0), ("m", "metadata", "gone", 0), ("n", "metadata", None, 0)]
-    records = spark.createDataFrame(rows, "record_id string, record_type string, concurrent_to string, page_id long")
-    for name, kind in (("target_uri", "string"), ("date", "string"), ("payload_digest", "string"), ("refers_to", "string"), ("refers_to_page", "long"), ("payload", "binary"), ("http_length", "long")):
-        from pyspark.sql import functions as F
+def test_warc_repeated_rows_are_captures_of_their_own_and_equal_the_sql(spark):
+    import duckdb
 
-        records = records.withColumn(name, F.lit(None).cast(kind))
-    (row,) = warc.assemble(records).collect()
-    assert row.request.record_id == "q1" and row.n_requests == 2 and row.metadata is None
-    assert sorted(r.record_id for r in warc.orphans(records).collect()) == ["m", "n"]
+    rows = [(7, "u", "same")] * 2500 + [(7, "v", "same"), (3, "w", "same"), (3, "w", "other"), (3, "w", "other")]
+    path = new_folder(spark, "w")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5), path)
+    records = warc.read_archives(spark, path)
+    assert records.select("record_id").distinct().count() == 3 * len(rows)
+    got = warc.captures(warc.assemble(records))
+    con = duckdb.connect()
+    con.execute("create table pages (page_id bigint, url varchar, html varchar)")
+    con.executemany("insert into pages values (?, ?, ?)", rows)
+    want = con.execute(warc.ORACLE_SQL).fetchall()
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def foreign(path):
+    """An archive as other writers make it: a gzip member per record, links on either side and more than one of them."""
+    import gzip
+
+    def record(kind, block, *headers):
+        lines = [f"WARC-Type: {kind}", *headers, f"Content-Length: {len(block)}"]
+        return gzip.compress(("WARC/1.1\r\n" + "\r\n".join(lines)).encode() + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+    http = b"HTTP/1.1 200 OK\r\nContent-Length: 4\r\n\r\nbody"
+    parts = [
+        record("warcinfo", b"software: x\r\n", "WARC-Record-ID: <i>"),
+        record("response", http, "WARC-Record-ID: <a>", "WARC-Concurrent-To: <q>", "warc-concurrent-to: <m>"),
+        record("request", b"GET / HTTP/1.1\r\n\r\n", "WARC-Record-ID: <q>"),
+        record("metadata", b"pageId: 4\r\n", "WARC-Record-ID: <m>"),
+        record("revisit", http[:-4], "WARC-Record-ID: <b>", "WARC-Refers-To: <a>"),
+        record("request", b"GET / HTTP/1.1\r\n\r\n", "WARC-Record-ID: <r>", "WARC-Concurrent-To: <a>", "WARC-Concurrent-To: <b>"),
+        record("metadata", b"pageId: 9\r\n", "WARC-Record-ID: <n>", "WARC-Concurrent-To: <b>"),
+        record("revisit", http[:-4], "WARC-Record-ID: <c>", "WARC-Refers-To: <gone>", "WARC-Payload-Digest: sha1:STATED"),
+        record("metadata", b"x: y\r\n", "WARC-Record-ID: <o>", "WARC-Concurrent-To: <none>"),
+        record("response", http, "WARC-Record-ID: <d>")[:-1],
+    ]
+    path.mkdir()
+    (path / "x.warc.gz").write_bytes(b"".join(parts[:-1]))
+    (path / "y.warc.gz").write_bytes(b"".join(parts[1:3]))
+
+
+def test_warc_archives_of_other_writers(spark, tmp_path):
+    foreign(tmp_path / "w")
+    records = warc.read_archives(spark, str(tmp_path / "w"))
+    rows = {r.capture.record_id: r for r in warc.assemble(records).collect()}
+    assert {k: (r.n_requests, r.n_metadata) for k, r in rows.items()} == {"<a>": (2, 1), "<b>": (1, 1), "<c>": (0, 0)}
+    assert rows["<a>"].request.record_id == "<q>" and bytes(rows["<a>"].capture.payload) == b"body"
+    digest = warc.payload_digest(b"body")
+    got = {(r.page_id, r.record_type, r.refers_to, r.payload_bytes, r.payload_digest) for r in warc.captures(warc.assemble(records)).collect()}
+    assert got == {(4, "response", None, 4, digest), (9, "revisit", 4, 4, digest), (None, "revisit", None, 4, "STATED")}
+    assert {r.record_id for r in warc.orphans(records).collect()} == {"<o>"}
+
+
+def test_warc_of_no_pages_and_of_long_ones(spark):
     empty, path = spark.createDataFrame([], "page_id long, url string, html string"), new_folder(spark, "w")
     warc.write_archives(empty, path)
     assert warc.captures(warc.assemble(warc.read_archives(spark, path))).count() == 0
+    long = spark.range(1, 4).selectExpr("id as page_id", "'u' as url", "repeat(concat('x', id, char(13), char(10)), 2500000) as html")
+    path = new_folder(spark, "w")
+    warc.write_archives(long, path)
+    rows = warc.captures(warc.assemble(warc.read_archives(spark, path))).collect()
+    assert sorted((r.page_id, r.payload_bytes) for r in rows) == [(i, 10_000_000) for i in (1, 2, 3)]
+
+
+def test_warc_record_cut_short_keeps_what_there_is():
+    whole = b"WARC/1.1\r\nA: b\r\nA: c\r\nContent-Length: 10\r\n\r\n01234"
+    assert list(warc.parse(iter([whole]))) == [([("a", "b"), ("a", "c"), ("content-length", "10")], b"01234")]
+    assert list(warc.parse(iter([b"WARC/1.1\r\nno end"]))) == []
 
 
 def documents(spark, n=3000):
