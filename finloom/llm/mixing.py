@@ -3,22 +3,35 @@
 A source of n documents with target share w gets the mean repetition rate w * target / n. Each document draws its count by
 inverting the Poisson distribution of that rate at a uniform number hashed from seed and doc_id, is exploded by the count, and
 all copies are dealt out and ordered by a hash of (seed, doc_id, copy). Counts depend on nothing but seed, doc_id and rate, so a
-task that runs again on another executor draws the same.
+task that runs again on another executor draws the same. The inversion looks at the distribution within SPREAD standard deviations
+of its mean only, so its memory grows with the root of the rate; counts are exploded in portions, so no row holds a long list.
 
 Defined results: a null source is a source of its own; a null doc_id draws like the text 'null'; rows that repeat a doc_id draw
-the same count each; empty and null texts are documents like others; a source without a weight (or with weight 0) yields no rows;
-an empty table gives no rows; columns named copy_no and shuffle_key are replaced, all others pass through.
+the same count each; empty and null texts are documents like others, and texts of any length pass through; a source without a
+weight (or with weight 0) yields no rows; an empty table gives no rows; a rate above MAX_RATE copies a document is an error;
+columns named copy_no and shuffle_key are replaced, all others pass through, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from functools import lru_cache
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
-from finloom.llm.common import few
+from finloom.llm.common import few, settle
 
-#: Up to this many sources the table of distributions is broadcast; beyond it the join shuffles.
-BROADCAST_SOURCES = 2_000
+#: Up to this many sources the table of rates is broadcast; beyond it the join shuffles.
+BROADCAST_SOURCES = 100_000
+#: Beyond so many standard deviations, and 25 copies, nothing of the distribution is left that a 52-bit number could hit.
+SPREAD = 12
+MAX_RATE = 1e11
+#: Copies are exploded in portions of so many.
+PORTION = 10_000
 
 
 def uniform(seed: int, doc_id: Column) -> Column:
@@ -36,36 +49,58 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None, temperature:
     else:
         given = docs.sparkSession.createDataFrame(list(weights.items()), "w_source string, share double")
         counts = counts.join(given, F.col("source").eqNullSafe(F.col("w_source")), "left").drop("w_source").fillna(0.0, ["share"])
-    # One row per source: its sums over all sources are small whatever the number of documents.
-    all_sources = Window.partitionBy(F.lit(1))
-    target = F.sum("n").over(all_sources) * F.lit(float(epochs))
-    rate = F.try_divide(F.col("share"), F.sum("share").over(all_sources)) * target / F.col("n")
-    return counts.select("source", "n", F.coalesce(rate, F.lit(0.0)).alias("rate"))
-
-
-def distributions(source_rates: DataFrame) -> DataFrame:
-    """source, cdf: P(X <= k) for k = 0, 1, ... far past the mean, by logarithms so that large rates don't underflow."""
-    last = F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 25).cast("int")
-    rows = source_rates.where("rate > 0").select("source", "rate", F.explode(F.sequence(F.lit(0), last)).alias("k"))
-    upto = Window.partitionBy("source").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    log_factorial = F.sum(F.log(F.greatest("k", F.lit(1)).cast("double"))).over(upto)
-    rows = rows.withColumn("p", F.exp(F.col("k") * F.log("rate") - F.col("rate") - log_factorial))
-    rows = rows.withColumn("c", F.sum("p").over(upto))
-    return rows.groupBy("source").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "c"))), lambda x: x["c"]).alias("cdf"))
+    counts = settle(counts, "source-counts")
+    documents, shares = counts.agg(F.sum("n"), F.sum("share")).first()
+    rate = F.col("share") / F.lit(float(shares or 1)) * F.lit((documents or 0) * float(epochs)) / F.col("n")
+    return counts.select("source", "n", rate.alias("rate"))
+
+
+@lru_cache(maxsize=16)
+def cumulative(rate: float) -> tuple[int, np.ndarray]:
+    """The first count that matters, and P(X <= k) from there on; by logarithms, so that large rates don't underflow."""
+    low = max(0, math.floor(rate - SPREAD * math.sqrt(rate) - 25))
+    high = math.ceil(rate + SPREAD * math.sqrt(rate) + 25)
+    k = np.arange(low + 1, high + 1, dtype=float)
+    steps = np.log(rate / k)  # log of P(k) / P(k - 1)
+    if low:
+        # Sum both ways from the mode, where the steps are small, and let the whole be 1.
+        logs = np.concatenate([[0.0], np.cumsum(steps)])
+        p = np.exp(logs - logs.max())
+        return low, np.cumsum(p / p.sum())
+    return low, np.cumsum(np.exp(np.concatenate([[0.0], np.cumsum(steps)]) - rate))
+
+
+def poisson(u: np.ndarray, rate: np.ndarray) -> np.ndarray:
+    """The smallest counts k with P(X <= k) >= u."""
+    out = np.zeros(len(u), np.int64)
+    for value in np.unique(rate):
+        if value > MAX_RATE:
+            raise ValueError(f"a mean of {value:g} copies a document; lower the weight, or raise the number of documents")
+        if value > 0:
+            low, c = cumulative(float(value))
+            at = rate == value
+            out[at] = low + np.searchsorted(c, u[at])
+    return out
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, temperature: float = 0.5, epochs: float = 1.0, seed: int = 17) -> DataFrame:
     """The columns of docs with copy_no (1, 2, ...) and shuffle_key, in random order by shuffle_key within random partitions."""
-    table = distributions(rates(docs, weights, temperature, epochs)).select(F.col("source").alias("_mix_source"), F.col("cdf").alias("_mix_cdf"))
-    table = few(table, BROADCAST_SOURCES)
-    draw = uniform(seed, F.col("doc_id"))
-    drawn = docs.withColumn("_mix_u", draw).join(table, F.col("source").eqNullSafe(F.col("_mix_source")))
-    u = F.col("_mix_u")
-    counted = drawn.withColumn("_mix_n", F.size(F.filter("_mix_cdf", lambda c: c < u))).drop("_mix_cdf", "_mix_source", "_mix_u")
-    copies = counted.where("_mix_n > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("_mix_n"))))
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.col("copy_no").cast("string")))
+
+    @arrow_udf("long")
+    def copies_of(u: pa.Array, rate: pa.Array) -> pa.Array:
+        return pa.array(poisson(u.to_numpy(zero_copy_only=False), rate.to_numpy(zero_copy_only=False)))
+
+    table = few(rates(docs, weights, temperature, epochs).where("rate > 0").select(F.col("source").alias("_mix_source"), F.col("rate").alias("_mix_rate")), BROADCAST_SOURCES)
     names = [c for c in docs.columns if c not in ("copy_no", "shuffle_key")]
-    return copies.withColumn("shuffle_key", key).select(*names, "copy_no", "shuffle_key").repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    # The row is held as one struct, so that its columns may bear any name.
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_mix_row"), F.col("source").alias("_mix_of"), F.col("doc_id").alias("_mix_id"))
+    drawn = rows.join(table, F.col("_mix_of").eqNullSafe(F.col("_mix_source")))
+    counted = drawn.select("_mix_row", "_mix_id", copies_of(uniform(seed, F.col("_mix_id")), F.col("_mix_rate")).alias("n")).where("n > 0")
+    portions = counted.withColumn("portion", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {PORTION}"))))
+    first = F.col("portion") * PORTION
+    copies = portions.withColumn("copy_no", F.explode(F.sequence(first + 1, F.least("n", first + PORTION))))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("_mix_id").cast("string"), F.lit("null")), F.lit(":"), F.col("copy_no").cast("string")))
+    return copies.select("_mix_row.*", "copy_no", key.alias("shuffle_key")).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 
 
 def oracle_sql(temperature: float = 0.5, epochs: float = 1.0, seed: int = 17, table: str = "documents", columns: str = "doc_id, text, lang, source, n_chars") -> str:
@@ -82,5 +117,5 @@ def oracle_sql(temperature: float = 0.5, epochs: float = 1.0, seed: int = 17, ta
         select d.*, len(list_filter(cdf, lambda x: x < (('0x' || substr(md5('{seed}:' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint::double + 0.5) / 4503599627370496.0::double)) as reps
         from {table} d join cdf on d.source is not distinct from cdf.source
     ), copies as (select *, unnest(generate_series(1, reps)) as copy_no from drawn where reps > 0)
-    select {columns}, copy_no::int as copy_no, md5('{seed}:' || coalesce(doc_id::varchar, 'null') || ':' || copy_no::varchar) as shuffle_key from copies
+    select {columns}, copy_no::bigint as copy_no, md5('{seed}:' || coalesce(doc_id::varchar, 'null') || ':' || copy_no::varchar) as shuffle_key from copies
     """

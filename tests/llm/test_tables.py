@@ -1,5 +1,6 @@
 """Token rollups, WARC, mixing, and the pipeline."""
 
+import math
 
 import public_tokenizers
 import pytest
@@ -146,8 +147,6 @@ def test_mixing_reaches_the_targets_and_repeats_itself(spark):
 
 
 def test_poisson_counts_have_the_distribution(spark):
-    import math
-
     reps = mixing.mix(documents(spark, 4000), {"hot": 1.0}, epochs=1.0).groupBy("doc_id").count().groupBy("count").count()
     hot = sum(bool(i % 3) for i in range(4000))
     for r in reps.collect():
@@ -162,7 +161,38 @@ def test_mixing_edge_cases(spark):
     got = mixing.mix(docs, {None: 0.9, "a": 0.1}, epochs=400.0)
     assert {r.source for r in got.collect()} == {None, "a"}
     assert mixing.mix(docs, {"none": 1.0}).count() == 0 and mixing.mix(docs.limit(0)).count() == 0
-    assert mixing.distributions(spark.createDataFrame([("a", 1000.0)], "source string, rate double")).first().cdf[-1] == pytest.approx(1)
+    clash = spark.createDataFrame([(1, "a", 5, 6, "x" * 3_000_000)], "doc_id long, source string, `_mix_row` int, `a.b` int, copy_no string")
+    assert mixing.mix(clash, epochs=3.0).columns == ["doc_id", "source", "_mix_row", "a.b", "copy_no", "shuffle_key"]
+
+
+def test_poisson_inversion_equals_sums_by_hand():
+    import numpy as np
+
+    for rate in (0.001, 0.7, 3.0, 55.5, 400.0):
+        for u in (1e-12, 0.01, 0.3, 0.5, 0.77, 0.999, 1 - 1e-9):
+            k, p = 0, math.exp(-rate)
+            total = p
+            while total < u and k < 2000:
+                k += 1
+                p *= rate / k
+                total += p
+            assert abs(mixing.poisson(np.array([u]), np.array([rate]))[0] - k) <= (1 if u > 0.9999 else 0)
+
+
+def test_poisson_large_rates_in_bounded_memory(spark):
+    import numpy as np
+
+    rate = 1e9
+    low, c = mixing.cumulative(rate)
+    assert c.nbytes < 10_000_000 and c[-1] == pytest.approx(1)
+    u = (np.arange(1000) + 0.5) / 1000
+    k = mixing.poisson(u, np.full(1000, rate))
+    assert abs(k.mean() - rate) < 200 and abs(k.std() / math.sqrt(rate) - 1) < 0.01
+    with pytest.raises(ValueError):
+        mixing.poisson(u, np.full(1000, 1e12))
+    docs = spark.createDataFrame([(i, "few" if i < 2 else "many") for i in range(4)], "doc_id long, source string")
+    got = mixing.mix(docs, {"few": 1.0}, epochs=100_000.0).groupBy("doc_id").agg({"copy_no": "max", "shuffle_key": "count"}).collect()
+    assert {r.doc_id for r in got} == {0, 1} and all(r[1] == r[2] and abs(r[1] - 200_000) < 3000 for r in got)
 
 
 def test_pipeline_equals_its_operators_and_survives_odd_rows(spark, tmp_path):
