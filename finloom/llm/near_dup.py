@@ -5,20 +5,22 @@ the number of leading zeros and the ten bits after the first one (16 bits in all
 set fill, by a probing order that all sets share. Bands of eight registers are the candidate keys: a pair of similarity 0.8 misses
 all 64 bands with probability 8e-6, one of 0.3 meets in 0.4 % of cases.
 
-Links: documents with the same set are one class and only its representative goes on. In each bucket of a band the member that
+Links: documents with the same words in the same order (by a cryptographic hash of 128 bits) have the same set, so they are one
+class and only its representative goes on. In each bucket of a band the member that
 shares most buckets with others is the centre, and each class is first compared with the best centre it meets, so a group of
 thousands of near copies costs a comparison each. Connected classes are then joined; where a bucket still holds several components,
 all pairs across them are compared by their registers, in blocks. No pair within a component needs comparing, as it can't change the result. A comparison is:
 sizes that allow the similarity; the collision-corrected Jaccard estimate, with five standard errors of leeway; then the full sets.
 
 Defined results: a null or empty text has no set and is linked with nothing; a text of fewer words than a shingle is one shingle;
-rows that repeat a doc_id are the same document and must carry the same text; a null doc_id gets its group's component but is never
+very long texts are read whole; rows that repeat a doc_id are the same document and must carry the same text; a null doc_id gets its group's component but is never
 its name (alone, its component is null and it is kept); an empty table gives no rows; further columns are ignored or passed on.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -28,15 +30,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from finloom.llm.common import keep, settle, small_batches
+from finloom.llm.common import few, keep, settle, small_batches
 
 BUCKET_BITS, MANTISSA_BITS, BAND_ROWS = 9, 10, 8
 BUCKETS = 1 << BUCKET_BITS
 BANDS = BUCKETS // BAND_ROWS
 #: Mean share of registers that agree by chance, for sets of equal size (Yu and Weber, HyperMinHash).
 CHANCE = 0.169919487159739 * 2.0**-MANTISSA_BITS
-#: A centre's members are dealt to so many tasks.
-SALTS = 32
+#: A centre's members are dealt to tasks by about so many, however many it has.
+MEMBERS_PER_TASK = 1_000
+#: Groups larger than one in so many of all rows are handled apart: there are no more of them than this, so their table may be broadcast.
+LARGE_GROUPS = 100_000
 #: Up to this many candidate ids (8 bytes each) are broadcast to choose texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 MAX_WORDS = 100_000
@@ -113,9 +117,10 @@ def sketch(width: int):
     def sketched(texts: pa.Array) -> pa.Array:
         n, digest, regs = [], [], []
         for text in texts.to_pylist():
-            h = shingle_hashes(words_of(text), width)
+            words = words_of(text)
+            h = shingle_hashes(words, width)
             n.append(len(h))
-            digest.append(xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None)
+            digest.append(blake2b(b" ".join(words), digest_size=16).digest() if words else None)
             regs.append(registers(h).tobytes() if len(h) else None)
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(regs, pa.binary())], ["n", "digest", "registers"])
 
@@ -210,7 +215,9 @@ def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, perc
     side = lambda c: reps.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("registers").alias(f"r_{c}"))
     near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", arrow_udf(estimated, "double")("r_a", "r_b", "n_a", "n_b").alias("e"))
     near = keep(near.where(F.col("e") >= percent / 100 - leeway(percent)).select("a", "b"))
-    dealt = near.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+    large = near.groupBy("a").agg(F.count("*").alias("c")).where(F.col("c") > large_from(near.count()))
+    large = few(large.select("a", F.ceil(F.col("c") / MEMBERS_PER_TASK).alias("salts")), LARGE_GROUPS)
+    dealt = near.join(large, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1))).cast("int").alias("salt"))
     roles = dealt.select("a", "salt", F.col("a").alias("id"), F.lit(0).alias("role")).distinct().unionByName(dealt.select("a", "salt", F.col("b").alias("id"), F.lit(1).alias("role")))
     ids = keep(near.select(F.col("a").alias("id")).union(near.select("b")).distinct())
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
@@ -224,6 +231,11 @@ def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, perc
     return links
 
 
+def large_from(rows: int) -> int:
+    """Groups of more rows than this are large; at most LARGE_GROUPS can be."""
+    return max(MEMBERS_PER_TASK, -(-rows // LARGE_GROUPS))
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component: the smallest node reachable, for all nodes of the links (a, b).
 
@@ -232,7 +244,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     both = keep(links.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(links.select(F.col("b").alias("x"), F.col("a").alias("y"))).distinct())
     labels = keep(both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("label")).select(F.col("x").alias("node"), "label"))
-    rounds = 0
+    held, rounds = [both, labels], 0
     while True:
         around = both.join(labels, both.y == labels.node).groupBy("x").agg(F.min("label").alias("near"))
         lower = labels.join(around, labels.node == around.x).select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
@@ -240,10 +252,14 @@ def components(links: DataFrame) -> DataFrame:
         jumped = lower.join(ends, lower.label == ends.end).select("node", "was", F.least("label", "end_label").alias("label"))
         rounds += 1
         jumped = keep(jumped) if rounds % CUT_ROUNDS else settle(jumped, "labels", slim=True)
+        held.append(jumped)
         changed = jumped.where("was <> label").limit(1).count()
         labels = jumped.select("node", "label")
         if not changed:
-            return labels.withColumnRenamed("label", "component")
+            out = settle(labels.withColumnRenamed("label", "component"), "components", slim=True)
+            for df in held:
+                df.unpersist()
+            return out
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -253,7 +269,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     docs.sparkSession.conf.set("spark.sql.maxPlanStringLength", "8192")
     docs = docs.select("doc_id", "text")
     sketched = keep(docs.select("doc_id", sketch(width)("text").alias("s")).select("doc_id", "s.*"))
-    classes = sketched.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("registers").alias("registers"))
+    classes = sketched.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("registers").alias("registers"), F.count("*").alias("copies"))
     reps = keep(classes.where("rep is not null"))
 
     piece = lambda i: F.substring(F.col("registers"), i * 2 * BAND_ROWS + 1, F.lit(2 * BAND_ROWS))
@@ -261,10 +277,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(piece(i)).bitwiseAND(F.lit(-BANDS)).bitwiseOR(i.cast("long")))
     keyed = reps.select("rep", F.explode(bands).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = keep(keyed.join(shared, "key"))
+    first_members = keep(keyed.join(shared, "key"))
 
-    popular = members.groupBy("rep").agg(F.round(F.sum(F.log2("size")), 6).alias("popularity"))
-    members = settle(members.join(popular, "rep").join(reps.select("rep", "n"), "rep").select("key", "rep", "n", "popularity"), "members", slim=True)
+    popular = first_members.groupBy("rep").agg(F.round(F.sum(F.log2("size")), 6).alias("popularity"))
+    members = settle(first_members.join(popular, "rep").join(reps.select("rep", "n"), "rep").select("key", "rep", "n", "popularity"), "members", slim=True)
     centre = members.groupBy("key").agg(F.max(F.struct("popularity", (-F.col("rep")).alias("neg"), "n")).alias("c"))
     met = members.join(centre, "key").select("rep", "n", "c.popularity", (-F.col("c.neg")).alias("a"), F.col("c.n").alias("n_a"))
     fits = lambda n, m: F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m)
@@ -281,10 +297,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     more = _linked(settle(across.join(tried, ["a", "b"], "left_anti"), "across", slim=True), reps, docs, width, percent)
 
     final = components(links.unionByName(more))
-    named = reps.join(final, reps.rep == final.node, "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    out = sketched.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(named, "digest", "left")
+    named = reps.join(final, reps.rep == final.node, "left").select("digest", F.coalesce("component", "rep").alias("component"), "copies")
+    rows = sketched.select("doc_id", F.col("n").alias("n_shingles"), "digest")
+    # Large classes meet their rows by a broadcast table, the others by a shuffle, so no task gets the copies of one text.
+    limit = large_from(sketched.count())
+    large = few(named.where(F.col("copies") > limit).select("digest", "component"), LARGE_GROUPS)
+    some = rows.where("digest is not null")
+    small = some.join(large, "digest", "left_anti").join(named.where(F.col("copies") <= limit).select("digest", "component"), "digest", "left")
+    out = some.join(large, "digest").unionByName(small).unionByName(rows.where("digest is null").withColumn("component", F.lit(None).cast("long")))
     component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    out = settle(out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")), "near-duplicates")
+    for df in (sketched, reps, first_members, stars):
+        df.unpersist()
+    return out
 
 
 def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

@@ -52,8 +52,10 @@ def brute(texts, width, percent):
     return {i + 1: (len(s), find(i) + 1) for i, s in enumerate(sets)}
 
 
-@pytest.mark.parametrize("width", [4, 5])
-def test_near_duplicates_equal_brute_force(spark, width):
+@pytest.mark.parametrize("width, large", [(4, 1000), (5, 1)])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, width, large):
+    """Also where all groups of two and more are handled as large ones."""
+    monkeypatch.setattr(near_dup, "MEMBERS_PER_TASK", large)
     r = random.Random(3)
     vocabulary = [f"w{i}" for i in range(400)]
     texts = [None, "", "  ", "One", "one", "one two", "ONE  two\n", "one two three", "a b c d e f g h i j k l m", "a b c d e f g h i j k l m n"]
@@ -77,6 +79,22 @@ def test_near_duplicates_edge_cases(spark):
     assert near_dup.deduplicate(docs, 4).columns == docs.columns
 
 
+def test_near_duplicates_same_set_in_another_order_and_long_texts(spark):
+    a, b = "a b c d e", "f g h i j"
+    texts = [f"{a} {b} {a} {b} {a}", f"{a} {b} {a}", "z " + "w " * 3_000_000, "z " + "w " * 3_000_001, None, None]
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in near_dup.near_duplicates(frame(spark, texts), 4, 80).collect()}
+    assert got == brute([t if len(t or "") < 1000 else t[:60] for t in texts], 4, 80)
+
+
+def test_near_duplicates_of_a_template_that_are_none(spark):
+    """Texts that share most words but too few: many candidates, no link."""
+    template = [f"t{i}" for i in range(160)]
+    texts = [" ".join(template[:80] + [f"u{k}_{i}" for i in range(40)] + template[80:]) for k in range(600)]
+    texts += [texts[5] + " more", texts[17].replace("u17_3", "other")]
+    got = {x.doc_id: x.component_id for x in near_dup.near_duplicates(frame(spark, texts), 5, 80).collect()}
+    assert got == {k: {601: 6, 602: 18}.get(k, k) for k in range(1, 603)}
+
+
 def test_estimate_is_near_the_true_similarity():
     import numpy as np
     import pyarrow as pa
