@@ -1,8 +1,11 @@
 """BPE, quality rules, classifier, extraction, licences."""
 
 import hashlib
+import itertools
+import math
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -121,6 +124,53 @@ def test_quality_verdicts_hold_for_rows_without_ids_of_their_own(spark):
     assert by_text(got.collect()) == by_text(good)
 
 
+def points(spark, groups):
+    """Rows of whole-numbered statistics, a group each."""
+    rows = [(0, f"={g}", "", *map(int, x)) for g, xs in enumerate(groups) for x in xs]
+    return spark.createDataFrame(rows, "_qr_level int, _qr_lang string, _qr_source string, " + ", ".join(f"{x} long" for x in quality_rules.X))
+
+
+def test_mcd_equals_brute_force(spark):
+    """Of all subsets of three quarters of the rows none has a lower determinant."""
+    r = np.random.default_rng(3)
+    groups = []
+    for _ in range(4):
+        mix = r.normal(0, 1, (6, 6)) * 400
+        clean = r.normal(0, 1, (12, 6)) @ mix
+        groups.append(np.concatenate([clean, r.normal(0, 1, (4, 6)) * 300 + 9000]).round())
+    found, _ = quality_rules.concentrated(points(spark, groups))
+    got = {x._qr_lang: x for x in found.collect()}
+    for g, xs in enumerate(groups):
+        lowest = None
+        for subset in itertools.combinations(range(16), 12):
+            part = xs[list(subset)] / quality_rules.SCALE
+            cov = quality_rules.floored(np.cov(part.T, bias=True) * quality_rules._consistency(0.75))
+            lowest = min(lowest or (math.inf,), (np.linalg.slogdet(cov)[1], part.mean(axis=0).tolist()))
+        x = got[f"={g}"]
+        assert abs(x._qr_logdet - lowest[0]) < 1e-6 and np.allclose(x._qr_m, lowest[1])
+
+
+def test_mcd_finds_an_outlier_against_the_correlation(spark):
+    """One that neither the floors nor the spread of each statistic tell apart."""
+    r = np.random.default_rng(5)
+    a = r.normal(0, 500, (600, 1))
+    xs = np.concatenate([a + r.normal(0, 60, (600, 1)), a + r.normal(0, 60, (600, 1)), r.normal(0, 100, (600, 4))], axis=1).round()
+    outlier = np.array([700, -700, 0, 0, 0, 0])
+    (x,) = quality_rules.mcd(points(spark, [np.concatenate([xs, [outlier] * 60])])).collect()
+    gap, cov = outlier / quality_rules.SCALE - np.array(x._qr_m), np.array(x._qr_cov).reshape(6, 6)
+    cut = quality_rules.chi2_quantile(quality_rules.TAIL, 6)
+    assert gap @ np.linalg.inv(cov) @ gap > cut > gap @ np.diag(1 / np.diag(cov)) @ gap
+    assert np.allclose(np.array(x._qr_inv).reshape(6, 6), np.linalg.inv(cov))
+
+
+def test_quality_verdicts_do_not_depend_on_the_layout_of_rows(spark):
+    r = random.Random(11)
+    words = ["".join(r.choices("abcdefghij", k=r.randint(2, 9))) for _ in range(500)]
+    docs = spark.createDataFrame([(i, " ".join(r.choices(words, k=r.randint(20, 90))) + "\n#" * r.randint(0, 9), r.choice("ab"), r.choice("xyz") if i % 3 else "hot") for i in range(300)], "doc_id int, text string, lang string, source string")
+    key = lambda df: sorted(map(tuple, quality_rules.verdicts(df).collect()))
+    assert key(docs.repartition(1)) == key(docs.repartition(7, "text"))
+
+
 def test_chi_squared():
     assert abs(quality_rules.chi2_quantile(0.05, 4) - 9.487729) < 1e-5 and abs(quality_rules.chi2_cdf(9.487729, 4) - 0.95) < 1e-6
 
