@@ -15,14 +15,10 @@ TOKENIZERS = {"byte_bpe_50k": "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k": "by
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after one batch that inserts all documents, and the same batch again, which must change nothing."""
-    docs = table(spark, sf_dir, "documents")
+    """Totals after all documents are inserted, some revised and some deleted, with batches out of order and sent twice."""
     files = {name: public_tokenizers.path(f) for name, f in TOKENIZERS.items()}
-    changes = token_counts.as_inserts(docs, files, public_tokenizers.PATTERN)
     rollup = token_counts.TokenRollup(spark, new_folder(spark, "token-rollup"))
-    rollup.commit("documents", changes)
-    rollup.commit("documents", changes)
-    return rollup.totals()
+    return token_counts.history(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), rollup, files, public_tokenizers.PATTERN)
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

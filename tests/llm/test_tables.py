@@ -24,21 +24,50 @@ def test_rollup_of_signed_batches(spark):
     assert got == {("a", "en", "v1"): (2, 17), (None, None, None): (1, 0)}
 
 
-def test_an_attempt_that_died_leaves_no_trace(spark):
-    rollup = token_counts.TokenRollup(spark, new_folder(spark, "t"))
+def test_an_attempt_that_died_leaves_no_trace_and_one_of_two_writers_wins(spark):
+    rollup, other = (token_counts.TokenRollup(spark, root) for root in [new_folder(spark, "t")] * 2)
     rows = spark.createDataFrame([("a", "en", "v1", "insert", 10, None)], CHANGES)
-    token_counts.signed(rows).write.parquet(f"{rollup.root}/_attempt=1")
+    token_counts.signed(rows).write.parquet(f"{rollup.root}/deltas/attempt=dead")
     assert rollup.totals().count() == 0 and rollup.commit("1", rows)
-    assert [(r.n_docs, r.n_tokens) for r in rollup.totals().collect()] == [(1, 10)]
+    # The other writer looked before the first one published.
+    assert not other._store(token_counts.signed(rows), other._manifest("1"), [])
+    assert [(r.n_docs, r.n_tokens) for r in other.totals().collect()] == [(1, 10)]
+
 
+def test_rollup_moves_and_compaction(spark):
+    rollup = token_counts.TokenRollup(spark, new_folder(spark, "t"))
+    more = CHANGES + ", old_source string, old_lang string, note string"
+    rollup.commit("1", spark.createDataFrame([("a", "en", "v1", "insert", 10, None)] * 3, CHANGES))
+    rollup.commit("2", spark.createDataFrame([("b", None, "v1", "move", 12, 10, "a", "en", "x")], more))
+    want = {("a", "en"): (2, 20), ("b", None): (1, 12)}
+    got = lambda: {(r.source, r.lang): (r.n_docs, r.n_tokens) for r in rollup.totals().collect()}
+    assert got() == want
+    assert rollup.compact() and got() == want and len(rollup._live()) == 1 and not rollup.compact()
+    assert not rollup.commit("2", spark.createDataFrame([("a", "en", "v1", "insert", 1, None)], CHANGES)) and got() == want
+    assert rollup.commit("3", spark.createDataFrame([("a", "en", "v1", "delete", 10, None)], CHANGES)) and got() == {**want, ("a", "en"): (1, 10)}
+
+
+def test_history_equals_counting_the_final_state(spark):
+    """DuckDB counts the documents that are left, by a table of tokens of each text from the library's own encoder."""
+    import duckdb
 
-def test_counts_equal_the_tokenizer(spark):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    texts = ["Some words here.", "", None, "x" * 50]
-    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id int, text string, lang string, source string")
-    got = {r.doc_id: r.n_tokens for r in token_counts.as_inserts(docs, {"v": path}, public_tokenizers.PATTERN).collect()}
-    count = token_counts.encoding(path, public_tokenizers.PATTERN).encode_ordinary
-    assert got == {i: len(count(t or "")) for i, t in enumerate(texts)}
+    texts = ["Some  words here.", "two\n\n\nlines ", None, "", "x" * 200_000, "gone soon", " poor  and toxic ", "kept"]
+    rows = [(i, t, "en" if i % 2 else None, "hot" if i % 3 else "s") for i, t in enumerate(texts)]
+    labels = [(1, 0, 0), (5, 1, 1), (6, 0, 1), (6, 0, 1), (7, None, None), (None, 0, 1), (99, 0, 1)]
+    docs = spark.createDataFrame([(*r, 5) for r in rows], "doc_id long, text string, lang string, source string, tokenizer int")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    rollup = token_counts.TokenRollup(spark, new_folder(spark, "t"))
+    got = token_counts.history(docs, marks, rollup, {"v": path}, public_tokenizers.PATTERN)
+    final = {1: "two lines", 6: "poor and toxic"}
+    coder = bpe._encoder(path, public_tokenizers.PATTERN)
+    con = duckdb.connect()
+    con.execute("create table d (doc_id int, lang varchar, source varchar, n bigint); create table l (doc_id int, quality int, toxic int)")
+    con.executemany("insert into d values (?, ?, ?, ?)", [(i, lang, source, len(coder.encode(final.get(i, t) or ""))) for i, t, lang, source in rows])
+    con.executemany("insert into l values (?, ?, ?)", labels)
+    want = con.execute("select source, lang, 'v' as tokenizer, count(*), sum(n)::bigint from d where doc_id not in (select doc_id from l where toxic = 1 and doc_id is not null) group by all").fetchall()
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    assert token_counts.history(docs.limit(0), marks, token_counts.TokenRollup(spark, new_folder(spark, "t")), {"v": path}, public_tokenizers.PATTERN).count() == 0
 
 
 HTML = "<p>ü\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\nWARC/</p>"
