@@ -2,57 +2,50 @@
 
 The grouping key is (MD5, normalised text). MD5 spreads the rows and orders the local sorts; the text beside it makes Spark
 compare bytes within each hash, so two texts of one hash are never merged. Each map task sends one row per distinct text, however
-many copies it saw. The verdict then joins back by digests alone; a digest with a third of all rows is a skewed side that
-adaptive execution splits.
+many copies it saw. The verdict then joins back by digests (MD5 and SHA-256) alone; a digest with a third of all rows is a skewed
+side that adaptive execution splits.
 
 Defined results: a null text is empty, and all empty texts form one group; of equal texts the one with the most code points
-stays, then the smallest doc_id; a null doc_id loses to any other. Rows that repeat a document (the same doc_id and text) share
-its verdict. An empty table gives no rows. Further columns pass through deduplicate() untouched, whatever their names.
+stays, then the smallest doc_id; a null doc_id loses to any other. Rows that repeat a document (the same doc_id and normalised
+text) share its verdict; deduplicate() keeps one of them. Texts of any length are read whole. An empty table gives no rows. Further
+columns pass through deduplicate() untouched, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finloom.llm.common import SPACE
+#: The characters that normalising deletes.
+DELETED = " \t\n\x0b\x0c\r"
 
 
-def _keyed(docs: DataFrame, text: str) -> DataFrame:
-    t = F.coalesce(F.col(text), F.lit(""))
-    return docs.withColumns({"_xd_text": F.regexp_replace(t, SPACE, ""), "_xd_len": F.length(t)}).withColumns(
-        {"_xd_hash": F.unhex(F.md5("_xd_text")), "_xd_sha": F.sha2("_xd_text", 256)}
-    )
+def normalised(text: Column) -> Column:
+    return F.translate(F.coalesce(text, F.lit("")), DELETED, "")
 
 
 def _groups(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """One row per distinct normalised text: its digests, the doc_id that stays and the number of rows."""
-    best = F.max(F.struct(F.col("_xd_len"), (-F.col(doc_id)).alias("neg")))
-    return (
-        _keyed(docs, text)
-        .groupBy("_xd_hash", "_xd_text", "_xd_sha")
-        .agg(best.alias("best"), F.count("*").alias("_xd_size"))
-        .select("_xd_hash", "_xd_sha", (-F.col("best.neg")).alias("_xd_keep"), "_xd_size")
-    )
+    rows = docs.select(F.col(doc_id).alias("id"), F.length(F.coalesce(F.col(text), F.lit(""))).alias("size"), normalised(F.col(text)).alias("norm"))
+    best = F.max(F.struct("size", (-F.col("id")).alias("neg"))).alias("best")
+    groups = rows.groupBy(F.md5("norm").alias("hash"), "norm").agg(best, F.count("*").alias("group_size"))
+    return groups.select("hash", F.sha2("norm", 256).alias("sha"), (-F.col("best.neg")).alias("keep_id"), "group_size")
 
 
 def verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = _keyed(docs.select(doc_id, text), text).select(doc_id, "_xd_hash", "_xd_sha")
-    return rows.join(_groups(docs.select(doc_id, text), doc_id, text), ["_xd_hash", "_xd_sha"]).select(
-        F.col(doc_id),
-        F.col("_xd_keep").alias("keep_id"),
-        F.col("_xd_size").alias("group_size"),
-        F.col(doc_id).eqNullSafe(F.col("_xd_keep")).alias("kept"),
-        F.col("_xd_sha").alias("text_sha256"),
-    )
+    rows = docs.select(F.col(doc_id).alias("id"), normalised(F.col(text)).alias("norm")).select("id", F.md5("norm").alias("hash"), F.sha2("norm", 256).alias("sha"))
+    kept = F.col("id").eqNullSafe(F.col("keep_id")).alias("kept")
+    return rows.join(_groups(docs, doc_id, text), ["hash", "sha"]).select(F.col("id").alias("doc_id"), "keep_id", "group_size", kept, F.col("sha").alias("text_sha256"))
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that stay, with their columns."""
-    rows = _keyed(docs, text).drop("_xd_text", "_xd_len")
-    kept = rows.join(_groups(docs.select(doc_id, text), doc_id, text), ["_xd_hash", "_xd_sha"]).where(F.col(doc_id).eqNullSafe(F.col("_xd_keep")))
-    return kept.select(*docs.columns)
+    # The row is held as one struct, so that its columns may bear any name.
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), normalised(F.col(text)).alias("norm"))
+    rows = rows.select("row", F.col(f"row.`{doc_id}`").alias("id"), F.md5("norm").alias("hash"), F.sha2("norm", 256).alias("sha"))
+    kept = rows.join(_groups(docs, doc_id, text), ["hash", "sha"]).where(F.col("id").eqNullSafe(F.col("keep_id")))
+    return kept.dropDuplicates(["hash", "sha"]).select("row.*")
 
 
 ORACLE_SQL = r"""

@@ -5,11 +5,13 @@ the evidence, and a logistic curve fitted on labelled texts that no dictionary s
 compressed apart, so that the evidence per byte doesn't fade as a long text becomes its own dictionary; every byte of a text counts.
 
 The fit is bounded: at most MAX_TEXTS labelled texts a class for the dictionaries, MAX_CHUNKS chunks of CHUNK characters of them,
-and MAX_TEXTS other texts a class for the curve, all drawn by hash. Scoring covers all rows.
+and MAX_TEXTS other texts a class for the curve, all drawn by hash. Where zstandard's trainer refuses the samples (a handful, or all
+alike), the dictionary is the samples themselves. Scoring covers all rows.
 
 Defined results: an empty or null text has no evidence and gets the curve's value at zero; rows without a label score like others;
-a null label is no label; if a class has no labelled text, every score is the share of label 1 (0.5 without labels); repeated rows
-score alike; an empty table gives no rows; further columns are ignored.
+a null label is no label; of several labels of one doc_id the lowest counts, and of several texts of it all; if a class has no labelled text, every score is the share of label 1 (0.5 without labels); repeated rows
+score alike; long texts are compressed whole; an empty table gives no rows; further columns pass through, and one named as the score is
+replaced.
 """
 
 from __future__ import annotations
@@ -80,14 +82,15 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     """
     small_batches(docs.sparkSession)
     half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2))
-    slim = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id", F.col("quality").cast("int").alias("quality"), half.alias("half"))
+    slim = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
+    slim = slim.withColumn("half", half)
     counts = {(r["half"], r["quality"]): r["count"] for r in slim.groupBy("half", "quality").count().collect()}
     total = sum(counts.values())
     share = sum(n for (_, q), n in counts.items() if q) / total if total else 0.5
     drawn = [r for h in (0, 1) for q in (0, 1) for r in slim.where((F.col("half") == h) & (F.col("quality") == q)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TEXTS).collect()]
     if not all(counts.get((0, q)) for q in (0, 1)):
         return {"constant": share}
-    chosen = F.broadcast(docs.sparkSession.createDataFrame(drawn, slim.schema).distinct())
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(drawn, slim.schema))
     rows = keep(docs.select("doc_id", "text").where("text <> ''").join(chosen, "doc_id"))
     starts = F.sequence(F.lit(1), F.length("text"), F.lit(CHUNK))
     pieces = F.transform(starts, lambda s: F.struct(s.alias("at"), F.substring(F.col("text"), s, F.lit(CHUNK)).alias("chunk")))
@@ -109,16 +112,13 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
 
 
 def _dictionary(samples: list[bytes]) -> bytes:
-    """Trained where there is enough to train on, else the samples themselves as raw content."""
+    """Trained; where the trainer refuses, as it does for a handful of samples, the samples themselves are the dictionary."""
     if not samples:
         return b""
-    total = sum(map(len, samples))
-    if len(samples) >= 50 and total >= 8 * 1024:
-        try:
-            return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(1024, total // 4)), samples).as_bytes()
-        except zstandard.ZstdError:  # too little variety for the trainer
-            pass
-    return b"\n".join(samples)[-DICTIONARY_BYTES:]
+    try:
+        return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(1024, sum(map(len, samples)) // 4)), samples).as_bytes()
+    except zstandard.ZstdError:
+        return b"\n".join(samples)[-DICTIONARY_BYTES:]
 
 
 def score(docs: DataFrame, model: dict, text: str = "text", out: str = "score") -> DataFrame:

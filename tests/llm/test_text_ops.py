@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -209,3 +210,47 @@ def test_licences(spark):
         assert got[0][0] == "MIT" and got[1] == (None, "Apache-2.0,MIT", 2)
         assert all(got[i] == (None, "", 0) for i in (2, 3, 4, 5))
     assert licenses.scan(docs.limit(0), licenses.known_digests(spark), 1).count() == 0
+
+
+def test_licences_equal_the_sql_at_line_ends_and_repeats(spark):
+    import duckdb
+
+    odd = ["Some words.\rCopyright 2020 X and lots", "\r\nCopyright 2020 X\r\nAll rights reserved.\r\nMIT", "a\u0085(c) b", "x\u2028copyright y", "Licensed under CC BY 4.0.\r\nmore", "  # " + licenses.ZLIB.replace("\n\n", "\r\n# "), "MIT License\n" * 50_000, None, ""]
+    rows = [(i, t, "en") for i, t in enumerate(odd)] + [(None, "Licensed under CC BY 4.0.", "en"), (None, "SPDX-License-Identifier: GPL-3.0-only", "en"), (4, odd[4], "en")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, licence string")
+    got = licenses.scan(docs, licenses.known_digests(spark), len(licenses.KNOWN)).collect()
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id int, text varchar, licence varchar)")
+    con.executemany("insert into documents values (?, ?, ?)", rows)
+    want = con.execute(licenses.oracle_sql()).fetchall()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert {r.doc_id: r.line_licences for r in got}[None] == "CC-BY-4.0,GPL-3.0"
+
+
+def test_licences_of_whole_texts_and_of_a_folder(spark, tmp_path):
+    whole = [("BSD-3-Clause", "BSD 3-Clause License\nCopyright (c) 1999, A\nAll rights reserved.\n" + licenses.BSD_2 + licenses.BSD_3 + licenses.BSD_END), ("Zlib", licenses.ZLIB), ("LGPL-2.1", licenses.gnu_notice(licenses.GNU["LGPL"], "2.1")), ("MPL-2.0", licenses.MPL_NOTICE.lower())]
+    docs = spark.createDataFrame([(n, t) for n, t in whole], "doc_id string, text string")
+    assert {r.doc_id: r.text_licence for r in licenses.scan(docs, licenses.known_digests(spark), 300).collect()} == {n: n for n, _ in whole}
+    (tmp_path / "Own-1.0.txt").write_text("Do what you like.\nBut not that.")
+    docs = spark.createDataFrame([(1, "DO what you like; but not that")], "doc_id int, text string")
+    assert licenses.scan(docs, licenses.digests_of_folder(spark, str(tmp_path)), 1).first().text_licence == "Own-1.0"
+
+
+def test_classifier_is_right_on_held_out_labels(spark):
+    """A classifier without compression, by hand: the share of marked words, which separates these texts."""
+    r = random.Random(12)
+    words = ["".join(r.choices("abcdefghij", k=r.randint(2, 6))) for _ in range(300)]
+    texts = [" ".join(w.upper() + "$$" if r.random() < (0.1 if i % 3 else 0.6) else w for w in r.choices(words, k=r.randint(20, 200))) for i in range(900)]
+    docs = spark.createDataFrame([(i, t, 0.5) for i, t in enumerate(texts)], "doc_id int, text string, score double")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(900)] + [(0, 1), (3, None), (None, 1)], "doc_id int, quality int")
+    held = [i for i in range(900) if zlib.crc32(str(i).encode()) % 5 == 0]
+    got = quality_classifier.score(docs, quality_classifier.train(docs, labels.where(~quality_classifier.held_out())))
+    assert got.columns == docs.columns
+    score = {x.doc_id: x.score for x in got.collect()}
+    good, bad = [score[i] for i in held if i % 3], [score[i] for i in held if i % 3 == 0]
+    auc = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / len(good) / len(bad)
+    right = sum(g >= 0.3 for g in good) + sum(b < 0.3 for b in bad)
+    error = abs(sum(score[i] for i in held) / len(held) - len(good) / len(held))
+    assert auc > 0.98 and right > 0.95 * len(held) and error < 0.05
+    by_hand = {i: 1 - texts[i].count("$$") / len(texts[i].split()) for i in held}
+    assert sum((by_hand[i] > 0.65) == (score[i] >= 0.5) for i in held) > 0.95 * len(held)
