@@ -226,10 +226,12 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         self.pieces = Pieces(Transducer(read_ranks(path)))
         self.pattern, self.latin = regex.compile(pattern), latin_pattern(pattern)
+        # Whether pieces of this pattern do end there; if not, texts aren't split into parts.
+        self.cuts = all(self.pattern.findall(a + " " + b) == self.pattern.findall(a) + self.pattern.findall(" " + b) for a in ("ab", "Ж", "日本", "don't") for b in ("cd", "ñ", "Ж", "語"))
 
     def _parts(self, text: str):
         at = 0
-        while len(text) - at > PART_CHARS and (cut := CUT.search(text, at + PART_CHARS)):
+        while self.cuts and len(text) - at > PART_CHARS and (cut := CUT.search(text, at + PART_CHARS)):
             yield text[at : cut.start()]
             at = cut.start()
         yield text[at:] if at else text
@@ -239,8 +241,37 @@ class Encoder:
         return np.frombuffer(b"".join(b"".join(map(self.pieces.__getitem__, pieces_of(part))) for part in self._parts(text)), np.int32)
 
 
+#: What may follow a byte of these ranges in UTF-8 (first, last, continuation bytes that must follow, range of the next one).
+LEADS = [
+    (0x00, 0x7F, 0, 0, 0),
+    (0xC2, 0xDF, 1, 0x80, 0xBF),
+    (0xE0, 0xE0, 2, 0xA0, 0xBF),
+    (0xE1, 0xEC, 2, 0x80, 0xBF),
+    (0xED, 0xED, 2, 0x80, 0x9F),
+    (0xEE, 0xEF, 2, 0x80, 0xBF),
+    (0xF0, 0xF0, 3, 0x90, 0xBF),
+    (0xF1, 0xF3, 3, 0x80, 0xBF),
+    (0xF4, 0xF4, 3, 0x80, 0x8F),
+]
+#: The states: how many bytes are to come, and the range that the next must lie in.
+START = (0, 0, 0)
+LEAD_STATES = {byte: (n, low, high) for first, last, n, low, high in LEADS for byte in range(first, last + 1)}
+
+
+def next_state(state: tuple[int, int, int], byte: int) -> tuple[int, int, int]:
+    """One step of the UTF-8 state machine; a byte that can't follow ends the sequence and is looked at anew."""
+    n, low, high = state
+    if n and low <= byte <= high:
+        return (n - 1, 0x80, 0xBF) if n > 1 else START
+    return LEAD_STATES.get(byte, START)
+
+
 class Utf8Stream:
-    """Text from bytes that come in any pieces: an incomplete sequence at the end waits for what follows."""
+    """Text from bytes that come in any pieces: an incomplete sequence at the end waits for what follows.
+
+    The state at the end of a piece depends on its last three bytes only, so the machine runs over these; the bytes before the
+    sequence that is still open are whole characters, or wrong ones, and are decoded at once.
+    """
 
     def __init__(self):
         self.held = b""
@@ -249,13 +280,13 @@ class Utf8Stream:
         data = self.held + data
         keep = 0
         if not last:
-            # Walk back over continuation bytes to the lead byte; hold the sequence if it wants more than is there.
-            for back in range(1, min(3, len(data)) + 1):
-                byte = data[-back]
-                if byte & 0xC0 != 0x80:
-                    want = 4 if byte >= 0xF0 else 3 if byte >= 0xE0 else 2 if byte >= 0xC0 else 1
-                    keep = back if want > back else 0
-                    break
+            state, first = START, max(0, len(data) - 3)
+            for at in range(first, len(data)):
+                was, state = state, next_state(state, data[at])
+                if state == START:
+                    keep = 0
+                else:
+                    keep = keep + 1 if was != START and was[1] <= data[at] <= was[2] else 1
         self.held = data[len(data) - keep :] if keep else b""
         return (data[: len(data) - keep] if keep else data).decode("utf-8", "replace")
 

@@ -62,6 +62,21 @@ def test_utf8_stream_equals_decoding_at_once(text, cuts):
     assert "".join(stream.feed(data[a:b]) for a, b in zip(at, at[1:])) + stream.feed(b"", last=True) == data.decode()
 
 
+@given(st.binary(max_size=40), st.lists(st.integers(0, 40), max_size=6))
+def test_utf8_stream_of_any_bytes(data, cuts):
+    stream = bpe.Utf8Stream()
+    at = [0, *sorted(min(c, len(data)) for c in cuts), len(data)]
+    assert "".join(stream.feed(data[a:b]) for a, b in zip(at, at[1:])) + stream.feed(b"", last=True) == data.decode("utf-8", "replace")
+
+
+def test_bpe_patterns_whose_pieces_span_words_are_not_cut(monkeypatch):
+    monkeypatch.setattr(bpe, "PART_CHARS", 5)
+    whole, cut = bpe.Encoder(PATH, r"\p{L}+ \p{L}+|[\s\S]"), bpe.Encoder(PATH, public_tokenizers.PATTERN)
+    text = "some words that go on"
+    assert not whole.cuts and cut.cuts
+    assert whole.encode(text).tolist() == token_counts.encoding(PATH, r"\p{L}+ \p{L}+|[\s\S]").encode_ordinary(text)
+
+
 def plain_stats(text):
     text = text or ""
     norm = text
