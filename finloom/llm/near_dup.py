@@ -38,7 +38,7 @@ BANDS = BUCKETS // BAND_ROWS
 #: Mean share of registers that agree by chance, for sets of equal size (Yu and Weber, HyperMinHash).
 CHANCE = 0.169919487159739 * 2.0**-MANTISSA_BITS
 #: A centre's members are dealt to tasks by about so many, however many it has.
-MEMBERS_PER_TASK = 1_000
+MEMBERS_PER_TASK = 128
 #: Groups larger than one in so many of all rows are handled apart: there are no more of them than this, so their table may be broadcast.
 LARGE_GROUPS = 100_000
 #: Up to this many candidate ids (8 bytes each) are broadcast to choose texts; more are joined by a shuffle.
