@@ -309,19 +309,19 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
     """docs with the token ids of each whole text, as the rank file at path (on every node) and the pattern give them."""
     small_batches(docs.sparkSession)
 
-    @arrow_udf("array<int>")
     def encoded(texts: pa.Array) -> pa.Array:
         coder = _encoder(path, pattern)
         gc.disable()  # hundreds of thousands of states live long; _reset() collects those it gives up
         try:
-            found = [coder.encode(t or "") for t in texts.to_pylist()]
+            found = [coder.encode(t.as_py() or "") for t in texts]
         finally:
             gc.enable()
         offsets = np.zeros(len(found) + 1, np.int32)
         np.cumsum([len(x) for x in found], out=offsets[1:])
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found) if found else np.zeros(0, np.int32)))
 
-    return docs.withColumn(ids, encoded(F.col(text)))
+    # Called nondeterministic, as the optimizer would run it once for the ids and once more for each use of them.
+    return docs.withColumn(ids, arrow_udf(encoded, "array<int>").asNondeterministic()(F.col(text)))
 
 
 def decode(rows: DataFrame, path: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:

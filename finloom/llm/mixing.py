@@ -86,7 +86,6 @@ def poisson(u: np.ndarray, rate: np.ndarray) -> np.ndarray:
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, temperature: float = 0.5, epochs: float = 1.0, seed: int = 17) -> DataFrame:
     """The columns of docs with copy_no (1, 2, ...) and shuffle_key, in random order by shuffle_key within random partitions."""
 
-    @arrow_udf("long")
     def copies_of(u: pa.Array, rate: pa.Array) -> pa.Array:
         return pa.array(poisson(u.to_numpy(zero_copy_only=False), rate.to_numpy(zero_copy_only=False)))
 
@@ -94,8 +93,9 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, tempera
     names = [c for c in docs.columns if c not in ("copy_no", "shuffle_key")]
     # The row is held as one struct, so that its columns may bear any name.
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_mix_row"), F.col("source").alias("_mix_of"), F.col("doc_id").alias("_mix_id"))
+    # Called nondeterministic, so that it runs once and not again for the filter.
     drawn = rows.join(table, F.col("_mix_of").eqNullSafe(F.col("_mix_source")))
-    counted = drawn.select("_mix_row", "_mix_id", copies_of(uniform(seed, F.col("_mix_id")), F.col("_mix_rate")).alias("n")).where("n > 0")
+    counted = drawn.select("_mix_row", "_mix_id", arrow_udf(copies_of, "long").asNondeterministic()(uniform(seed, F.col("_mix_id")), F.col("_mix_rate")).alias("n")).where("n > 0")
     portions = counted.withColumn("portion", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {PORTION}"))))
     first = F.col("portion") * PORTION
     copies = portions.withColumn("copy_no", F.explode(F.sequence(first + 1, F.least("n", first + PORTION))))

@@ -21,6 +21,7 @@ rows; further columns, of any name, pass through reject() untouched.
 from __future__ import annotations
 
 import math
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -48,19 +49,40 @@ BROADCAST_GROUPS = 20_000
 P = len(FLOORS)
 
 
-def repetition(words: list[bytes]) -> tuple[int, int]:
-    """How many words stand in a window of eight that occurs twice or more, and how many equal the word before."""
+#: Long texts are cut into words so many bytes at a time.
+PART_BYTES = 1 << 20
+WHITE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_codes(data: bytes) -> tuple[np.ndarray, int]:
+    """A number for each word, equal for equal words; and how many words are in capitals.
+
+    bytes.split() cuts at the six white-space characters of ASCII, as the contract has them.
+    """
     codes: dict[bytes, int] = {}
-    ids = np.fromiter((codes.setdefault(w, len(codes)) for w in words), np.int64, len(words))
-    stutters = int((ids[1:] == ids[:-1]).sum())
-    if len(words) <= WINDOW:
+    parts, capitals, at = [np.zeros(0, np.int64)], 0, 0
+    while at < len(data):
+        end = len(data)
+        if end - at > PART_BYTES and (cut := WHITE.search(data, at + PART_BYTES)):
+            end = cut.start()
+        words = data[at:end].split()
+        parts.append(np.fromiter((codes.setdefault(w, len(codes)) for w in words), np.int64, len(words)))
+        capitals += sum(map(bytes.isupper, words))
+        at = end
+    return np.concatenate(parts), capitals
+
+
+def repetition(ids: np.ndarray) -> tuple[int, int]:
+    """How many words stand in a window of eight that occurs twice or more, and how many equal the word before."""
+    n, stutters = len(ids), int((ids[1:] == ids[:-1]).sum())
+    if n <= WINDOW:
         return 0, stutters
     for step in (1, 2, 4):  # ids of windows of two, four, eight words
         ids = np.unique(ids[:-step] * (int(ids.max()) + 1) + ids[step:], return_inverse=True)[1]
     again = np.bincount(ids)[ids] > 1
     if not again.any():
         return 0, stutters
-    edges = np.zeros(len(words) + 1, np.int64)
+    edges = np.zeros(n + 1, np.int64)
     np.add.at(edges, np.flatnonzero(again), 1)
     np.add.at(edges, np.flatnonzero(again) + WINDOW, -1)
     return int((np.cumsum(edges) > 0).sum()), stutters
@@ -70,13 +92,15 @@ STATISTICS = "struct<n_words: long, word_chars: long, n_symbols: long, n_dup_lin
 
 
 def statistics(texts: pa.Array) -> pa.Array:
+    """Read from the texts' UTF-8 bytes: all that is counted is ASCII, and code points are the bytes that continue none."""
     rows = []
-    for text in texts.to_pylist():
-        text = text or ""
-        words = text.encode("utf-8", "surrogatepass").split()  # at the six white-space characters of ASCII, as the contract has them
-        repeated, stutters = repetition(words)
-        lines = [x for x in text.split("\n") if x.strip(" \t\r\x0b\x0c")]
-        rows.append((len(words), len(text) - sum(map(text.count, " \t\n\r\x0b\x0c")), sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated, len(lines), stutters, sum(map(bytes.isupper, words))))
+    for text in texts:
+        data = text.as_buffer().to_pybytes() if text.is_valid else b""
+        ids, capitals = word_codes(data)
+        repeated, stutters = repetition(ids)
+        points = len(data) - int((np.frombuffer(data, np.uint8) & 0xC0 == 0x80).sum())
+        lines = [x for x in data.split(b"\n") if x.strip(b" \t\r\x0b\x0c")]
+        rows.append((len(ids), points - sum(map(data.count, (b" ", b"\t", b"\n", b"\r", b"\x0b", b"\x0c"))), sum(data.count(s.encode()) for s in SYMBOLS), len(lines) - len(set(lines)), repeated, len(lines), stutters, capitals))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stutters", "n_capitals"]
     return pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in (zip(*rows) if rows else [[]] * 8)], names)
 

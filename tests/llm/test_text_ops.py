@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -103,6 +104,17 @@ def test_quality_statistics_equal_brute_force(spark):
         assert x.base_failed == (want[0] < 20 or 100 * want[4] > 30 * want[0]) and not (x.base_failed and x.kept)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=st.sampled_from("aAbé日🙂 \t\n\r\x0b\x0c\x85\xa0#*&"), max_size=200), st.integers(1, 9))
+def test_quality_statistics_of_any_text_in_parts(text, part):
+    was, quality_rules.PART_BYTES = quality_rules.PART_BYTES, part
+    try:
+        (x,) = quality_rules.statistics(pa.array([text])).to_pylist()
+    finally:
+        quality_rules.PART_BYTES = was
+    assert (x["n_words"], x["word_chars"], x["n_symbols"], x["n_dup_lines"], x["n_repeat_words"]) == plain_stats(text)
+
+
 def test_quality_outliers_go_and_clean_documents_stay(spark):
     r = random.Random(4)
     words = ["".join(r.choices("abcdefghij", k=r.randint(2, 9))) for _ in range(3000)]
