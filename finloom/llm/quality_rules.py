@@ -289,21 +289,27 @@ def _judges(fit: DataFrame) -> tuple[DataFrame, bool]:
     return table, table.count() <= BROADCAST_GROUPS
 
 
+def _measured(docs: DataFrame, names: list[str], text: str) -> DataFrame:
+    """The named columns as one struct (so they may bear any name), the statistics, base_failed, and what judges are found by."""
+    row = F.struct(*(F.col(f"`{c}`") for c in names)) if names else F.lit(None)
+    rows = docs.select(row.alias("_qr_row"), "lang", "source", arrow_udf(statistics, STATISTICS)(F.col(text)).alias("_qr_s")).select("_qr_row", "lang", "source", "_qr_s.*")
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    named = {f"_qr_{c}": F.concat(F.lit("="), F.coalesce(c, F.lit("\0"))) for c in ("lang", "source")}
+    return rows.withColumn("base_failed", failed).withColumns({**_vector(), **named})
+
+
+def _judged(rows: DataFrame, judges: DataFrame, small: bool, tail: float) -> DataFrame:
+    joined = rows.join(F.broadcast(judges) if small else judges, ["_qr_lang", "_qr_source"], "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
+    return joined.withColumn("kept", ~F.col("base_failed") & (F.col("distance") <= chi2_quantile(tail, P)))
+
+
 def judged(docs: DataFrame, text: str = "text", tail: float = TAIL) -> DataFrame:
     """docs (its columns without text, as one struct) with the statistics, base_failed, group_rows, distance (null if base_failed) and kept."""
     small_batches(docs.sparkSession)
-    names = [c for c in docs.columns if c != text]
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("_qr_row"), "lang", "source", arrow_udf(statistics, STATISTICS)(F.col(text)).alias("_qr_s")).select("_qr_row", "lang", "source", "_qr_s.*")
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    named = {f"_qr_{c}": F.concat(F.lit("="), F.coalesce(c, F.lit("\0"))) for c in ("lang", "source")}
-    rows = keep(rows.withColumn("base_failed", failed).withColumns({**_vector(), **named}))
+    rows = keep(_measured(docs, [c for c in docs.columns if c != text], text))
     judges, small = _judges(rows.where("not base_failed").select("_qr_lang", "_qr_source", *X))
-    joined = rows.join(F.broadcast(judges) if small else judges, ["_qr_lang", "_qr_source"], "left")
-    distance = F.when(~F.col("base_failed"), _distance())
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    out = joined.withColumn("distance", distance)
-    out = out.select("_qr_row", *counts, F.col("_qr_group_rows").alias("group_rows"), "distance", (~F.col("base_failed") & (F.col("distance") <= chi2_quantile(tail, P))).alias("kept"))
-    out = settle(out, "judged")
+    out = settle(_judged(rows, judges, small, tail).select("_qr_row", *counts, F.col("_qr_group_rows").alias("group_rows"), "distance", "kept"), "judged")
     rows.unpersist()
     return out
 
@@ -314,14 +320,13 @@ def verdicts(docs: DataFrame) -> DataFrame:
     return rows.select("_qr_row.doc_id", *counts, "kept", F.round("distance", 6).alias("distance"), "group_rows")
 
 
-def reject(docs: DataFrame) -> DataFrame:
+def reject(docs: DataFrame, text: str = "text", tail: float = TAIL) -> DataFrame:
     """The rows of docs that are kept, with their columns, whatever their doc_ids.
 
-    A verdict depends on text, language and source alone, so it joins back by these, the text as a digest; doc_id spreads copies.
+    Texts are read twice, for the estimates and for the verdicts, so that no text is shuffled: a verdict travels with its row.
     """
-    digest = F.sha2("text", 256)
-    keys = {"doc_id": docs["doc_id"], "lang": docs["lang"], "source": docs["source"], "digest": F.sha2(docs["text"], 256)}
-    kept = judged(docs.select("doc_id", "text", "lang", "source", digest.alias("digest"))).where("kept")
-    kept = kept.select(*(F.col(f"_qr_row.{k}").alias(f"_qr_key_{k}") for k in keys)).distinct()
-    same = [c.eqNullSafe(F.col(f"_qr_key_{k}")) for k, c in keys.items()]
-    return docs.join(kept, same, "left_semi")
+    small_batches(docs.sparkSession)
+    points = keep(_measured(docs, [], text).where("not base_failed").select("_qr_lang", "_qr_source", *X))
+    judges, small = _judges(points)
+    points.unpersist()
+    return _judged(_measured(docs, docs.columns, text), judges, small, tail).where("kept").select("_qr_row.*")
