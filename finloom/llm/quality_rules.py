@@ -292,7 +292,9 @@ def _judges(fit: DataFrame) -> tuple[DataFrame, bool]:
 def _measured(docs: DataFrame, names: list[str], text: str) -> DataFrame:
     """The named columns as one struct (so they may bear any name), the statistics, base_failed, and what judges are found by."""
     row = F.struct(*(F.col(f"`{c}`") for c in names)) if names else F.lit(None)
-    rows = docs.select(row.alias("_qr_row"), "lang", "source", arrow_udf(statistics, STATISTICS)(F.col(text)).alias("_qr_s")).select("_qr_row", "lang", "source", "_qr_s.*")
+    # Called nondeterministic, so that it runs once and not again for a filter.
+    measure = arrow_udf(statistics, STATISTICS).asNondeterministic()
+    rows = docs.select(row.alias("_qr_row"), "lang", "source", measure(F.col(text)).alias("_qr_s")).select("_qr_row", "lang", "source", "_qr_s.*")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     named = {f"_qr_{c}": F.concat(F.lit("="), F.coalesce(c, F.lit("\0"))) for c in ("lang", "source")}
     return rows.withColumn("base_failed", failed).withColumns({**_vector(), **named})
