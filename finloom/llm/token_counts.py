@@ -174,21 +174,29 @@ class TokenRollup:
         return self._store(sums, f"compact={uuid.uuid5(uuid.NAMESPACE_OID, ' '.join(live)).hex}", live)
 
 
+#: What cleaning changes: runs of blanks, and white space at either end.
+BLANKS, ENDS = r"[ \t]{2,}", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z"
+
+
 def history(docs: DataFrame, labels: DataFrame, rollup: TokenRollup, tokenizers: dict[str, str], pattern: str) -> DataFrame:
     """Totals after a history of batches, some of them sent twice and not in order.
 
-    All documents are inserted; those labelled poor are revised (white space becomes one space); those labelled toxic are deleted.
+    All documents are inserted; those that cleaning their blanks changes are revised; those labelled toxic are deleted. Texts are
+    read once, for the counts before and after; what is joined with the labels are counts.
     """
-    marks = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max((F.col("quality") == 0).cast("int")).alias("poor"), F.max("toxic").alias("toxic"))
-    inserts = as_changes(counted(docs, tokenizers, pattern), "insert")
-    touched = docs.join(marks.where("poor = 1 or toxic = 1"), "doc_id").select("doc_id", "source", "lang", "text", "poor", "toxic")
-    clean = F.when(F.col("poor") == 1, F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " "))).otherwise(F.col("text"))
-    before = settle(counted(touched.where("poor = 1"), tokenizers, pattern), "counts-before")
-    after = settle(counted(touched.withColumn("text", clean), tokenizers, pattern), "counts-after")
-    gone = after.join(touched.where("toxic = 1").select("doc_id"), "doc_id", "left_semi")
-    revised = as_revisions(before, after.join(touched.where("poor = 1").select("doc_id"), "doc_id", "left_semi"))
-    batches = [("deletes", as_changes(gone, "delete")), ("inserts", inserts), ("deletes", as_changes(gone, "delete")), ("revisions", revised), ("inserts", inserts)]
-    for name, changes in batches:
+    small_batches(docs.sparkSession)
+    names = list(tokenizers)
+    count = token_counter([tokenizers[n] for n in names], pattern)
+    clean = F.regexp_replace(F.regexp_replace("text", BLANKS, " "), ENDS, "")
+    rows = docs.select("doc_id", "source", "lang", count(F.col("text")).alias("n"), (clean != F.col("text")).alias("changed"), count(F.when(clean != F.col("text"), clean)).alias("m"))
+    each = F.arrays_zip(F.array(*map(F.lit, names)).alias("tokenizer"), F.col("n").alias("n_tokens"), F.col("m").alias("clean_tokens"))
+    counts = settle(rows.select("doc_id", "source", "lang", F.coalesce("changed", F.lit(False)).alias("changed"), F.inline(each)), "token-counts")
+    inserts = as_changes(counts, "insert")
+    revised = counts.where("changed").select("doc_id", *KEYS, F.lit("revise").alias("op"), F.col("clean_tokens").alias("n_tokens"), F.col("n_tokens").alias("old_tokens"))
+    toxic = labels.where("toxic = 1 and doc_id is not null").select("doc_id").distinct()
+    now = counts.withColumn("n_tokens", F.when(F.col("changed"), F.col("clean_tokens")).otherwise(F.col("n_tokens")))
+    deletes = as_changes(now.join(toxic, "doc_id", "left_semi"), "delete")
+    for name, changes in (("deletes", deletes), ("inserts", inserts), ("deletes", deletes), ("revisions", revised), ("inserts", inserts)):
         rollup.commit(name, changes)
     rollup.compact()
     return rollup.totals()

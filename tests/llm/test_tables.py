@@ -51,6 +51,18 @@ def test_rollup_moves_and_compaction(spark):
     assert rollup.commit("3", spark.createDataFrame([("a", "en", "v1", "delete", 10, None)], CHANGES)) and got() == {**want, ("a", "en"): (1, 10)}
 
 
+def test_revisions_between_two_states(spark):
+    schema = "doc_id int, source string, lang string, tokenizer string, n_tokens long"
+    before = spark.createDataFrame([(1, "a", None, "v", 5), (2, "a", "en", "v", 6), (3, None, "en", "v", 7)], schema)
+    after = spark.createDataFrame([(1, "a", None, "v", 9), (2, "b", "en", "v", 6), (4, "a", "en", "v", 1)], schema)
+    changes = token_counts.as_revisions(before, after)
+    assert sorted((r.doc_id, r.op) for r in changes.collect()) == [(1, "revise"), (2, "move"), (3, "delete"), (4, "insert")]
+    rollup = token_counts.TokenRollup(spark, new_folder(spark, "t"))
+    rollup.commit("before", token_counts.as_changes(before, "insert"))
+    rollup.commit("change", changes)
+    assert {(r.source, r.lang): (r.n_docs, r.n_tokens) for r in rollup.totals().collect()} == {("a", None): (1, 9), ("b", "en"): (1, 6), ("a", "en"): (1, 1)}
+
+
 def test_history_equals_counting_the_final_state(spark):
     """DuckDB counts the documents that are left, by a table of tokens of each text from the library's own encoder."""
     import duckdb
@@ -63,7 +75,7 @@ def test_history_equals_counting_the_final_state(spark):
     marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     rollup = token_counts.TokenRollup(spark, new_folder(spark, "t"))
     got = token_counts.history(docs, marks, rollup, {"v": path}, public_tokenizers.PATTERN)
-    final = {1: "two lines", 6: "poor and toxic"}
+    final = {0: "Some words here.", 1: "two\n\n\nlines", 6: "poor and toxic"}
     coder = bpe._encoder(path, public_tokenizers.PATTERN)
     con = duckdb.connect()
     con.execute("create table d (doc_id int, lang varchar, source varchar, n bigint); create table l (doc_id int, quality int, toxic int)")
