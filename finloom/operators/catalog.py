@@ -16,8 +16,8 @@ DIGITS = 6
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles rounded for comparison."""
-    return df.select(*(F.round(F.col(c), DIGITS).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+    """Doubles rounded for comparison, without negative zeros."""
+    return df.select(*((F.round(F.col(c), DIGITS) + F.lit(0.0)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
 
 
 def _years_of_dividends(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,44 +1,19 @@
-"""Labels, file names, captions, junk, names, links, word layout and page scores, as SQL that Spark and DuckDB both read."""
+"""Links, word layout, page scores and best documents, as SQL that Spark and DuckDB both read."""
 
 from __future__ import annotations
 
-from finloom.operators.checks import matches, replace_all
+from finloom.operators.checks import matches
 
-CAPTIONS = "captions as (select event_id, case event_id % 8 when 0 then 'RM''000' when 1 then 'Amounts in RM million' when 2 then 'USD 000,000' when 3 then '(in billions of S$)' when 4 then 'in thousands' when 5 then 'sen per share' when 6 then 'US$ thousand' else 'Note ' || cast(event_id as varchar(20)) end as caption from events)"
-#: The first that matches wins.
-SCALES = {"000,000": 1_000_000, "billion": 1_000_000_000, "million|mil[.]?$": 1_000_000, "''000": 1_000, "thousand": 1_000}
-CURRENCIES = {"rm|myr|ringgit": "MYR", "us[$]|usd": "USD", "s[$]|sgd": "SGD"}
-FILES = "files as (select event_id, cast(1000 + user_id as varchar(10)) || case event_id % 6 when 0 then '_Q3_2023.pdf' when 1 then '-annual-report-2022.pdf' when 2 then '_2023-11-28.pdf' when 3 then '_AR2021.pdf' when 4 then '_test2.pdf' else '_Investor-Briefing_Q1_2024.pdf' end as name from events where user_id is not null)"
-#: Kinds of files that are no annual report, by name.
-JUNK = {
-    "TEST_FILE": "(^|[-_ ])test[0-9]*[.]pdf$",
-    "BROKER_NOTE": "research|initiating[-_ ]*coverage|results?[-_ ]*review",
-    "KEY_STATISTICS": "key[-_ ]*statistic|fact[-_ ]*sheet",
-    "SUSTAINABILITY_ONLY": "sustainab",
-    "PRESENTATION": "presentation|briefing|slides",
-    "CIRCULAR": "circular|prospectus|notice[-_ ]*of",
-}
-NAMES = "named as (select s_suppkey as company_id, case s_suppkey % 5 when 0 then 'Alpha & Sons' when 1 then 'ALPHA and Sons Berhad' when 2 then 'O''Malley (' || n_name || ') Bhd.' when 3 then 'Omalley ' || n_name || ' Sdn Bhd' else 'A.B.C. ' || n_name || ' Corporation' end || case when s_suppkey % 5 < 2 then ' ' || n_name else '' end as name from supplier join nation on s_nationkey = n_nationkey)"
 #: Words of a page: orders stand for pages, suppliers for documents; figures end at a column's right edge, a few points off.
 WORDS = "word as (select l_suppkey as doc, l_linestatus as page, 200 + 80 * (l_linenumber % 4) + cast(floor(l_quantity) as int) % 6 + case when l_orderkey % 40 = 0 then 37 else 0 end as x1 from lineitem)"
 KEYWORDS = ["the", "and", "der", "que", "los", "is", "of", "en"]
 
 
-def _suggest(d: str) -> str:
-    tokens = ("explode(split(label, ' '))" if d == "spark" else "unnest(string_split(label, ' '))")
-    return f"with label as (select distinct lower(p_name) as label from part where p_name is not null), tok as (select distinct label, token from (select label, {tokens} as token from label) t), sized as (select label, count(*) as n from tok group by label), common as (select a.label, b.label as concept, count(*) as both_have from tok a join tok b on a.token = b.token and a.label <> b.label group by a.label, b.label), s as (select c.label, c.concept, both_have / cast(x.n + y.n - both_have as double) as jaccard from common c join sized x on x.label = c.label join sized y on y.label = c.concept), r as (select *, row_number() over (partition by label order by jaccard desc, concept) as place from s) select label, concept, round(jaccard, 6) as jaccard, place from r where place <= 3"
-
-
-def _normalized_name(d: str) -> str:
-    x = replace_all(replace_all("lower(name)", "&", " and ", d), "[''.]", "", d)
-    x = replace_all(x, "[^a-z0-9]+", " ", d)
-    x = replace_all(x, " (sdn|bhd|berhad|corporation|corp|plc|ltd)", " ", d)
-    return "trim(" + replace_all(x, " +", " ", d) + ")"
-
-
 def _links(d: str) -> str:
-    pattern = '<a [^>]*href="([^"]*)"'
-    found = f"explode(regexp_extract_all(html, '{pattern}', 1))" if d == "spark" else f"unnest(regexp_extract_all(html, '{pattern}', 1))"
+    # Double quotes, single quotes (chr 39) or none, in any case.
+    value = "[\"' || chr(39) || ']?([^\"' || chr(39) || ' >]*)"
+    pattern = f"'(?i)<a[ ][^>]*?href ?= ?{value}'"
+    found = f"explode(regexp_extract_all(html, {pattern}, 1))" if d == "spark" else f"unnest(regexp_extract_all(html, {pattern}, 1))"
     return f"with a as (select page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) as site, {found} as href from pages where html is not null), b as (select page_id, case when {matches('href', '^https?:', d)} then href when {matches('href', '^/', d)} then site || href else site || '/' || href end as target, href from a)"
 
 
@@ -54,11 +29,6 @@ def _page_scores(d: str) -> str:
 
 
 QUERIES = {
-    "detect_scale": lambda d: f"with {CAPTIONS} select event_id, caption, case " + " ".join(f"when {matches('lower(caption)', p, d)} then {m}" for p, m in SCALES.items()) + " else 1 end as multiplier, case " + " ".join(f"when {matches('lower(caption)', p, d)} then '{c}'" for p, c in CURRENCIES.items()) + f" else 'MYR' end as currency, {matches('lower(caption)', 'per share|sen', d)} as per_share from captions",
-    "filename_hints": lambda d: f"with {FILES} select event_id, name, regexp_extract(name, '^([0-9]{{4,5}})', 1) as code, case when {matches('lower(name)', '[-_]q[1-4][-_]', d)} then 'QUARTERLY' when {matches('lower(name)', 'annual|[-_]ar[0-9]', d)} then 'ANNUAL' else 'OTHER' end as doc_type, regexp_extract(lower(name), '[-_]q([1-4])[-_]', 1) as quarter, regexp_extract(substr(name, 5), '(20[0-9][0-9])', 1) as fy, regexp_extract(name, '(20[0-9][0-9]-[0-9][0-9]-[0-9][0-9])', 1) as day from files",
-    "junk_classify": lambda d: f"with {FILES} " + " union all ".join(f"select event_id, name, '{k}' as kind from files where {matches('lower(name)', p, d)}" for k, p in JUNK.items()),
-    "company_dup_exact": lambda d: f"with {NAMES}, k as (select company_id, name, {_normalized_name(d)} as name_key from named), g as (select name_key, count(*) as n, min(company_id) as first_id from k group by name_key having count(*) > 1) select company_id, name, k.name_key, n, first_id from k join g on g.name_key = k.name_key",
-    "concept_suggest": _suggest,
     "nav_links": lambda d: _links(d) + f" select page_id, target, max({_score(d)}) as score, count(*) as n from b group by page_id, target",
     "link_years": lambda d: _links(d) + " select page_id, regexp_extract(href, '((19|20)[0-9][0-9])', 1) as link_year, count(*) as n from b group by 1, 2",
     "column_bands": lambda d: f"with {WORDS}, edge as (select *, case when x1 - lag(x1) over (partition by doc, page order by x1) > 9 then 1 else 0 end as opens from word), isl as (select doc, page, x1, sum(opens) over (partition by doc, page order by x1) as band from edge) select doc, page, band, min(x1) as left_edge, max(x1) as right_edge, count(*) as support from isl group by doc, page, band having count(*) >= 3",

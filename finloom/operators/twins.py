@@ -58,6 +58,19 @@ flagged as (select company_id, sum(case when flags = '' then 0 else length(flags
 full_history as (select h.*, s.median_payout, f.n_flags, s.last_dps_sen from history h join flagged f using (company_id) left join in_streak s using (company_id))"""
 
 
+def without_negative_zeros(sql: str) -> str:
+    """Every round(...) plus zero."""
+    out, at = [], 0
+    while (found := sql.find("round(", at)) >= 0:
+        end, depth = found + 6, 1
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        out += [sql[at:found], "(round(", without_negative_zeros(sql[found + 6 : end]), " + 0)"]
+        at = end
+    return "".join(out) + sql[at:]
+
+
 def _cagr(x: str) -> str:
     return f"(select case when o.v > 0 and y.{x} > 0 then power(y.{x} / o.v, 1 / cast(3 as double)) - 1 end from (select company_id, fy, {x} as v from yearly) o where o.company_id = y.company_id and o.fy = y.fy - 3)"
 
@@ -211,7 +224,7 @@ g as (select sector, fy, count(margin) as nm, median(margin) as mm, count(growth
 select m.company_id, m.fy, case when nm >= 3 then round(mm, 6) end as margin_median, case when nm >= 3 and margin is not null then rank() over (partition by m.sector, m.fy order by margin desc nulls last) end as margin_rank,
     case when ng >= 3 then round(mg, 6) end as growth_median, case when ng >= 3 and growth is not null then rank() over (partition by m.sector, m.fy order by growth desc nulls last) end as growth_rank from m join g on g.sector = m.sector and g.fy = m.fy"""
 
-SQL = {
+_SQL = {
     "dupont3": B + PAIRED + " select company_id, fy, round(pat / is_revenue, 6) as net_margin, round(is_revenue / bs_total_assets, 6) as turnover, round(bs_total_assets / equity, 6) as multiplier, round(pat / equity, 6) as roe from paired where pat is not null and is_revenue > 0 and bs_total_assets > 0",
     "dupont5": B + PAIRED + " select company_id, fy, round(pat / is_profit_before_tax, 6) as tax_burden, round(is_profit_before_tax / ebit, 6) as interest_burden, round(ebit / is_revenue, 6) as operating_margin, round(is_revenue / bs_total_assets, 6) as turnover, round(bs_total_assets / equity, 6) as multiplier from paired where pat is not null and is_revenue > 0 and bs_total_assets > 0 and is_profit_before_tax <> 0 and ebit <> 0",
     "growth_cagr": B + f", long as (select company_id, fy, 'revenue' as measure, is_revenue as v from book where is_revenue is not null union all select company_id, fy, 'earnings', {PATAMI} from book where {PATAMI} is not null union all select company_id, fy, 'assets', bs_total_assets from book where bs_total_assets is not null), last as (select company_id, measure, max(fy) as fy from long group by company_id, measure), spans as (select unnest([3, 5])::int as span) select l.company_id, l.measure, s.span, round(case when e.v > 0 and o.v > 0 then power(e.v / o.v, 1 / cast(s.span as double)) - 1 end, 6) as rate from last l cross join spans s join long e on e.company_id = l.company_id and e.measure = l.measure and e.fy = l.fy left join long o on o.company_id = l.company_id and o.measure = l.measure and o.fy = l.fy - s.span",
@@ -247,3 +260,4 @@ SQL = {
     "coverage_summary": B + ", u as (select company_id, fy, concept from (unpivot (select * exclude (period_end) from book) on " + ", ".join(CONCEPTS) + " into name concept value value) x), y as (select company_id, min(fy) as first_fy, max(fy) as last_fy, array_to_string(list_sort(list(distinct concept[1:2])), ',') as statements from u group by company_id) select company_id, first_fy, last_fy, statements, coalesce((select string_agg(g.g::varchar, ',' order by g.g) from generate_series(y.first_fy, y.last_fy) g(g) where not exists (select 1 from u where u.company_id = y.company_id and u.fy = g.g)), '') as missing_years, statements like '%bs%' and statements like '%cf%' and statements like '%is%' as complete from y",
     "concept_suggest": SUGGESTED,
 }
+SQL = {name: without_negative_zeros(sql) for name, sql in _SQL.items()}

@@ -23,9 +23,12 @@ def companies(spark: SparkSession, path: str, known: DataFrame | None = None) ->
 
 def market_values(spark: SparkSession, json_path: str, text_path: str) -> DataFrame:
     """stock_code and market_cap in billions: JSON rows (in units) before lines like `LARGE 1234 Some Name 5.60 ...`."""
-    line = r"^\s*\w+\s+(\d{4}[A-Z]?)\s+.+?\s+(\d+\.\d+)\s"
-    listed = spark.read.text(text_path).select(F.regexp_extract("value", line, 1).alias("stock_code"), F.expr("try_cast(regexp_extract(value, :p, 2) as double)".replace(":p", "r'" + line + "'")).alias("by_text"))
-    listed = listed.where("stock_code <> ''").groupBy("stock_code").agg(F.max("by_text").alias("by_text"))
+    words = F.filter(F.split("value", r"\s+"), lambda w: w != "")
+    rows = spark.read.text(text_path).select(words.alias("w"))
+    # A line is a group, a code, a name of any number of words, and figures, of which the first with decimals counts.
+    figures = F.filter(F.slice("w", 4, 1000), lambda w: w.rlike(r"^\d+\.\d+$"))
+    listed = rows.where("size(w) >= 4").select(F.get("w", F.lit(1)).alias("stock_code"), F.get(figures, F.lit(0)).try_cast("double").alias("by_text"))
+    listed = listed.where(F.col("stock_code").rlike("^[0-9]{4}[A-Z]?$")).groupBy("stock_code").agg(F.max("by_text").alias("by_text"))
     reported = spark.read.json(json_path, schema="stock_code string, market_cap double", multiLine=True).where("market_cap <> 0")
     reported = reported.groupBy("stock_code").agg((F.max("market_cap") / 1e9).alias("by_json"))
     return reported.join(listed, "stock_code", "full").select("stock_code", F.coalesce("by_json", "by_text").alias("market_cap"))
