@@ -21,13 +21,11 @@ def rounded(df: DataFrame) -> DataFrame:
 
 
 def _years_of_dividends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = books(spark, sf_dir)
-    return dividends.dividend_years(b, dividends.reits(companies(spark, sf_dir), b))
+    return dividends.dividend_years(dividends.marked(books(spark, sf_dir), companies(spark, sf_dir)))
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = books(spark, sf_dir)
-    return results.with_prior(results.figures(b, dividends.dividend_years(b, dividends.reits(companies(spark, sf_dir), b))))
+    return results.with_prior(results.figures(_years_of_dividends(spark, sf_dir)))
 
 
 def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +72,7 @@ def price_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dividend_years(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_years_of_dividends(spark, sf_dir))
+    return rounded(_years_of_dividends(spark, sf_dir).select("company_id", "fy", *dividends.YEAR))
 
 
 def dividend_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,7 +178,7 @@ def benchmark_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hygiene_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Issues of three kinds: no facts, implausible payouts, years without word of dividends."""
     b, c = books(spark, sf_dir), companies(spark, sf_dir)
-    years = dividends.dividend_years(b, dividends.reits(c, b))
+    years = dividends.dividend_years(dividends.marked(b, c))
     facts = b.groupBy("company_id").agg(F.count("*").alias("facts"))
     kinds = F.array_compact(F.array(F.when(F.col("payout") > dividends.PAYOUT_FLAG, F.struct(F.lit("implausible_payout").alias("category"), F.lit(50).alias("weight"))), F.when(F.col("paid").isNull(), F.struct(F.lit("year_without_dividend_figure").alias("category"), F.lit(10).alias("weight")))))
     empty = c.join(facts, "company_id", "left_anti").select("company_id", F.lit("no_facts").alias("category"), F.lit(100).alias("weight"))

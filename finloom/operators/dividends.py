@@ -11,19 +11,23 @@ from finloom.operators.ratios import shares_in_issue
 PAYOUT_FLAG, SHARES_MISMATCH, SHARE_JUMP = 3.0, 0.2, 1.3
 
 
-def reits(companies: DataFrame, books: DataFrame) -> DataFrame:
-    """company_id of real estate investment trusts: by profile, by name, or as they report a distribution per unit."""
+#: What dividend_years adds to books.
+YEAR = ["dividends", "basis", "shares", "dps_sen", "paid", "payout", "cover", "growth", "share_ratio", "flags"]
+
+
+def marked(books: DataFrame, companies: DataFrame) -> DataFrame:
+    """books with reit: by profile, by name, or as a company reports a distribution per unit in any year."""
     name = F.lower(F.col("name"))
-    named = companies.where((F.col("profile") == "reit") | name.contains("real estate investment trust") | name.endswith(" reit"))
-    return named.select("company_id").union(books.where("is_dpu is not null").select("company_id")).distinct()
+    named = companies.select("company_id", ((F.col("profile") == "reit") | name.contains("real estate investment trust") | name.endswith(" reit")).alias("_named"))
+    per_unit = F.max(F.col("is_dpu").isNotNull()).over(Window.partitionBy("company_id"))
+    return books.join(named, "company_id", "left").withColumn("reit", F.coalesce("_named", F.lit(False)) | per_unit).drop("_named")
 
 
-def dividend_years(books: DataFrame, trusts: DataFrame) -> DataFrame:
-    """Per year: dividends and their basis, shares, dps_sen, paid, payout, cover, growth, share_ratio and flags (comma list).
+def dividend_years(rows: DataFrame) -> DataFrame:
+    """Marked books with YEAR: dividends and their basis, shares, dps_sen, paid, payout, cover, growth, share_ratio and flags (comma list).
 
     Cash paid counts before the equity statement's figure; a trust's own distribution per unit before dividends over shares.
     """
-    rows = books.join(trusts.withColumn("reit", F.lit(True)), "company_id", "left")
     cash, equity, profit, eps = F.col("cf_dividends_paid"), F.col("eq_dividends"), F.col("is_pat_owners"), F.col("is_eps_basic")
     reported = F.when(F.col("is_weighted_avg_shares") > 0, F.col("is_weighted_avg_shares"))
     implied = F.try_divide(profit, eps / 100)
@@ -54,7 +58,7 @@ def dividend_years(books: DataFrame, trusts: DataFrame) -> DataFrame:
         "growth_unusual": (growth < -0.9) | (growth > 10.0),
     }
     marks = F.array_compact(F.array(*(F.when(when, F.lit(name)) for name, when in flags.items())))
-    return rows.select("company_id", "fy", "dividends", "basis", "shares", "dps_sen", "paid", "payout", F.try_divide(F.lit(1.0), F.col("payout")).alias("cover"), "growth", "share_ratio", F.array_join(marks, ",").alias("flags"))
+    return rows.withColumns({"cover": F.try_divide(F.lit(1.0), F.col("payout")), "flags": F.array_join(marks, ",")})
 
 
 def dividend_history(years: DataFrame) -> DataFrame:

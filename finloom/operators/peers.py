@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from finloom.operators.annual import beside_year_before, short_year
-from finloom.operators.ratios import cagr_at, divided, earnings, ebit, profit_and_equity, valuation
+from finloom.operators.ratios import cagr_at, divided, earnings, ebit, profit_and_equity, valued
 
 #: Metrics with the range in which they are plausible, ends included (None: any).
 METRICS = {
@@ -35,9 +35,8 @@ INAPPLICABLE = {"bank": ["revenue", "net_margin", "operating_margin", "asset_tur
 
 def year_metrics(books: DataFrame) -> DataFrame:
     """All years with their metrics, the days of a year that is too short, and whether there is a profit."""
-    value = valuation(books).select("company_id", "fy", "net_debt", "ebitda", "fcfe")
-    rows = cagr_at(cagr_at(books, F.col("is_revenue"), "revenue_cagr_3y", 3), earnings(), "earnings_cagr_3y", 3)
-    rows = beside_year_before(rows, ["period_end"]).join(value, ["company_id", "fy"])
+    rows = cagr_at(cagr_at(valued(books), F.col("is_revenue"), "revenue_cagr_3y", 3), earnings(), "earnings_cagr_3y", 3)
+    rows = beside_year_before(rows, ["period_end"])
     rows = rows.withColumns({"pair": profit_and_equity(), "positive": F.when(F.col("is_revenue") > 0, F.col("is_revenue")), "patami": earnings()})
     share = F.try_divide(F.col("is_pat_owners"), F.col("is_profit_for_period"))
     return rows.select(

@@ -73,21 +73,28 @@ def effective_tax_rate() -> Column:
     return F.when(rate.between(0, 0.6), rate)
 
 
-def valuation(books: DataFrame) -> DataFrame:
-    """Per year: ebit, tax_rate, dep_amort, ebitda, nopat, capex, wc_change, fcff, fcfe, net_debt."""
+#: What valuation adds to books.
+VALUES = ["ebit", "tax_rate", "dep_amort", "capex", "wc_change", "net_debt", "ebitda", "nopat", "fcfe", "fcff"]
+
+
+def valued(books: DataFrame) -> DataFrame:
+    """books with VALUES for each year."""
     by_cash = F.when(F.col("cf_profit_before_tax").isNotNull(), F.col("cf_operating_before_wc") - F.col("is_profit_before_tax"))
     depreciation = F.coalesce(F.when(by_cash >= 0, by_cash), F.abs("is_depreciation_amortisation"))
     items = F.col("cf_changes_in_receivables") + F.col("cf_changes_in_inventories") + F.col("cf_changes_in_payables")
     parts = F.coalesce("bs_lt_borrowings", F.lit(0.0)) + F.coalesce("bs_st_borrowings", F.lit(0.0))
     some = F.col("bs_lt_borrowings").isNotNull() | F.col("bs_st_borrowings").isNotNull()
     borrowings = F.coalesce("bs_borrowings_total", F.when(some, parts))
-    rows = books.select(
-        "company_id", "fy", "period_end", ebit().alias("ebit"), effective_tax_rate().alias("tax_rate"), depreciation.alias("dep_amort"), F.abs("cf_purchase_of_ppe").alias("capex"),
-        F.coalesce(items, F.col("cf_working_capital_changes")).alias("wc_change"), F.col("cf_net_operating").alias("operating_cash"), (F.abs(borrowings) - F.col("bs_cash_and_equivalents")).alias("net_debt"),
-    )
-    rows = rows.withColumns({"ebitda": F.col("ebit") + F.col("dep_amort"), "nopat": F.col("ebit") * (1 - F.col("tax_rate")), "fcfe": F.col("operating_cash") - F.col("capex")})
-    fcff = F.col("nopat") + F.col("dep_amort") - F.col("capex") - F.coalesce("wc_change", F.lit(0.0))
-    return rows.withColumn("fcff", fcff).drop("operating_cash")
+    rows = books.withColumns({
+        "ebit": ebit(), "tax_rate": effective_tax_rate(), "dep_amort": depreciation, "capex": F.abs("cf_purchase_of_ppe"), "wc_change": F.coalesce(items, F.col("cf_working_capital_changes")),
+        "net_debt": F.abs(borrowings) - F.col("bs_cash_and_equivalents"),
+    })
+    rows = rows.withColumns({"ebitda": F.col("ebit") + F.col("dep_amort"), "nopat": F.col("ebit") * (1 - F.col("tax_rate")), "fcfe": F.col("cf_net_operating") - F.col("capex")})
+    return rows.withColumn("fcff", F.col("nopat") + F.col("dep_amort") - F.col("capex") - F.coalesce("wc_change", F.lit(0.0)))
+
+
+def valuation(books: DataFrame) -> DataFrame:
+    return valued(books).select("company_id", "fy", "period_end", *VALUES)
 
 
 def shares_in_issue() -> Column:
@@ -112,8 +119,7 @@ def closes_asof(targets: DataFrame, closes: DataFrame, days: int = 10) -> DataFr
 
 def price_ratios(books: DataFrame, prices: DataFrame) -> DataFrame:
     """Per year with a close (company_id, fy, close): shares, market_cap, pe, pb, ev_ebitda, dividend_yield."""
-    value = valuation(books).select("company_id", "fy", "ebitda", "net_debt")
-    rows = books.join(value, ["company_id", "fy"]).join(prices, ["company_id", "fy"]).where("close is not null")
+    rows = valued(books).join(prices, ["company_id", "fy"]).where("close is not null")
     rows = rows.withColumns({"shares": shares_in_issue(), "equity": F.coalesce("bs_equity_owners", "bs_total_equity")}).withColumn("market_cap", F.col("close") * F.col("shares"))
     pb = F.coalesce(F.when(F.col("equity") > 0, F.col("market_cap") / F.col("equity")), F.try_divide(F.col("close"), F.when(F.col("bs_nta_per_share") > 0, F.col("bs_nta_per_share"))))
     return rows.select(

@@ -18,23 +18,23 @@ ROWS = {
 }
 
 
-def figures(books: DataFrame, dividends: DataFrame | None = None) -> DataFrame:
-    """company_id, fy, period_end and the figures of ROWS; dividends (company_id, fy, dps_sen, payout) may come along."""
+def figures(books: DataFrame) -> DataFrame:
+    """company_id, fy, period_end and the figures of ROWS; dps_sen and payout are taken where books have them."""
+    for name in ("dps_sen", "payout"):
+        if name not in books.columns:
+            books = books.withColumn(name, F.lit(None).cast("double"))
     lt, st = F.abs("bs_lt_borrowings"), F.abs("bs_st_borrowings")
     parts = F.when(lt.isNotNull() | st.isNotNull(), F.coalesce(lt, F.lit(0.0)) + F.coalesce(st, F.lit(0.0)))
     rows = books.select(
         "company_id", "fy", "period_end", F.col("is_revenue").alias("revenue"), F.col("is_gross_profit").alias("gross_profit"), F.col("is_profit_before_tax").alias("pbt"), F.abs("is_tax_expense").alias("tax"),
         earnings().alias("patami"), F.col("is_eps_basic").alias("eps_sen"), F.col("cf_net_operating").alias("ocf"), F.abs("cf_purchase_of_ppe").alias("capex"),
-        F.coalesce("bs_equity_owners", "bs_total_equity").alias("equity"), (F.abs(F.coalesce("bs_borrowings_total", parts)) - F.col("bs_cash_and_equivalents")).alias("net_debt"),
+        F.coalesce("bs_equity_owners", "bs_total_equity").alias("equity"), (F.abs(F.coalesce("bs_borrowings_total", parts)) - F.col("bs_cash_and_equivalents")).alias("net_debt"), "dps_sen", "payout",
     )
     c = F.col
-    rows = rows.withColumns({
+    return rows.withColumns({
         "gross_margin": divided(c("gross_profit"), c("revenue")), "pbt_margin": divided(c("pbt"), c("revenue")), "net_margin": divided(c("patami"), c("revenue")), "roe": divided(c("patami"), c("equity")),
         "tax_rate": divided(c("tax"), c("pbt")), "fcf": c("ocf") - c("capex"), "gearing": divided(c("net_debt"), c("equity")),
     })
-    if dividends is None:
-        return rows.withColumns({"dps_sen": F.lit(None).cast("double"), "payout": F.lit(None).cast("double")})
-    return rows.join(dividends.select("company_id", "fy", "dps_sen", "payout"), ["company_id", "fy"], "left")
 
 
 def with_prior(years: DataFrame) -> DataFrame:
@@ -145,17 +145,15 @@ def month_digest(items: DataFrame) -> DataFrame:
 def movers(items: DataFrame) -> DataFrame:
     """cohort, company_id, growth, side: the five that grew and the five that fell most, of those with a base that counts.
 
-    The best of each task come first (a bounded heap per cohort, merged), so no task ranks all companies of a cohort.
+    The best of parts of a cohort come first and are then ranked together, so no task ranks all companies of a cohort.
     """
-    rows = items.where((F.col("patami_b") >= MOVER_BASE) & F.col("growth").isNotNull() & F.col("plausible"))
-    sides = []
-    for side, sign, wanted in (("gainer", -1, F.col("growth") > 0), ("decliner", 1, F.col("growth") < 0)):
-        part = rows.where(wanted).withColumn("task", F.pmod(F.xxhash64("company_id"), F.lit(64)))
-        order = [(F.col("growth") * sign).asc(), F.col("company_id").asc()]
-        part = part.withColumn("r", F.row_number().over(Window.partitionBy("cohort", "task").orderBy(*order))).where(F.col("r") <= MOVERS)
-        part = part.withColumn("r", F.row_number().over(Window.partitionBy("cohort").orderBy(*order))).where(F.col("r") <= MOVERS)
-        sides.append(part.select("cohort", "company_id", "growth", F.lit(side).alias("side")))
-    return sides[0].unionByName(sides[1])
+    rows = items.where((F.col("patami_b") >= MOVER_BASE) & F.col("growth").isNotNull() & F.col("plausible")).select("cohort", "company_id", "growth")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("company_id"), F.lit(64)))
+    for keys in (["cohort", "part"], ["cohort"]):
+        within = Window.partitionBy(*keys)
+        rows = rows.withColumns({"up": F.row_number().over(within.orderBy(F.desc("growth"), "company_id")), "down": F.row_number().over(within.orderBy("growth", "company_id"))})
+        rows = rows.where((F.col("up") <= MOVERS) & (F.col("growth") > 0) | (F.col("down") <= MOVERS) & (F.col("growth") < 0))
+    return rows.select("cohort", "company_id", "growth", F.when(F.col("growth") > 0, "gainer").otherwise("decliner").alias("side"))
 
 
 def sector_context(pairs: DataFrame, companies: DataFrame, least: int = 3) -> DataFrame:
