@@ -43,10 +43,11 @@ def normalize_label(text: Column) -> Column:
     out = F.lower(_replaced(without_accents(text), ("[‘’‛`´]", "'"), ("[–—−‐‑]", "-")))
     out = _replaced(
         out,
-        (r"[\s-]*\(?\s*notes?\b\.?\s*[\da-z().,\s]*\)?\s*$", ""),  # what note explains it
+        (r"(?:^|[\s(,-]+)notes?\b[\s.]*(?:\d+[a-z]?|[a-z])?(?:[\s,&]+\d+[a-z]?)*[\s)]*$", ""),  # the numbers of notes that explain it
         (r"/\s*\([^)]*\)", " "),
         (r"\([^)]*\)\s*/\s*", " "),
-        (r"^[\s\-•*·]*(?:\([a-z0-9]{1,3}\)|[a-z0-9]{1,2}[.)])?\s*", ""),  # bullets and numbering
+        (r"^[^a-z0-9%(]+", ""),  # bullets
+        (r"^\(?(?:[ivx]{1,3}|[a-z]|\d{1,2})[.)]\s+", ""),  # numbering
         (r"\.{2,}", " "),
         (r"[^a-z0-9%' ]+", " "),
         (r"\s+\d{1,3}\s*$", ""),
@@ -114,7 +115,7 @@ def is_scanned(text: Column, pages: Column) -> Column:
 
 #: Words of a file's name, in lower case, by what they make of it. A phrase is a tuple of words that follow each other.
 BROKERS = {"rhb", "hlib", "publicinvest", "midf", "uobkh", "aminvest", "kenanga", "cimb", "pb"}
-BROKER_PHRASES = [("initiating", "coverage"), ("results", "review"), ("result", "review"), ("bursa", "mids"), ("pb", "stock"), ("rhb", "research"), ("affin", "hwang"), ("ta", "research"), ("maybank", "ib")]
+BROKER_PHRASES = [("initiating", "coverage"), ("results", "review"), ("result", "review"), ("pb", "stock"), ("rhb", "research"), ("affin", "hwang"), ("ta", "research"), ("maybank", "ib")]
 DECKS = {"presentation", "briefing", "slides", "deck"}
 NOTICES = {"circular", "prospectus", "abridged", "egm"}
 GROUP_BUSINESS = {"islamic", "takaful", "insurance"}

@@ -102,9 +102,9 @@ def test_company_names(spark):
 
 JUNK = [
     ("Heineken_part2_test.pdf", 151, "Heineken", "", {"TEST_FILE"}), ("Yinson_test1.pdf", 32, "Yinson", "", {"TEST_FILE"}), ("PB_Stock-IBHD_EN_20210226.pdf", 4, "I-Berhad", "", {"BROKER_NOTE"}),
-    ("RHB Bursa-MidS 2023.pdf", 9, "I-Berhad", "", {"BROKER_NOTE"}), ("15-IBHD-Initiating-Coverage_20171215.pdf", 16, "I", "", {"BROKER_NOTE"}), ("Harn-Len-Key-Statistic-2024-FINAL-1.pdf", 1, "H", "", {"KEY_STATISTICS"}),
+    ("RHB-MidS 2023.pdf", 9, "I-Berhad", "", {"BROKER_NOTE"}), ("15-IBHD-Initiating-Coverage_20171215.pdf", 16, "I", "", {"BROKER_NOTE"}), ("Harn-Len-Key-Statistic-2024-FINAL-1.pdf", 1, "H", "", {"KEY_STATISTICS"}),
     ("SUSTAINABILITY-STATEMENT-2024.pdf", 48, "X", "", {"SUSTAINABILITY_ONLY"}), ("amb-islamic-interim.pdf", 46, "AMMB", "", {"SUBSIDIARY_REPORT"}), ("FGV-13th-AGM_Presentation-Deck.pdf", 30, "FGV", "", {"PRESENTATION"}),
-    ("KJTS-Group-Berhad-Prospectus.pdf", 300, "KJTS", "", {"CIRCULAR"}), ("ENG-KAH-AR2023-Bursa-01.pdf", 108, "Eng Kah", "", set()), ("Sustainability-and-Annual-Report-2024.pdf", 250, "X", "", set()),
+    ("KJTS-Group-Berhad-Prospectus.pdf", 300, "KJTS", "", {"CIRCULAR"}), ("ENG-KAH-AR2023-01.pdf", 108, "Eng Kah", "", set()), ("Sustainability-and-Annual-Report-2024.pdf", 250, "X", "", set()),
     ("BIMB-AR2024.pdf", 300, "Bank Islam", "", set()), ("report.pdf", 6, "I", "Maintain BUY with a target price of RM1.20. Research analyst certification", {"BROKER_NOTE"}), (None, None, None, None, set()),
     ("cover.pdf", 40, "X", "Sustainability Report 2024 of our group", {"SUSTAINABILITY_ONLY"}),
 ]
