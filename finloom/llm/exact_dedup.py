@@ -7,7 +7,7 @@ side that adaptive execution splits.
 
 Defined results: a null text is empty, and all empty texts form one group; of equal texts the one with the most code points
 stays, then the smallest doc_id; a null doc_id loses to any other. Rows that repeat a document (the same doc_id and normalised
-text) share its verdict; deduplicate() keeps one of them. Texts of any length are read whole. An empty table gives no rows. Further
+text) share its verdict, so deduplicate() keeps them all: doc_ids are to be unique. Texts of any length are read whole. An empty table gives no rows. Further
 columns pass through deduplicate() untouched, whatever their names.
 """
 
@@ -45,7 +45,7 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), normalised(F.col(text)).alias("norm"))
     rows = rows.select("row", F.col(f"row.`{doc_id}`").alias("id"), F.md5("norm").alias("hash"), F.sha2("norm", 256).alias("sha"))
     kept = rows.join(_groups(docs, doc_id, text), ["hash", "sha"]).where(F.col("id").eqNullSafe(F.col("keep_id")))
-    return kept.dropDuplicates(["hash", "sha"]).select("row.*")
+    return kept.select("row.*")
 
 
 ORACLE_SQL = r"""
