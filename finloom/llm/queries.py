@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from finloom.llm import bpe, exact_dedup, html_extract, licenses, mixing, near_dup, quality_classifier, quality_rules, token_counts, warc
+from finloom.llm import bpe, exact_dedup, fim, html_extract, licenses, merkle, mixing, near_dup, quality_classifier, quality_rules, suffix_dedup, token_counts, warc
 from finloom.llm.common import new_folder, settle, table
 
 #: Tokenizer versions and their rank files.
@@ -67,13 +67,26 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.transform(table(spark, sf_dir, "documents")))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.deduplicate(table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict:
-    own = [op1_token_counts, op2_license_scan, op3_exact_dedup, op4_quality_rules, op5_warc, op6_mixing, op7_byte_bpe, op8_html_extraction, op9_quality_classifier, op10_near_dup, pipeline]
-    return {f.__name__: f for f in own}
+    own = [op1_token_counts, op2_license_scan, op3_exact_dedup, op4_quality_rules, op5_warc, op6_mixing, op7_byte_bpe, op8_html_extraction, op9_quality_classifier, op10_near_dup]
+    new = [op11_merkle_manifest, op12_fill_in_middle, op13_suffix_dedup]
+    return {f.__name__: f for f in [*own, *new, pipeline]}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -83,6 +96,9 @@ def oracle_sql() -> dict[str, str]:
         "op5_warc": warc.ORACLE_SQL,
         "op6_mixing": mixing.oracle_sql(),
         "op8_html_extraction": html_extract.ORACLE_SQL,
+        "op11_merkle_manifest": merkle.oracle_sql(),
+        "op12_fill_in_middle": fim.ORACLE_SQL,
+        "op13_suffix_dedup": suffix_dedup.ORACLE_SQL,
     }
 
 
