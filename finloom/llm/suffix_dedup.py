@@ -11,14 +11,14 @@ outwards instead of from left to right; the order of a key's digits doesn't chan
 * Pass 1 groups runs by anchor. Runs whose anchor occurs once are unique and end here: nearly all of a clean corpus.
 * Pass 2 groups by all bytes of the run's windows. Equal runs are repeated throughout. One run stands for each such class from
   here on; only anchors with several classes go on.
-* Pass 3 splits runs into cells of CELL suffixes by their distance from the anchor. The digit is the core, the bytes that all
-  windows of a cell share: a cell whose core is unique holds unique windows only. Cells equal in all bytes are repeated.
-* Pass 4 takes the single suffixes of what is left, with the whole window as the digit.
+* The further passes split runs into cells of 64, 16 and 1 suffixes by their distance from the anchor. The digit is the core, the
+  bytes that all windows of a cell share: a cell whose core is unique holds unique windows only. Cells equal in all bytes are
+  repeated. What is neither is split by the next pass; the last one compares single windows.
 
-Digests are BLAKE2b-128 of the bytes compared. Groups are counted with partial aggregates and joined back by key, which adaptive
-execution splits where one key is hot; no group is ever collected. The bytes of runs that go on past pass 2 are the only text that
-is written. Texts are scanned in blocks of BLOCK windows, so memory doesn't grow with a text's length; the bytes of one document
-are in one task.
+Digests are BLAKE2b-128 of the bytes compared, held as two numbers. Groups are counted with partial aggregates and joined back by
+key, which adaptive execution splits where one key is hot; no group is ever collected. The bytes of runs that go on past pass 2 are
+the only text that is written. Texts move twice, compressed: to the places of their runs that go on, and to what is to be removed.
+They are scanned in blocks of BLOCK windows, so memory doesn't grow with a text's length; the bytes of one document are in one task.
 
 Defined results: a null text is empty; a text shorter than WINDOW keeps everything; windows never cross documents, and a document
 may repeat its own; equal rows are documents of their own, so a row that is there twice loses all its windows; null ids are
@@ -34,13 +34,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finloom.llm.common import settle, small_batches
 
-#: Bytes of a window; of a gram; suffixes of a cell; windows that are scanned at once.
-WINDOW, GRAM, CELL, BLOCK = 400, 64, 16, 1 << 20
+#: Bytes of a window; of a gram; windows that are scanned at once.
+WINDOW, GRAM, BLOCK = 400, 64, 1 << 20
+#: Suffixes of a cell in the passes over cells.
+CELLS = [64, 16, 1]
 #: Grams of a window.
 SPREAD = WINDOW - GRAM + 1
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -105,12 +108,18 @@ def _digest(data: memoryview, *of: int) -> bytes:
     return hashlib.blake2b(data, digest_size=16, salt=struct.pack("<qq", *of)).digest()
 
 
-def _id_type(schema, name: str) -> str:
-    return schema[name].dataType.simpleString()
+def _numbers(digests: list[bytes]) -> tuple[pa.Array, pa.Array]:
+    """128-bit digests as two columns of 64-bit numbers."""
+    both = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+    return pa.array(both[:, 0]), pa.array(both[:, 1])
+
+
+def _id_type(rows: DataFrame) -> str:
+    return rows.schema["id"].dataType.simpleString()
 
 
 def runs(docs: DataFrame) -> DataFrame:
-    """docs (id, h, text) to a row per run: id, h, gram, anchor, first, last, span (a digest of all its bytes and its shape)."""
+    """docs (id, h, text) to a row per run: id, h, gram, anchor, first, last, s1 and s2 (a digest of all its bytes and its shape)."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,117 +131,135 @@ def runs(docs: DataFrame) -> DataFrame:
                 for gram, anchor, first, last in text_runs(np.frombuffer(view, np.uint8)):
                     spans = [_digest(view[s : e + WINDOW], a - s, e - s) for a, s, e in zip(anchor.tolist(), first.tolist(), last.tolist())]
                     same = pa.array(np.full(len(gram), row))
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(same), batch.column(1).take(same), pa.array(gram), pa.array(anchor), pa.array(first), pa.array(last), pa.array(spans, pa.binary())],
-                        ["id", "h", "gram", "anchor", "first", "last", "span"],
-                    )
+                    columns = [batch.column(0).take(same), batch.column(1).take(same), pa.array(gram), pa.array(anchor), pa.array(first), pa.array(last), *_numbers(spans)]
+                    yield pa.RecordBatch.from_arrays(columns, ["id", "h", "gram", "anchor", "first", "last", "s1", "s2"])
 
-    schema = f"id {_id_type(docs.schema, 'id')}, h bigint, gram bigint, anchor bigint, first bigint, last bigint, span binary"
+    schema = f"id {_id_type(docs)}, h bigint, gram bigint, anchor bigint, first bigint, last bigint, s1 bigint, s2 bigint"
     return docs.select("id", "h", "text").mapInArrow(step, schema)
 
 
-def _contexts(kept: DataFrame, docs: DataFrame) -> DataFrame:
-    """The bytes of runs: kept (id, h, gram, done, anchor, first, last) joined to their texts."""
-    per_text = kept.groupBy(F.col("id").alias("of"), F.col("h").alias("hash")).agg(F.collect_list(F.struct("gram", "done", "anchor", "first", "last")).alias("runs"))
-    joined = docs.join(per_text, docs["id"].eqNullSafe(per_text["of"]) & (docs["h"] == per_text["hash"]))
-    rows = joined.select("id", "h", F.encode("text", "UTF-8").alias("data"), F.explode("runs").alias("run"))
-    return rows.select("id", "h", "run.*", F.expr(f"substring(data, cast(run.first as int) + 1, cast(run.last - run.first as int) + {WINDOW})").alias("data"))
+def packed(docs: DataFrame) -> DataFrame:
+    """docs (id, h, text) with the text compressed, for a shuffle."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            texts = [squeeze.compress(x.as_buffer()) if x.is_valid else None for x in batch.column(2).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], ["id", "h", "packed"])
+
+    return docs.select("id", "h", "text").mapInArrow(step, f"id {_id_type(docs)}, h bigint, packed binary")
+
 
+def _beside(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
+    """packed docs joined to lists (id, h and others); ids may be null."""
+    theirs = lists.withColumnsRenamed({"id": "of", "h": "hash"})
+    return docs.join(theirs, docs["id"].eqNullSafe(theirs["of"]) & (docs["h"] == theirs["hash"]), how).drop("of", "hash")
 
-def cells(contexts: DataFrame) -> DataFrame:
-    """Runs to their cells: id, h, done, gram, anchor, first, last, core and span (digests), data (the bytes of the cell's windows)."""
+
+def _contexts(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    """The bytes of runs: kept (id, h, gram, anchor, first, last, done) with data, read from their texts."""
+    per_text = kept.groupBy("id", "h").agg(F.collect_list(F.struct("gram", "anchor", "first", "last", "done")).alias("runs"))
+    names = ["gram", "anchor", "first", "last", "done"]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor()
         for batch in batches:
-            rows, out = [], []
-            columns = [batch.column(batch.schema.names.index(c)).to_pylist() for c in ("gram", "anchor", "first", "last")]
-            for row, (gram, anchor, first, last) in enumerate(zip(*columns)):
-                view = memoryview(batch.column(batch.schema.names.index("data"))[row].as_buffer())
-                for cell in range((anchor - last) // CELL, (anchor - first) // CELL + 1):
-                    # The cell's windows start at anchor - distance, for distances from cell * CELL on.
-                    near, far = anchor - cell * CELL, anchor - cell * CELL - CELL + 1
-                    lo, hi = max(far, first), min(near, last)
-                    core = _digest(view[near - first : far - first + WINDOW], gram, cell)
-                    whole = view[lo - first : hi - first + WINDOW]
-                    rows.append(row)
-                    out.append((gram, anchor, lo, hi, core, _digest(whole, anchor - lo, anchor - hi), whole))
-            if rows:
-                names, types = ["gram", "anchor", "first", "last", "core", "span", "data"], [pa.int64()] * 4 + [pa.binary()] * 3
-                own = [batch.column(batch.schema.names.index(c)).take(pa.array(rows)) for c in ("id", "h", "done")]
-                yield pa.RecordBatch.from_arrays([*own, *(pa.array(x, t) for x, t in zip(zip(*out), types))], ["id", "h", "done", *names])
-
-    schema = f"id {_id_type(contexts.schema, 'id')}, h bigint, done boolean, gram bigint, anchor bigint, first bigint, last bigint, core binary, span binary, data binary"
-    return contexts.mapInArrow(step, schema)
-
-
-def singles(rows: DataFrame) -> DataFrame:
-    """Cells (id, h, done, first, last, data) to a row per suffix: id, h, done, first, span (a digest of its window)."""
+            for row in range(batch.num_rows):
+                data = memoryview(expand.decompress(batch.column(2)[row].as_buffer()))
+                mine = batch.column(3)[row].values
+                places = zip(mine.field("first").to_pylist(), mine.field("last").to_pylist())
+                same = pa.array(np.full(len(mine), row))
+                texts = pa.array([bytes(data[first : last + WINDOW]) for first, last in places], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(same), batch.column(1).take(same), *(mine.field(c) for c in names), texts], ["id", "h", *names, "data"])
+
+    schema = f"id {_id_type(docs)}, h bigint, gram bigint, anchor bigint, first bigint, last bigint, done boolean, data binary"
+    return _beside(packed(docs), per_text, "inner").select("id", "h", "packed", "runs").mapInArrow(step, schema)
+
+
+def cells(rows: DataFrame, width: int) -> DataFrame:
+    """Runs to their cells of so many suffixes.
+
+    rows: id, h, start (the run's first suffix), gram, anchor, data (the run's bytes), open (its intervals of suffixes that go on, as
+    first, last, done). Out: id, h, start, first, last, done, c1 and c2 (digest of the core), s1 and s2 (of all bytes).
+    """
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.schema.names
-            of, first, spans = [], [], []
-            for row, start in enumerate(batch.column(names.index("first")).to_pylist()):
-                view = memoryview(batch.column(names.index("data"))[row].as_buffer())
-                for k in range(len(view) - WINDOW + 1):
-                    of.append(row)
-                    first.append(start + k)
-                    spans.append(_digest(view[k : k + WINDOW], 0, 0))
-            own = [batch.column(names.index(c)).take(pa.array(of, pa.int64())) for c in ("id", "h", "done")]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(first, pa.int64()), pa.array(spans, pa.binary())], ["id", "h", "done", "first", "span"])
-
-    return rows.mapInArrow(step, f"id {_id_type(rows.schema, 'id')}, h bigint, done boolean, first bigint, span binary")
+            starts, grams_, anchors = (batch.column(k).to_pylist() for k in (2, 3, 4))
+            of, out, cores, spans = [], [], [], []
+            for row, (start, gram, anchor, parts) in enumerate(zip(starts, grams_, anchors, batch.column(6).to_pylist())):
+                view = memoryview(batch.column(5)[row].as_buffer())
+                for part in parts:
+                    for cell in range((anchor - part["last"]) // width, (anchor - part["first"]) // width + 1):
+                        # The cell's windows start at anchor - distance, for distances from cell * width on.
+                        near, far = anchor - cell * width, anchor - cell * width - width + 1
+                        lo, hi = max(far, part["first"]), min(near, part["last"])
+                        of.append(row)
+                        out.append((lo, hi, part["done"]))
+                        cores.append(_digest(view[near - start : far - start + WINDOW], gram, cell))
+                        spans.append(_digest(view[lo - start : hi - start + WINDOW], anchor - lo, anchor - hi))
+            if out:
+                own = [batch.column(k).take(pa.array(of)) for k in range(3)]
+                first, last, done = zip(*out)
+                yield pa.RecordBatch.from_arrays(
+                    [*own, pa.array(first, pa.int64()), pa.array(last, pa.int64()), pa.array(done, pa.bool_()), *_numbers(cores), *_numbers(spans)], ["id", "h", "start", "first", "last", "done", "c1", "c2", "s1", "s2"]
+                )
+
+    schema = f"id {_id_type(rows)}, h bigint, start bigint, first bigint, last bigint, done boolean, c1 bigint, c2 bigint, s1 bigint, s2 bigint"
+    return rows.select("id", "h", "start", "gram", "anchor", "data", "open").mapInArrow(step, schema)
 
 
 def repeated(docs: DataFrame) -> DataFrame:
     """id, h, first, last: runs of suffixes (last included) whose windows occur elsewhere too. docs: id, h, text."""
-    interval = ["id", "h", "first", "last"]
+    interval, span, both = ["id", "h", "first", "last"], ["s1", "s2"], ["c1", "c2", "s1", "s2"]
     all_runs = settle(runs(docs), "suffix-runs")
     # Pass 1: anchors that occur more than once, and whether all their runs are equal, which settles pass 2 for them.
-    anchors = all_runs.groupBy("gram").agg(F.count("*").alias("n"), F.min("span").alias("a"), F.max("span").alias("b"))
-    anchors = settle(anchors.where("n > 1").select("gram", (F.col("a") == F.col("b")).alias("same")), "suffix-anchors")
+    anchors = all_runs.groupBy("gram").agg(F.count("*").alias("n"), *(f(c).alias(f"{c}_{f.__name__}") for c in span for f in (F.min, F.max)))
+    same = (F.col("s1_min") == F.col("s1_max")) & (F.col("s2_min") == F.col("s2_max"))
+    anchors = settle(anchors.where("n > 1").select("gram", same.alias("same")), "suffix-anchors")
     live = settle(all_runs.join(anchors, "gram"), "suffix-live")
-    found = [live.where("same").select(*interval)]
-    # Pass 2: classes of equal runs among anchors with several.
+    found = live.where("same").select(*interval)
+    # Pass 2: classes of equal runs among anchors with several. done: known to be repeated, from here on only compared with.
     mixed = live.where("not same")
     one = F.min(F.struct("id", "h", "anchor", "first", "last")).alias("one")
-    classes = settle(mixed.groupBy("gram", "span").agg(F.count("*").alias("n"), one), "suffix-classes")
-    found.append(mixed.join(classes.where("n > 1").select("gram", "span"), ["gram", "span"]).select(*interval))
-    # Pass 3: cells of the classes' runs; done marks what is known to be repeated and stands only for comparison.
-    contexts = _contexts(classes.select("one.*", "gram", (F.col("n") > 1).alias("done")), docs)
-    parts = settle(cells(contexts), "suffix-cells")
-    kinds = parts.groupBy("core", "span").agg(F.count("*").alias("n"), F.max("done").alias("known"))
-    kinds = settle(kinds.withColumn("repeated", F.col("known") | (F.col("n") > 1)), "suffix-kinds")
-    found.append(parts.where("not done").join(kinds.where("repeated").select("core", "span"), ["core", "span"]).select(*interval))
-    # Pass 4: single suffixes of cells whose core is shared by other cells; of the repeated ones, those of one member each.
-    cores = kinds.groupBy("core").agg(F.count("*").alias("kinds"), F.min("repeated").alias("all_known")).where("kinds > 1 and not all_known")
-    shared = kinds.join(cores, "core").select("core", "span", "repeated")
-    known = parts.groupBy("core", "span").agg(F.min_by(F.struct("id", "h", "first", "last", "data"), F.struct("id", "h", "first")).alias("one"))
-    left = known.join(shared, ["core", "span"]).select("one.*", F.col("repeated").alias("done"))
-    last = settle(singles(left), "suffix-singles")
-    windows = last.groupBy("span").agg(F.count("*").alias("n")).where("n > 1").select("span")
-    found.append(last.where("not done").join(windows, "span").select("id", "h", "first", F.col("first").alias("last")))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    classes = settle(mixed.groupBy("gram", *span).agg(F.count("*").alias("n"), one), "suffix-classes")
+    found = found.unionByName(mixed.join(classes.where("n > 1").select("gram", *span), ["gram", *span]).select(*interval))
+    contexts = settle(_contexts(classes.select("one.*", "gram", (F.col("n") > 1).alias("done")), docs), "suffix-contexts")
+    runs_left = contexts.withColumnRenamed("first", "start")
+    left = runs_left.withColumn("open", F.array(F.struct(F.col("start").alias("first"), "last", "done")))
+    for width in CELLS:
+        parts = settle(cells(left, width), f"suffix-cells-{width}")
+        one = F.min(F.struct("id", "h", "start", "first", "last")).alias("one")
+        kinds = parts.groupBy(*both).agg(F.count("*").alias("n"), F.max("done").alias("known"), one)
+        kinds = settle(kinds.withColumn("repeated", F.col("known") | (F.col("n") > 1)), f"suffix-kinds-{width}")
+        found = found.unionByName(parts.where("not done").join(kinds.where("repeated").select(*both), both).select(*interval))
+        if width > 1:
+            # Of a core that several kinds share: the one run of each kind that isn't known, and one run of each that is.
+            cores = kinds.groupBy("c1", "c2").agg(F.count("*").alias("kinds"), F.min("repeated").alias("all_known")).where("kinds > 1 and not all_known")
+            shared = kinds.join(cores, ["c1", "c2"]).select("one.*", F.col("repeated").alias("done"))
+            per_run = shared.groupBy("id", "h", "start").agg(F.collect_list(F.struct("first", "last", "done")).alias("open"))
+            theirs = per_run.withColumnsRenamed({"id": "of", "h": "hash", "start": "at"})
+            same_run = runs_left["id"].eqNullSafe(theirs["of"]) & (runs_left["h"] == theirs["hash"]) & (runs_left["start"] == theirs["at"])
+            left = runs_left.join(theirs, same_run)
+    return found
 
 
 def _cut(rows: DataFrame) -> DataFrame:
-    """rows (id, text, found) with the removed spans and the bytes that stay."""
-    out = f"doc_id {_id_type(rows.schema, 'id')}, n_bytes bigint, spans array<struct<start:bigint,stop:bigint>>, kept binary"
+    """rows (id, packed, found) with the removed spans and the bytes that stay; found: a run's first suffix << 24 | its length - 1."""
+    out = f"doc_id {_id_type(rows)}, n_bytes bigint, spans array<struct<start:bigint,stop:bigint>>, kept binary"
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor()
         for batch in batches:
             sizes, spans, kept = [], [], []
-            for text, found in zip(batch.column(1).cast(pa.binary()), batch.column(2)):
-                data = text.as_py() or b""
+            for text, found in zip(batch.column(1), batch.column(2)):
+                data = expand.decompress(text.as_buffer())
                 mine, rest, at = [], [], 0
                 if found.is_valid and len(found.values):
-                    starts, stops = (found.values.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-                    order = np.argsort(starts, kind="stable")
-                    starts, stops = starts[order], np.maximum.accumulate(stops[order] + WINDOW)
+                    places = np.sort(found.values.to_numpy())
+                    starts = places >> 24
+                    stops = np.maximum.accumulate(starts + (places & 0xFFFFFF) + WINDOW)
                     new = np.concatenate([[True], starts[1:] > stops[:-1]])
                     ends = np.append(np.flatnonzero(new)[1:], len(new)) - 1
                     for start, stop in zip(starts[new].tolist(), stops[ends].tolist()):
@@ -245,16 +272,16 @@ def _cut(rows: DataFrame) -> DataFrame:
                 kept.append(b"".join(rest))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
-    return rows.select("id", "text", "found").mapInArrow(step, out)
+    return rows.select("id", "packed", "found").mapInArrow(step, out)
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of docs: doc_id, n_bytes, spans (removed, start and stop in bytes), kept (the bytes that stay)."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    found = settle(repeated(rows), "suffix-found")
-    per_text = found.groupBy(F.col("id").alias("of"), F.col("h").alias("hash")).agg(F.collect_set(F.struct("first", "last")).alias("found"))
-    return _cut(rows.join(per_text, rows["id"].eqNullSafe(per_text["of"]) & (rows["h"] == per_text["hash"]), "left"))
+    place = F.shiftleft("first", 24).bitwiseOR(F.col("last") - F.col("first"))
+    per_text = repeated(rows).groupBy("id", "h").agg(F.collect_list(place).alias("found"))
+    return _cut(_beside(packed(rows), per_text, "left"))
 
 
 def digests(rows: DataFrame) -> DataFrame:
