@@ -264,11 +264,16 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id, kept. Linked: 100 * intersection >= percent * union."""
+    return _verdicts(docs, width, percent).drop("text_hash")
+
+
+def _verdicts(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """near_duplicates() with text_hash, which tells rows of one doc_id apart."""
     small_batches(docs.sparkSession)
     # Plans over kept tables print theirs too; without a limit the driver holds megabytes of text for each job.
     docs.sparkSession.conf.set("spark.sql.maxPlanStringLength", "8192")
     docs = docs.select("doc_id", "text")
-    sketched = keep(docs.select("doc_id", sketch(width)("text").alias("s")).select("doc_id", "s.*"))
+    sketched = keep(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), sketch(width)("text").alias("s")).select("doc_id", "text_hash", "s.*"))
     classes = sketched.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("registers").alias("registers"), F.count("*").alias("copies"))
     reps = keep(classes.where("rep is not null"))
 
@@ -298,7 +303,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     final = components(links.unionByName(more))
     named = reps.join(final, reps.rep == final.node, "left").select("digest", F.coalesce("component", "rep").alias("component"), "copies")
-    rows = sketched.select("doc_id", F.col("n").alias("n_shingles"), "digest")
+    rows = sketched.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "digest")
     # Large classes meet their rows by a broadcast table, the others by a shuffle, so no task gets the copies of one text.
     limit = large_from(sketched.count())
     large = few(named.where(F.col("copies") > limit).select("digest", "component"), LARGE_GROUPS)
@@ -306,13 +311,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     small = some.join(large, "digest", "left_anti").join(named.where(F.col("copies") <= limit).select("digest", "component"), "digest", "left")
     out = some.join(large, "digest").unionByName(small).unionByName(rows.where("digest is null").withColumn("component", F.lit(None).cast("long")))
     component = F.coalesce("component", "doc_id")
-    out = settle(out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")), "near-duplicates")
+    out = settle(out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")), "near-duplicates")
     for df in (sketched, reps, first_members, stars):
         df.unpersist()
     return out
 
 
 def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs that name their component, with their columns."""
-    kept = near_duplicates(docs, width, percent).where("kept").select(F.col("doc_id").alias("_nd_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_nd_id")), "left_semi")
+    """The rows of docs that name their component, with their columns; a verdict holds for the rows of its doc_id and text."""
+    kept = _verdicts(docs, width, percent).where("kept").select(F.col("doc_id").alias("_nd_id"), F.col("text_hash").alias("_nd_hash")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_nd_id")) & (F.xxhash64(docs["text"]) == F.col("_nd_hash")), "left_semi")

@@ -33,10 +33,34 @@ def test_exact_columns_of_any_name_repeats_and_long_texts(spark):
     rows = [(1, "x y", 1, 2, {"a": 1}), (1, "xy ", 1, 2, {"a": 1}), (None, "q", 1, 2, None), (None, "q", 1, 2, None), (5, "z " * 2_000_000, 1, 2, None), (4, "z" * 2_000_000, 1, 2, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _xd_len int, `a.b` int, hash map<string, int>")
     got = exact_dedup.deduplicate(docs)
-    assert got.schema == docs.schema and sorted((r.doc_id or 0, len(r.text)) for r in got.collect()) == [(0, 1), (0, 1), (1, 3), (1, 3), (5, 4_000_000)]
+    assert got.schema == docs.schema and sorted((r.doc_id or 0, len(r.text)) for r in got.collect()) == [(0, 1), (1, 3), (5, 4_000_000)]
     assert [(r.keep_id, r.group_size) for r in exact_dedup.verdicts(docs).collect() if r.doc_id in (4, 5)] == [(5, 2)] * 2
 
 
+def plain_exact(rows):
+    """doc_id, keep_id, group_size, kept of each row: the first of a group by length, then id, then place stays."""
+    group = {}
+    for at, (i, t) in enumerate(rows):
+        group.setdefault("".join(c for c in t or "" if c not in " \t\n\x0b\x0c\r"), []).append((-len(t or ""), i is None, i or 0, at, i))
+    best = {k: min(v) for k, v in group.items()}
+    return sorted(((i is not None, i or 0), str(best[k][4]), len(v), at == best[k][3]) for k, v in group.items() for *_, at, i in v)
+
+
+def test_exact_rows_that_repeat(spark):
+    rows = [(1, "a b"), (1, "ab"), (2, "ab"), (1, "a b"), (1, " ab"), (None, "q"), (None, "q"), (3, None), (3, ""), (3, None), (None, "q "), (7, "z"), (6, "z"), (6, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id is not None, r.doc_id or 0), str(r.keep_id), r.group_size, r.kept) for r in exact_dedup.verdicts(docs).collect())
+    assert got == plain_exact(rows)
+    assert sorted((r.doc_id or 0, r.text or "") for r in exact_dedup.deduplicate(docs).collect()) == [(0, "q "), (1, "a b"), (3, ""), (6, "z")]
+    assert exact_dedup.deduplicate(docs).count() == 4
+
+
+def test_near_dropped_rows_stay_dropped(spark):
+    text, other = " ".join(f"w{i}" for i in range(30)), " ".join(f"v{i}" for i in range(30))
+    docs = spark.createDataFrame([(5, text, "x"), (None, text, "y"), (None, other, "z"), (6, text + " more", "u")], "doc_id long, text string, digest string")
+    assert sorted((r.doc_id or 0, r.digest) for r in near_dup.deduplicate(docs).collect()) == [(0, "z"), (5, "x")]
+
+
 def brute(texts, width, percent):
     sets = []
     for t in texts:
