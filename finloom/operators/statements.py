@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from finloom.operators import equity
-from finloom.plans import matrices
+from finloom.operators import equity, five_year, page_tables
+from finloom.plans import matrices, printed
 
 
 def equity_matrix_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,5 +79,33 @@ EQUITY_REFUSALS_SQL = f"""{EQUITY_BLOCKS}
 select doc_id, coalesce(reason, 'blocks do not chain') as reason from judged where reason is not null or doc_id in (select doc_id from chained where not follows)
 """
 
-FRAMES = {f.__name__: f for f in (equity_matrix_facts, equity_matrix_refusals)}
-SQL = {"equity_matrix_facts": EQUITY_FACTS_SQL, "equity_matrix_refusals": EQUITY_REFUSALS_SQL}
+def page_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each word of the printed summaries with its half of a spread, its block and its row."""
+    words, pages = printed.printed(spark, sf_dir)
+    return page_tables.blocks(words, pages).select("doc", "page", "word_id", "half", "block", "row_no")
+
+
+def five_year_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures read from the printed summaries."""
+    words, pages = printed.printed(spark, sf_dir)
+    rows = page_tables.cells(page_tables.blocks(words, pages), five_year.is_figure(F.col("text")))
+    return five_year.summary_values(rows).select("doc", "concept", "fiscal_year", F.round("value", 2).alias("value"))
+
+
+#: Where the printer put each word: a panel beside the table makes two blocks below the shared title, a spread two halves.
+PAGE_BLOCKS_SQL = f"""{printed.WITH_PRINTED}, placed as (
+    select doc, page, word_id, word_id // 100 as line, case when v <> 1 then 0 when kind = 'table' then 1 else 2 end as half,
+        case when v <> 0 then 0 when kind = 'panel' then 2 when word_id // 100 in (3, 4, 5, 6) then 1 else 0 end as block
+    from words
+)
+select doc, page, word_id, half, block, dense_rank() over (partition by doc, page, half, block order by line) - 1 as row_no from placed
+"""
+#: The figures as they were printed, whole thousands and two decimals.
+FIVE_YEAR_SQL = f"""{printed.WITH_PRINTED}
+select company_id as doc, concept, fy as fiscal_year,
+    round((case when word like '(%' then -1 else 1 end) * trim(word, '()')::double * case when line < 10 then 1000 else 1 end, 2) as value
+from figure where word <> '-'
+"""
+
+FRAMES = {f.__name__: f for f in (equity_matrix_facts, equity_matrix_refusals, page_blocks, five_year_values)}
+SQL = {"equity_matrix_facts": EQUITY_FACTS_SQL, "equity_matrix_refusals": EQUITY_REFUSALS_SQL, "page_blocks": PAGE_BLOCKS_SQL, "five_year_values": FIVE_YEAR_SQL}
