@@ -11,9 +11,6 @@ RATIOS = """, ratios as (
         case when equity > 0 then pat / equity end as roe, pbt + abs(finance_costs) as ebit, pbt, tax_expense, finance_costs, equity, total_assets, dividends, op_cash, capex, cash, borrowings, shares
     from annual
 )"""
-CLOSES = """, closes as (
-    select user_id as company_id, cast(ts as date) as day, max(value) as close from events where event_type = 'purchase' and user_id is not null group by 1, 2
-), targets as (select company_id, make_date(2024, 1, cast(5 + company_id % 26 as int)) as target from company)"""
 DIVIDENDS = """, paid as (
     select company_id, fy, abs(dividends) as amount, dividends is not null as known, coalesce(abs(dividends), 0) > 0 as paid, abs(dividends) / shares * 100 as dps_sen,
         case when pat > 0 then abs(dividends) / pat end as payout from annual
@@ -24,7 +21,6 @@ DIVIDENDS = """, paid as (
     select k.company_id, k.last_known, coalesce(max(case when r.last_fy = k.last_known then r.years end), 0) as current_streak, coalesce(max(r.years), 0) as longest_streak
     from (select company_id, max(case when known then fy end) as last_known from paid group by company_id) k left join runs r on k.company_id = r.company_id group by k.company_id, k.last_known
 )"""
-METRICS = ["roe", "net_margin", "turnover", "multiplier"]
 #: Plausible ranges, ends included; values outside are flagged and left out of statistics.
 BOUNDS = {"roe": (-1.0, 1.0), "net_margin": (-1.0, 1.0), "turnover": (0.0, 5.0), "multiplier": (0.0, 3.0)}
 PEERS = RATIOS + ", snapshot as (select r.*, c.sector, c.profile from (select *, row_number() over (partition by company_id order by fy desc) as rn from ratios) r join company c on r.company_id = c.company_id where rn = 1), metric as (" + " union all ".join(
@@ -32,34 +28,10 @@ PEERS = RATIOS + ", snapshot as (select r.*, c.sector, c.profile from (select *,
 ) + ")"
 
 
-def cagr(measure: str, span: int) -> str:
-    return f"select e.company_id, '{measure}' as measure, {span} as span, round(case when s.{measure} > 0 and e.{measure} > 0 then power(e.{measure} / s.{measure}, cast(1 as double) / {span}) - 1 end, 6) as rate from latest e left join annual s on s.company_id = e.company_id and s.fy = e.fy - {span}"
-
-
 QUERIES = {
     "annual_facts": lambda d: BASE + " select * from annual",
     "net_margin_ranked": lambda d: BASE + LATEST + f""", m as (select l.company_id, c.sector, l.fy, pat / nullif(revenue, 0) as margin from latest l join company c on l.company_id = c.company_id),
         s as (select sector, {median('margin', d)} as sector_median from m group by sector)
         select m.company_id, m.sector, m.fy, round(margin, 6) as net_margin, rank() over (partition by m.sector order by margin desc) as place, round(sector_median, 6) as sector_median from m join s on m.sector = s.sector""",
-    "dupont3": lambda d: BASE + RATIOS + " select company_id, fy, round(net_margin, 6) as net_margin, round(turnover, 6) as turnover, round(multiplier, 6) as multiplier, round(roe, 6) as roe from ratios where roe is not null and revenue > 0 and total_assets > 0",
-    "dupont5": lambda d: BASE + RATIOS + " select company_id, fy, round(pat / pbt, 6) as tax_burden, round(pbt / ebit, 6) as interest_burden, round(ebit / revenue, 6) as operating_margin, round(turnover, 6) as turnover, round(multiplier, 6) as multiplier from ratios where roe is not null and revenue > 0 and pbt <> 0 and ebit <> 0",
-    "growth_cagr": lambda d: BASE + LATEST + " " + " union all ".join(cagr(m, n) for m in ("revenue", "pat", "total_assets") for n in (3, 5)),
-    "roe_trend": lambda d: BASE + RATIOS + " select company_id, fy, round(roe, 6) as roe, round(roe - lag(roe) over (partition by company_id order by fy), 6) as change_from_before from ratios",
-    "valuation": lambda d: BASE + """, v as (select *, case when -tax_expense / nullif(pbt, 0) between 0 and 0.6 then -tax_expense / pbt end as rate, coalesce(pbt + abs(finance_costs), pbt) as ebit from annual)
-        select company_id, fy, round(ebit, 4) as ebit, round(rate, 6) as tax_rate, round(ebit * (1 - rate), 4) as nopat, round(ebit * (1 - rate) - abs(capex), 4) as fcff, round(op_cash - abs(capex), 4) as fcfe, round(abs(borrowings) - cash, 4) as net_debt from v""",
-    "close_asof": lambda d: BASE + CLOSES + " select t.company_id, t.target, max(c.day) as day, " + ("max_by" if d == "spark" else "arg_max") + "(c.close, c.day) as close from targets t left join closes c on c.company_id = t.company_id and c.day <= t.target and c.day >= t.target - interval 10 day group by t.company_id, t.target",
-    "price_ratios": lambda d: BASE + LATEST + CLOSES + ", p as (select t.company_id, " + ("max_by" if d == "spark" else "arg_max") + """(c.close, c.day) as price from targets t join closes c on c.company_id = t.company_id and c.day <= t.target and c.day >= t.target - interval 10 day group by t.company_id)
-        select l.company_id, l.fy, price, round(price * shares, 2) as market_cap, round(price / nullif(pat / shares, 0), 6) as pe, round(case when equity > 0 then price * shares / equity end, 6) as pb,
-            round(case when price * shares > 0 then abs(dividends) / (price * shares) end, 6) as dividend_yield from latest l join p on l.company_id = p.company_id""",
-    "dividend_years": lambda d: BASE + DIVIDENDS + """ select company_id, fy, known, paid, round(dps_sen, 6) as dps_sen, round(payout, 6) as payout, round(1 / nullif(payout, 0), 6) as cover, coalesce(payout > 3, false) as implausible,
-            round(case when lag(fy) over w = fy - 1 and lag(dps_sen) over w > 0 then dps_sen / lag(dps_sen) over w - 1 end, 6) as growth from paid window w as (partition by company_id order by fy)""",
     "dividend_streaks": lambda d: BASE + DIVIDENDS + " select * from streaks",
-    "dividend_screen": lambda d: BASE + DIVIDENDS + f", m as (select s.company_id, s.current_streak, {median('p.payout', d)} as payout from streaks s join paid p on p.company_id = s.company_id and p.fy > s.last_known - s.current_streak and p.fy <= s.last_known and p.payout <= 3 where s.current_streak >= 2 group by s.company_id, s.current_streak) select company_id, current_streak, round(payout, 6) as payout from m where payout between 0 and 1",
-    "peer_snapshot": lambda d: BASE + PEERS + " select company_id, sector, profile, metric, round(value, 6) as value, flagged, value is null and profile = 'bank' as not_applicable from metric",
-    "peer_stats": lambda d: BASE + PEERS + f" select sector, metric, count(value) filter (where not flagged) as n, count(*) filter (where flagged) as n_flagged, round({median('case when not flagged then value end', d, 0.25)}, 6) as q1, round({median('case when not flagged then value end', d)}, 6) as median_value, round({median('case when not flagged then value end', d, 0.75)}, 6) as q3, round(min(case when not flagged then value end), 6) as low, round(max(case when not flagged then value end), 6) as high from metric group by sector, metric",
-    "peer_percentiles": lambda d: BASE + PEERS + """, ok as (select * from metric where value is not null and not flagged), r as (select *, rank() over (partition by sector, metric order by value) - 1 as below, count(*) over (partition by sector, metric, value) as equal, count(*) over (partition by sector, metric) as n from ok)
-        select company_id, sector, metric, round(case when n > 1 then 100 * (below + 0.5 * (equal - 1)) / cast(n - 1 as double) end, 6) as percentile from r""",
-    "sector_list": lambda d: BASE + " select c.sector, count(*) as total, count(a.company_id) as covered from company c left join (select distinct company_id from annual) a on a.company_id = c.company_id group by c.sector",
-    "peer_fy_mix": lambda d: BASE + LATEST + " select c.sector, l.fy, count(*) as companies from latest l join company c on c.company_id = l.company_id group by c.sector, l.fy",
-    "long_export": lambda d: BASE + " " + " union all ".join(f"select company_id, fy, '{c}' as concept, round({c}, 6) as value from annual where {c} is not null" for c in ("revenue", "pbt", "tax_expense", "pat", "finance_costs", "total_assets", "liabilities", "equity", "dividends")),
 }

@@ -86,3 +86,10 @@ def coverage(selected: DataFrame, concepts: Iterable[str]) -> DataFrame:
     complete = F.size(F.array_except(F.array(*map(F.lit, ("is", "bs", "cf"))), F.col("statements"))) == 0
     out = out.withColumns({"missing_years": F.array_join(missing.cast("array<string>"), ","), "complete": complete})
     return out.withColumn("statements", F.array_join("statements", ",")).select("company_id", "first_fy", "last_fy", "statements", "missing_years", "complete")
+
+
+def fiscal_year_gaps(books: DataFrame, column: str) -> DataFrame:
+    """company_id, gap_from, gap_to: runs of fiscal years without a figure between years that have one."""
+    have = books.where(F.col(column).isNotNull()).select("company_id", "fy").distinct()
+    following = F.lead("fy").over(Window.partitionBy("company_id").orderBy("fy"))
+    return have.withColumn("following", following).where("following > fy + 1").select("company_id", (F.col("fy") + 1).alias("gap_from"), (F.col("following") - 1).alias("gap_to"))

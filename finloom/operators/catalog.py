@@ -123,8 +123,14 @@ def feed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(results.month_digest(results.feed(_pairs(spark, sf_dir))))
 
 
+def fy_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years for which a company's total assets aren't reported."""
+    return annual.fiscal_year_gaps(books(spark, sf_dir), "bs_total_assets")
+
+
 def feed_movers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(results.movers(results.feed(_pairs(spark, sf_dir))))
+    """The books' profits count as thousands, as their companies are small."""
+    return rounded(results.movers(results.feed(_pairs(spark, sf_dir)), results.MOVER_BASE / 1000))
 
 
 def sector_context(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,7 +224,7 @@ FRAMES = {
     f.__name__: f
     for f in (
         dupont3, dupont5, growth_cagr, roe_trend, valuation, close_asof, price_ratios, dividend_years, dividend_history, dividend_screen, peer_snapshot, peer_flags, peer_stats, peer_percentiles, peer_fy_mix, sector_list,
-        results_rows, results_observations, feed_items, feed_months, feed_movers, sector_context, long_export, rules_single_period, validation_summary, derive_facts, rules_magnitude, five_year_check, benchmark_compare,
+        results_rows, results_observations, feed_items, feed_months, fy_gaps, feed_movers, sector_context, long_export, rules_single_period, validation_summary, derive_facts, rules_magnitude, five_year_check, benchmark_compare,
         benchmark_counts, hygiene_impact, annual_selection, coverage_summary, concept_suggest,
     )
 }

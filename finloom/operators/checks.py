@@ -6,65 +6,26 @@ from finloom.plans.facts import BASE, COMPANY, REPORTED, median, months_after
 
 FULL = BASE + ", " + REPORTED
 CURRENT = ", ranked as (select *, row_number() over (partition by company_id, concept, fy order by filed desc nulls last, hint desc nulls last, doc_id desc) as rn from reported), current_facts as (select company_id, fy, concept, value, doc_id from ranked where rn = 1)"
-#: Order totals stand for the figures of an outside source, line totals for ours.
-COMPARED = """with ours as (select l_orderkey as k, cast(sum(cast(floor(l_extendedprice * 100) as bigint)) as double) / 100 as own from lineitem where l_orderkey % 10 <> 3 group by l_orderkey), theirs as (select o_orderkey as k, o_totalprice as other from orders where o_orderkey % 10 <> 7),
-both_sides as (select coalesce(o.k, t.k) as k, own, other, abs(own - other) / nullif(abs(other), 0) as deviation from ours o full join theirs t on o.k = t.k),
-classed as (select *, case when own is null or other is null then 'MISSING' when abs(own / nullif(other, 0) - 1000) / 1000 <= 0.05 or abs(own / nullif(other, 0) - 0.001) / 0.001 <= 0.05 or abs(own / nullif(other, 0) - 100) / 100 <= 0.05 or abs(own / nullif(other, 0) - 0.01) / 0.01 <= 0.05 or abs(own / nullif(other, 0) - 10) / 10 <= 0.05 or abs(own / nullif(other, 0) - 0.1) / 0.1 <= 0.05 then 'SCALE_ERROR' when deviation <= 0.05 then 'MATCH' when deviation <= 0.15 then 'CLOSE' else 'MISMATCH' end as class from both_sides)"""
-CHANGE = """case when cur is null or prev is null or prev = 0 and cur <= 0 then 'none' when prev > 0 and cur > 0 then 'growth' when prev < 0 and cur > 0 or prev = 0 then 'turnaround' when prev > 0 then 'to_loss' when cur > prev then 'loss_narrowed' else 'loss_widened' end"""
-FEED = f""", pairs as (select a.company_id, a.fy, a.period_end, a.pat as cur, b.pat as prev, a.revenue as rev, b.revenue as rev_before from annual a left join annual b on b.company_id = a.company_id and b.fy = a.fy - 1),
-items as (select *, {CHANGE} as kind, case when {CHANGE} = 'growth' then cur / prev - 1 end as growth, rev / nullif(rev_before, 0) - 1 as rev_growth from pairs),
-toned as (select *, case when kind = 'none' then 'new' when kind in ('turnaround', 'loss_narrowed') then 'up' when kind in ('to_loss', 'loss_widened') then 'down' when growth >= 0.05 then 'up' when growth <= -0.05 then 'down' else 'flat' end as tone from items)"""
 QUARTERS = ", q as (select company_id, fy, cast(floor(month_no / 3) as int) + 1 as quarter, cast(sum(sold) as double) / 100 as revenue from line group by 1, 2, 3)"
 SHIPS = "ships as (select distinct cast(l_shipdate as date) as day, l_suppkey % 4 as k from lineitem), dated as (select day, case k when 0 then 12 when 1 then 3 when 2 then 6 else 9 end as fye from ships)"
-NUMBERS = "nums as (select event_id, case event_id % 6 when 0 then '(' || cast(event_id as varchar(20)) || '.50)' when 1 then 'RM ' || cast(event_id as varchar(20)) || ',000' when 2 then cast(event_id as varchar(20)) || '-' when 3 then 'n/a' when 4 then cast(event_id as varchar(20)) || '.5%' else 'Note ' || cast(event_id as varchar(20)) end as raw from events)"
-
-
-def replace_all(x: str, pattern: str, by: str, d: str) -> str:
-    pattern = pattern.replace("\\", "\\\\") if d == "spark" else pattern
-    return f"regexp_replace({x}, '{pattern}', '{by}'{'' if d == 'spark' else ', ' + repr('g')})"
 
 
 def matches(x: str, pattern: str, d: str) -> str:
     return f"{x} rlike '{pattern}'" if d == "spark" else f"regexp_matches({x}, '{pattern}')"
 
 
-def _numbers(d: str) -> str:
-    bare = replace_all("lower(trim(raw))", "[(),% ]|rm", "", d)
-    body = replace_all("bare", "^[-+]|-$", "", d)
-    negative = "(" + matches("raw", "^[(]|[)]$", d) + " or " + matches("bare", "^-|-$", d) + ")"
-    return f"with {NUMBERS}, b as (select event_id, raw, {bare} as bare from nums), c as (select *, {body} as body from b) select event_id, raw, case when {matches('body', '^[0-9]+([.][0-9]+)?$', d)} then cast(body as double) * case when {negative} then -1 else 1 end end as number, raw = 'n/a' or {matches('body', '^[0-9]+([.][0-9]+)?$', d)} as looks_numeric from c"
-
-
 QUERIES = {
     "facts_current": lambda d: FULL + CURRENT + " select company_id, fy, concept, round(value, 2) as value, doc_id from current_facts",
     "fact_query_prefix": lambda d: FULL + " select company_id, fy, concept, doc_id, filed, round(value, 2) as value from reported where concept like 'is.%' and filed is not null",
     "stale_facts": lambda d: FULL + CURRENT + " select r.company_id, r.fy, r.concept, r.doc_id from reported r left join current_facts c on r.company_id = c.company_id and r.fy = c.fy and r.concept = c.concept and r.doc_id = c.doc_id where c.doc_id is null",
     "comparative": lambda d: FULL + """, v as (select *, first_value(value) over (partition by company_id, concept, fy order by doc_id) as original, row_number() over (partition by company_id, concept, fy order by doc_id) as rn from reported)
         select company_id, concept, fy, doc_id, round(value - original, 2) as delta, case when value = original then 'MATCH' when abs(value - original) <= 1000 and abs(value - original) <= 0.02 * abs(original) then 'ROUNDING' else 'RESTATEMENT' end as class from v where rn > 1""",
-    "derive_facts": lambda d: BASE + """, sparse as (select company_id, fy, case when (company_id + fy) % 4 = 0 then null else total_assets end as total_assets, liabilities, case when (company_id + fy) % 3 = 0 then null else equity end as equity, pbt, tax_expense, case when (company_id + fy) % 5 = 0 then null else pat end as pat from annual),
-        one as (select *, coalesce(equity, total_assets - liabilities) as equity_1, coalesce(pat, pbt + tax_expense) as pat_1 from sparse), two as (select *, coalesce(total_assets, equity_1 + liabilities) as assets_2 from one)
-        select company_id, fy, round(equity_1, 2) as equity, round(pat_1, 2) as pat, round(assets_2, 2) as total_assets, equity is null and equity_1 is not null as equity_derived, pat is null and pat_1 is not null as pat_derived, total_assets is null and assets_2 is not null as assets_derived from two""",
-    "rules_single_period": lambda d: BASE + " " + " union all ".join(
-        f"select company_id, fy, '{k}' as rule_key, abs({e} - ({a})) <= 1 as passed, case when abs({e} - ({a})) < 0.001 then cast(0 as double) else round({e} - ({a}), 7) end as delta from annual where {e} is not null and ({a}) is not null"
-        for k, e, a in (("bs_balances", "total_assets", "liabilities + equity"), ("is_pbt_to_pat", "pat", "pbt + tax_expense"), ("is_gross", "pbt", "revenue * 0.15"), ("cf_cash", "cash", "op_cash + capex + coalesce(dividends, 0)"), ("eps", "pat / shares * 100", "floor(pat / shares * 100)"))
-    ),
-    "rules_magnitude": lambda d: BASE + ", p as (select company_id, fy, revenue, lag(revenue) over (partition by company_id order by period_end) as before from annual) select company_id, fy, round(revenue / before, 6) as ratio, case when abs(revenue / before - 1000) <= 0.05 or abs(revenue / before - 100) <= 0.05 then 95 else 40 end as severity from p where before <> 0 and abs(revenue / before - 1) > 0.8",
     "rules_q4": lambda d: BASE + QUARTERS + " select q.company_id, q.fy, count(*) as quarters, abs(sum(q.revenue) - max(a.revenue)) <= 1 as passed, round(max(case when quarter = 4 then q.revenue end), 2) as q4 from q join annual a on a.company_id = q.company_id and a.fy = q.fy group by q.company_id, q.fy having count(*) = 4",
-    "validation_summary": lambda d: BASE + ", r as (select company_id, abs(pat - (pbt + tax_expense)) <= 1 as passed from annual union all select company_id, abs(total_assets - liabilities - equity) <= 1 from annual union all select company_id, pat > 0 from annual) select company_id, count(*) as run, count(*) filter (where passed) as passed, count(*) filter (where not passed) as failed from r group by company_id",
-    "benchmark_compare": lambda d: COMPARED + " select k, round(own, 2) as own, other, round(deviation, 6) as deviation, class from classed",
-    "benchmark_counts": lambda d: COMPARED + " select class, count(*) as n from classed group by class",
-    "five_year_check": lambda d: FULL + CURRENT + """, printed as (select company_id, fy, round(revenue / 1000, 0) * 1000 as shown from annual where (company_id + fy) % 8 <> 0)
-        select p.company_id, p.fy, p.shown, case when c.value is null then 'ONLY_IN_SUMMARY' when abs(p.shown - c.value) <= 505 then 'MATCH' when c.value = 0 then 'MISMATCH' when abs(p.shown - c.value) / abs(c.value) <= 0.01 then 'MATCH' when abs(p.shown - c.value) / abs(c.value) <= 0.05 then 'CLOSE' else 'MISMATCH' end as class from printed p left join current_facts c on c.company_id = p.company_id and c.fy = p.fy and c.concept = 'is.revenue'""",
     "five_year_shift": lambda d: BASE + """, printed as (select company_id, fy + case when company_id % 5 = 0 then 1 else 0 end as fy, revenue from annual), hits as (select p.company_id, s.shift, count(*) as n from printed p join (select -1 as shift union all select 0 union all select 1) s on 1 = 1 join annual a on a.company_id = p.company_id and a.fy = p.fy + s.shift and abs(a.revenue - p.revenue) <= 0.01 * abs(a.revenue) group by 1, 2),
         w as (select company_id, coalesce(max(case when shift = 0 then n end), 0) as base, coalesce(max(case when shift = -1 then n end), 0) as back, coalesce(max(case when shift = 1 then n end), 0) as ahead from hits group by company_id) select company_id, case when back >= 3 and back > 2 * base and back >= ahead then -1 when ahead >= 3 and ahead > 2 * base then 1 end as shift from w""",
-    "feed_items": lambda d: BASE + FEED + " select company_id, fy, period_end, kind, tone, round(growth, 6) as growth, round(rev_growth, 6) as rev_growth from toned",
-    "feed_months": lambda d: BASE + FEED + f" select year(period_end) * 100 + month(period_end) as cohort, count(*) as n, count(*) filter (where tone = 'up') as up, count(*) filter (where tone = 'down') as down, count(*) filter (where tone = 'flat') as flat, round({median('growth', d)}, 6) as median_growth from toned group by 1",
-    "feed_movers": lambda d: BASE + FEED + ", r as (select fy, company_id, growth, row_number() over (partition by fy order by growth desc, company_id) as up, row_number() over (partition by fy order by growth, company_id) as down from toned where growth is not null) select fy, company_id, round(growth, 6) as growth, case when up <= 5 and growth > 0 then 'gainer' else 'decliner' end as side from r where up <= 5 and growth > 0 or down <= 5 and growth < 0",
-    "sector_context": lambda d: BASE + f", m as (select c.sector, a.fy, a.company_id, a.pat / nullif(a.revenue, 0) as margin from annual a join company c on c.company_id = a.company_id), s as (select sector, fy, count(margin) as n, {median('margin', d)} as mid from m group by sector, fy) select m.company_id, m.fy, case when n >= 3 then round(mid, 6) end as sector_median, case when n >= 3 then rank() over (partition by m.sector, m.fy order by margin desc) end as place from m join s on s.sector = m.sector and s.fy = m.fy",
     "deadlines": lambda d: f"with {COMPANY}, m as (select company_id, fye, market, x.n, {months_after('make_date(2024, 10, 1)', 'x.n')} as ended from company join (" + " union all ".join(f"select {n} as n" for n in range(-5, 3)) + f") x on 1 = 1), e as (select *, (month(ended) - fye + 12) % 12 as gap from m), f as (select *, case when gap = 0 then {months_after('ended', '4')} else {months_after('ended', '2')} end as due from e where gap % 3 = 0 and (gap = 0 or market <> 'LEAP')) select company_id, ended, due, case when gap = 0 then 'annual' else 'quarterly' end as kind, year(ended) + case when month(ended) > fye then 1 else 0 end as fy from f where due >= make_date(2024, 10, 22) and due <= make_date(2024, 12, 6)",
     "fiscal_calendar": lambda d: f"with {SHIPS} select day, fye, year(day) + case when month(day) > fye then 1 else 0 end as fy, cast(floor((month(day) - fye + 23) % 12 / 3) as int) + 1 as quarter, {months_after('day', '-12')} as month_end_before from dated",
     "period_bounds": lambda d: f"with {SHIPS}, ends as (select distinct last_day(day) as ended, fye from dated) select ended, fye, {months_after('ended', '-3')} as before_quarter, {months_after('ended', '-6')} as before_half, {months_after('ended', '-((month(ended) - fye + 23) % 12 + 1)')} as before_year from ends",
-    "parse_numbers": _numbers,
     "status_counts": lambda d: "select event_type, count(*) as n, count(distinct user_id) as users, max(ts) as last_seen from events group by event_type",
     "activity_windows": lambda d: "select cast(ts as date) as day, hour(ts) as hour, event_type, count(*) as n, round(sum(cast(floor(value * 1000) as bigint)) / cast(1000 as double), 3) as total from events group by 1, 2, 3",
     "coverage_by_company": lambda d: BASE + " select company_id, min(fy) as first_fy, max(fy) as last_fy, count(*) as years, max(fy) - min(fy) + 1 - count(*) as missing_years, count(dividends) as with_dividends from annual group by company_id",
@@ -73,7 +34,5 @@ QUERIES = {
     "company_doc_counts": lambda d: BASE + ", " + REPORTED.split("), by_doc")[0] + ") select c.company_id, c.name, count(d.doc_id) as documents, count(d.filed) as dated from company c left join docs d on d.company_id = c.company_id group by c.company_id, c.name",
     "doc_fingerprint_dups": lambda d: "select " + ("sha1" if d == "spark" else "sha1") + "(coalesce(text, '')) as fingerprint, count(*) as n, min(doc_id) as first_doc, max(doc_id) as last_doc from documents where length(text) >= 500 group by 1 having count(*) > 1",
     "ingest_dedupe": lambda d: "with h as (select doc_id, sha" + ("2(text, 256)" if d == "spark" else "256(text)") + " as digest from documents where text is not null), r as (select *, row_number() over (partition by digest order by doc_id) as rn from h) select doc_id, digest, rn = 1 as created, substr(digest, 1, 2) || '/' || substr(digest, 3, 2) || '/' || digest || '.pdf' as storage_key from r",
-    "fy_gaps": lambda d: BASE + ", have as (select company_id, fy, lead(fy) over (partition by company_id order by fy) as following from annual where (company_id + fy) % 6 <> 1) select company_id, fy + 1 as gap_from, following - 1 as gap_to from have where following > fy + 1",
-    "label_normalize": lambda d: "select distinct p_type as label, trim(" + replace_all(replace_all("lower(p_type)", "[(]note [0-9]+[)]", "", d), "[^a-z0-9%]+", " ", d) + ") as normalized from part",
     "concept_lookup": lambda d: "with words as (select distinct p_type as label, split_part(lower(p_type), ' ', 1) as head from part), own as (select label, 'own:' || head as concept from words where length(head) > 5), all_labels as (select label, 'any:' || head as concept from words) select a.label, coalesce(o.concept, a.concept) as concept from all_labels a left join own o on o.label = a.label",
 }

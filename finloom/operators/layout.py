@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finloom.plans.stored import stored
+
 #: Words share a row if they overlap by this part of the smaller height.
 OVERLAP = 0.45
 
@@ -53,18 +55,6 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_groups(lines.select(F.col("l_orderkey").alias("doc"), F.lit(1).alias("page"), F.col("l_linenumber").alias("word_id"), F.col("l_partkey").cast("double").alias("x0"), y0.alias("y0"), (y0 + 12).alias("y1")))
 
 
-#: A customer links to the supplier of the first line of its last order; ids of both are nodes of one graph.
-LINKS = "select src, dst from (select o_custkey as src, l_suppkey as dst, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc, l_suppkey) as rn from orders join lineitem on l_orderkey = o_orderkey and l_linenumber = 1) x where rn = 1"
-SEEDS = "select c_custkey as node from customer where c_mktsegment = 'BUILDING'"
-CRAWL_SQL = f"with recursive edge as ({LINKS}), walk as (select node, 0 as depth from ({SEEDS}) s union select dst, depth + 1 from walk join edge on src = node where depth < 3) select node, min(depth) as depth from walk group by node"
-
-
-def crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    for name in ("orders", "lineitem", "customer"):
-        spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").createOrReplaceTempView(name)
-    return reach(spark.sql(LINKS), spark.sql(SEEDS), 3)
-
-
 def both_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     """src and dst of every distinct pair of customer and supplier of any order's line, both ways; c and s keep their ids apart."""
     read = lambda name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -75,12 +65,30 @@ def both_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.inline(ends))
 
 
-def crawl_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As crawl, from all customers over all links; crawl_bfs keeps the thinned links that its SQL defines."""
-    customers = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet")
-    seeds = customers.where("c_custkey is not null").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("node"))
-    return reach(both_ways(spark, sf_dir), seeds, 3)
+def _crawl(spark: SparkSession, sf_dir: str, seeds: str) -> DataFrame:
+    customers = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet").where(seeds)
+    return reach(stored(both_ways(spark, sf_dir), "links"), customers.where("c_custkey is not null").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("node")), 3)
+
+
+def crawl_bfs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the customers of one segment reach in three hops over all links."""
+    return _crawl(spark, sf_dir, SEGMENT)
+
+
+def crawl_bfs_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What all customers reach in three hops over all links."""
+    return _crawl(spark, sf_dir, "true")
+
+
+#: The segment whose customers are crawl_bfs's seeds.
+SEGMENT = "c_mktsegment = 'BUILDING'"
+
+
+def _crawl_sql(seeds: str) -> str:
+    links = "pair as (select distinct 'c' || o_custkey as c, 's' || l_suppkey as s from orders join lineitem on l_orderkey = o_orderkey where o_custkey is not null and l_suppkey is not null), edge as (select c as src, s as dst from pair union all select s, c from pair)"
+    walk = f"walk as (select 'c' || c_custkey as node, 0 as depth from customer where {seeds} union select dst, depth + 1 from walk join edge on src = node where depth < 3)"
+    return f"with recursive {links}, {walk} select node, min(depth) as depth from walk group by node"
 
 
-FRAMES = {"row_groups": order_rows, "crawl_bfs": crawl, "crawl_bfs_whole": crawl_whole}
-FRAMES_SQL = {"crawl_bfs": CRAWL_SQL}
+FRAMES = {"row_groups": order_rows, "crawl_bfs": crawl_bfs, "crawl_bfs_whole": crawl_bfs_whole}
+FRAMES_SQL = {"crawl_bfs": _crawl_sql(SEGMENT), "crawl_bfs_whole": _crawl_sql("true")}

@@ -7,8 +7,10 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from finloom.operators import order_stats
 from finloom.operators.annual import beside_year_before, short_year
 from finloom.operators.ratios import cagr_at, divided, earnings, ebit, profit_and_equity, valued
+from finloom.plans.stored import stored
 
 #: Metrics with the range in which they are plausible, ends included (None: any).
 METRICS = {
@@ -76,26 +78,22 @@ def metrics(snap: DataFrame) -> DataFrame:
 
 def statistics(rows: DataFrame, by: Iterable[str] = ("sector",)) -> DataFrame:
     """Per group and metric: n, n_flagged, q1, median_value, q3, low, high over values that aren't flagged."""
+    keys = [*by, "metric"]
+    held = stored(rows.select(*keys, "value", "flagged"), "peer-values")
     clean = F.when(~F.col("flagged"), F.col("value"))
-    q = F.percentile(clean, F.array(*map(F.lit, (0.25, 0.5, 0.75))))
-    out = rows.groupBy(*by, "metric").agg(F.count(clean).alias("n"), F.count_if("flagged").alias("n_flagged"), q.alias("q"), F.min(clean).alias("low"), F.max(clean).alias("high"))
-    return out.select(*by, "metric", "n", "n_flagged", *(F.get("q", F.lit(i)).alias(c) for i, c in enumerate(("q1", "median_value", "q3"))), "low", "high")
+    totals = held.groupBy(*keys).agg(F.count(clean).alias("n"), F.count_if("flagged").alias("n_flagged"), F.min(clean).alias("low"), F.max(clean).alias("high"))
+    placed = order_stats.places(held.where("not flagged"), keys, "value")
+    found = order_stats.quantiles(placed, keys, "value", {"q1": 0.25, "median_value": 0.5, "q3": 0.75}).drop("n")
+    return order_stats.joined(totals, found, keys, "left").select(*keys, "n", "n_flagged", "q1", "median_value", "q3", "low", "high")
 
 
 def percentiles(rows: DataFrame, by: Iterable[str] = ("sector",)) -> DataFrame:
-    """company_id, group, metric, percentile: 100 (below + (equal - 1) / 2) / (n - 1), null for a group of one.
-
-    Values are counted first, so the running sum sorts distinct values of a group and metric, not companies.
-    """
+    """company_id, group, metric, percentile: 100 (below + (equal - 1) / 2) / (n - 1), null for a group of one."""
     keys = [*by, "metric"]
-    clean = rows.where("value is not null and not flagged")
-    counts = clean.groupBy(*keys, "value").agg(F.count("*").alias("equal"))
-    whole = Window.partitionBy(*keys)
-    placed = counts.withColumns({"below": F.sum("equal").over(whole.orderBy("value")) - F.col("equal"), "n": F.sum("equal").over(whole)})
+    clean = stored(rows.where("value is not null and not flagged").select("company_id", *keys, "value"), "peer-values")
+    placed = order_stats.places(clean, keys, "value")
     rank = F.when(F.col("n") > 1, 100 * (F.col("below") + 0.5 * (F.col("equal") - 1)) / (F.col("n") - 1))
-    placed = placed.select(*(F.col(c).alias(f"_{c}") for c in (*keys, "value")), rank.alias("percentile"))
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*keys, "value")]
-    return clean.join(placed, same).select("company_id", *keys, "percentile")
+    return order_stats.joined(clean, placed.select(*keys, "value", rank.alias("percentile")), [*keys, "value"]).select("company_id", *keys, "percentile")
 
 
 def comparison(books: DataFrame, companies: DataFrame, sector: str | None = None, company_ids: Iterable | None = None, fiscal_year: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -6,28 +6,6 @@ from finloom.operators.analysis import DIVIDENDS, PEERS
 from finloom.operators.checks import FULL, QUERIES as CHECKS
 from finloom.plans.facts import BASE, COMPANY
 
-#: A year beside the year before, with the figures that observations look at.
-YEARS = """, y as (
-    select a.company_id, a.fy, a.revenue, a.pat, a.pbt, a.total_assets, a.equity, a.op_cash, a.capex, a.tax_expense, a.dividends, a.borrowings, a.cash,
-        b.revenue as revenue_b, b.pat as pat_b, b.pbt as pbt_b, b.total_assets as total_assets_b, b.equity as equity_b, b.op_cash as op_cash_b, b.fy is not null as has_before,
-        a.pat / nullif(a.revenue, 0) as margin, b.pat / nullif(b.revenue, 0) as margin_b, abs(a.borrowings) - a.cash as net_debt, abs(b.borrowings) - b.cash as net_debt_b
-    from annual a left join annual b on b.company_id = a.company_id and b.fy = a.fy - 1
-)"""
-MEASURES = ["revenue", "pbt", "pat", "total_assets", "equity", "op_cash"]
-#: Observation, condition and the figure it is about.
-OBSERVATIONS = {
-    "weak_cash_conversion": ("pat > 0 and op_cash / pat < 0.5", "op_cash / nullif(pat, 0)"),
-    "strong_cash_conversion": ("pat > 0 and op_cash / pat > 1.5", "op_cash / nullif(pat, 0)"),
-    "negative_free_cash": ("op_cash - abs(capex) < 0", "op_cash - abs(capex)"),
-    "margin_moved": ("abs(margin - margin_b) >= 0.03", "margin - margin_b"),
-    "profit_against_revenue": ("revenue_b > 0 and pat_b > 0 and pat > 0 and abs(pat / pat_b - revenue / revenue_b) >= 0.25", "pat / nullif(pat_b, 0) - revenue / nullif(revenue_b, 0)"),
-    "turnaround": ("pat > 0 and pat_b < 0", "pat - pat_b"),
-    "to_loss": ("pat < 0 and pat_b > 0", "pat - pat_b"),
-    "high_gearing": ("equity > 0 and abs(borrowings) / equity > 1", "abs(borrowings) / nullif(equity, 0)"),
-    "net_debt_up": ("net_debt_b > 0 and net_debt / net_debt_b >= 1.25", "net_debt - net_debt_b"),
-    "payout_above_profit": ("pat > 0 and abs(dividends) / pat > 1", "abs(dividends) / nullif(pat, 0)"),
-    "unusual_tax": ("pbt > 0 and (abs(tax_expense) / pbt < 0.1 or abs(tax_expense) / pbt > 0.4)", "abs(tax_expense) / nullif(pbt, 0)"),
-}
 #: Every fourth company prints thousands, every seventh millions; hits count the years that a unit explains.
 UNITS = """, printed as (select company_id, fy, revenue, case when company_id % 7 = 0 then revenue / 1000000 when company_id % 4 = 0 then revenue / 1000 else revenue end as shown from annual),
 units as (select 1 as unit union all select 1000 union all select 1000000), hits as (select company_id, unit, count(*) filter (where abs(shown * unit - revenue) <= 0.01 * abs(revenue)) as n from printed join units on 1 = 1 group by company_id, unit),
@@ -39,29 +17,17 @@ totals as (select *, sum(votes) over (partition by company_id) as of_all from co
 CURRENT_DOC = "row_number() over (partition by company_id, concept, fy order by filed desc nulls last, hint desc nulls last, doc_id desc)"
 
 
-def _row(m: str) -> str:
-    return f"select company_id, fy, '{m}' as measure, round({m}, 2) as current_value, round({m}_b, 2) as value_before, round(case when {m}_b > 0 then {m} / {m}_b - 1 end, 6) as change from y where {m} is not null"
-
-
 QUERIES = {
     "annual_facts_pruned": lambda d: BASE + " select company_id, fy, revenue, pat from annual where fy >= 1997 and company_id in (select company_id from company where sector in ('ASIA', 'EUROPE'))",
     "sector_counts": lambda d: f"with {COMPANY} select sector, profile, count(*) as n, count(*) filter (where market = 'MAIN') as main_market, count(distinct fye) as year_ends from company group by sector, profile",
     "sector_rollup": lambda d: f"with {COMPANY} select coalesce(sector, 'all') as sector, coalesce(market, 'all') as market, count(*) as n from company group by rollup (sector, market)",
     "review_page": lambda d: "select d.doc_id, d.source, d.lang, d.n_chars from documents d join labels l on l.doc_id = d.doc_id where l.quality = 0 order by d.n_chars desc nulls last, d.doc_id limit 20 offset 20",
     "recent_runs": lambda d: "select user_id, max(ts) as last_seen, count(*) as n, count(*) filter (where event_type = 'purchase') as purchases from events where user_id is not null group by user_id order by last_seen desc, user_id limit 15",
-    "peer_flags": lambda d: BASE + PEERS + " select company_id, sector, metric, round(value, 6) as value, count(*) over (partition by company_id) as flags_of_company from metric where flagged",
     "eps_consistency": lambda d: BASE + ", e as (select company_id, fy, pat, shares, floor(pat / shares * 100) as eps_sen from annual) select company_id, fy, eps_sen, round(eps_sen * shares / 100 - pat, 4) as delta, abs(eps_sen * shares / 100 - pat) <= case when shares / 200 > 1 then shares / 200 else 1 end as passed from e",
     "five_year_units": lambda d: BASE + UNITS + " select company_id, n as hits, baseline, case when n >= 2 and n > baseline then unit end as unit from placed where place = 1",
-    "results_rows": lambda d: BASE + YEARS + " " + " union all ".join(_row(m) for m in MEASURES),
-    "results_observations": lambda d: BASE + YEARS + " " + " union all ".join(f"select company_id, fy, '{k}' as observation, round({x}, 4) as figure from y where {c}" for k, (c, x) in OBSERVATIONS.items()),
     "brief_digest": lambda d: f"with dl as ({CHECKS['deadlines'](d)}), sized as (select s_suppkey as company_id, s_acctbal as size from supplier), r as (select dl.due, dl.kind, dl.company_id, row_number() over (partition by dl.due order by size desc nulls last, dl.company_id) as place from dl left join sized s on s.company_id = dl.company_id) select due, count(*) as n, count(*) filter (where kind = 'annual') as annual, count(*) filter (where kind = 'quarterly') as quarterly, max(case when place = 1 then company_id end) as largest, max(case when place = 2 then company_id end) as second, max(case when place = 3 then company_id end) as third from r group by due",
     "fy_end_votes": lambda d: FULL + VOTES + " select company_id, month_no, votes, of_all from totals where votes >= 2 and 2 * votes > of_all",
     "roll_forward": lambda d: BASE + ", p as (select company_id, fy, equity, pat, dividends, lag(equity) over w as opening, lag(fy) over w as fy_before from annual window w as (partition by company_id order by fy)) select company_id, fy, round(equity - (opening + pat + coalesce(dividends, 0)), 4) as delta, abs(equity - (opening + pat + coalesce(dividends, 0))) <= 1 as passed from p where fy_before = fy - 1",
-    "hygiene_impact": lambda d: BASE + DIVIDENDS + """, n as (select company_id, count(*) as facts from annual group by company_id), issue as (
-            select c.company_id, 'no_facts' as category, 100 as weight from company c left join n on n.company_id = c.company_id where n.company_id is null
-            union all select company_id, 'implausible_payout', 50 from paid where payout > 3
-            union all select company_id, 'year_without_dividend_figure', 10 from paid where not known)
-        select i.company_id, i.category, count(*) as times, round(max(weight) + 10 * log10(cast(coalesce(max(n.facts), 0) + 1 as double)) + 2 * least(count(*), 50), 3) as impact from issue i left join n on n.company_id = i.company_id group by i.company_id, i.category""",
     "listing_status": lambda d: f"with {COMPANY}, listed as (select c_custkey as code, r_name as sector from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey) select company_id, case when code is null then 'UNLISTED' when l.sector = c.sector then 'OK' else 'OTHER_ISSUER' end as status from company c left join listed l on l.code = c.company_id * 3",
     "prune_candidates": lambda d: "with r as (select doc_id, source, coalesce(length(text), 0) >= 500 as relevant from documents), w as (select *, sum(case when relevant then 1 else 0 end) over (partition by source) as good from r) select doc_id, source from w where not relevant and good > 0",
     "snapshot_export": lambda d: FULL + f", r as (select *, {CURRENT_DOC} as rn from reported) select r.company_id, c.name, c.sector, c.market, r.fy, r.concept, r.doc_id, r.filed, r.hint, round(r.value, 2) as value, r.rn = 1 as is_current from r join company c on c.company_id = r.company_id",

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from finloom.operators import order_stats
 from finloom.operators.annual import FULL_YEAR, LONG_YEAR, beside_year_before
 from finloom.operators.ratios import divided, earnings
+from finloom.plans.stored import stored
 
 #: The least profit of movers' base year, how many movers each way, and revenues that can't be.
 MOVER_BASE, MOVERS, LEAST_REVENUE, MOST_REVENUE = 5e6, 5, 1e5, 5e11
@@ -139,15 +141,20 @@ def feed(pairs: DataFrame, today: Column | None = None, months: int | None = Non
 def month_digest(items: DataFrame) -> DataFrame:
     """Per cohort: n, up, down, flat, fresh, median_growth, median_rev_growth."""
     count = lambda t: F.count_if(F.col("tone") == t)
-    return items.groupBy("cohort").agg(F.count("*").alias("n"), count("up").alias("up"), count("down").alias("down"), count("flat").alias("flat"), count("new").alias("fresh"), F.median("growth").alias("median_growth"), F.median("rev_growth").alias("median_rev_growth"))
+    held = stored(items.select("cohort", "tone", "growth", "rev_growth"), "feed-months")
+    totals = held.groupBy("cohort").agg(F.count("*").alias("n"), count("up").alias("up"), count("down").alias("down"), count("flat").alias("flat"), count("new").alias("fresh"))
+    each = F.inline(F.array(*(F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in ("growth", "rev_growth"))))
+    medians = order_stats.quantiles(order_stats.places(held.select("cohort", each), ["cohort", "measure"], "value"), ["cohort", "measure"], "value", {"median": 0.5})
+    wide = medians.groupBy("cohort").agg(*(F.max(F.when(F.col("measure") == m, F.col("median"))).alias(f"median_{m}") for m in ("growth", "rev_growth")))
+    return order_stats.joined(totals, wide, ["cohort"], "left")
 
 
-def movers(items: DataFrame) -> DataFrame:
+def movers(items: DataFrame, base: float = MOVER_BASE) -> DataFrame:
     """cohort, company_id, growth, side: the five that grew and the five that fell most, of those with a base that counts.
 
     The best of parts of a cohort come first and are then ranked together, so no task ranks all companies of a cohort.
     """
-    rows = items.where((F.col("patami_b") >= MOVER_BASE) & F.col("growth").isNotNull() & F.col("plausible")).select("cohort", "company_id", "growth")
+    rows = items.where((F.col("patami_b") >= base) & F.col("growth").isNotNull() & F.col("plausible")).select("cohort", "company_id", "growth")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("company_id"), F.lit(64)))
     for keys in (["cohort", "part"], ["cohort"]):
         within = Window.partitionBy(*keys)
@@ -162,11 +169,12 @@ def sector_context(pairs: DataFrame, companies: DataFrame, least: int = 3) -> Da
     A median needs so many values; a company without a value has no rank. Places are counted over distinct values.
     """
     rows = pairs.where("full").select("company_id", "fy", F.col("net_margin").alias("margin"), growth_of(F.col("patami"), F.col("patami_b")).alias("growth")).join(companies.select("company_id", "sector"), "company_id")
-    sizes = rows.groupBy("sector", "fy").agg(*(x for m in ("margin", "growth") for x in (F.count(m).alias(f"n_{m}"), F.median(m).alias(f"{m}_median"))))
-    out = rows.join(sizes, ["sector", "fy"])
-    for m in ("margin", "growth"):
-        counts = rows.where(F.col(m).isNotNull()).groupBy("sector", "fy", m).agg(F.count("*").alias("same"))
-        above = F.sum("same").over(Window.partitionBy("sector", "fy").orderBy(F.desc(m))) - F.col("same")
-        out = out.join(counts.select("sector", "fy", m, (above + 1).alias(f"{m}_place")), ["sector", "fy", m], "left")
-    enough = lambda m, c: F.when(F.col(f"n_{m}") >= least, F.col(c)).alias(c.replace("place", "rank"))
-    return out.select("company_id", "fy", *(enough(m, f"{m}_{x}") for m in ("margin", "growth") for x in ("median", "place")))
+    keys, measures = ["sector", "fy", "measure"], ["margin", "growth"]
+    each = F.inline(F.array(*(F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in measures)))
+    long = stored(rows.select("company_id", "sector", "fy", each), "sector-values")
+    placed = order_stats.places(long, keys, "value")
+    medians = order_stats.quantiles(placed, keys, "value", {"median": 0.5}).where(F.col("n") >= least)
+    ranks = placed.where(F.col("n") >= least).select(*keys, "value", (F.col("n") - F.col("below") - F.col("equal") + 1).alias("rank"))
+    met = order_stats.joined(order_stats.joined(long, medians.drop("n"), keys, "left"), ranks, [*keys, "value"], "left")
+    told = lambda m, c: F.max(F.when(F.col("measure") == m, F.col(c))).alias(f"{m}_{c}")
+    return met.groupBy("company_id", "fy").agg(*(told(m, c) for m in measures for c in ("median", "rank")))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finloom.operators import equity, five_year, page_tables
-from finloom.plans import matrices, printed
+from finloom.operators import equity, five_year, page_runs, page_tables
+from finloom.plans import matrices, printed, reports
 
 
 def equity_matrix_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,5 +107,47 @@ select company_id as doc, concept, fy as fiscal_year,
 from figure where word <> '-'
 """
 
-FRAMES = {f.__name__: f for f in (equity_matrix_facts, equity_matrix_refusals, page_blocks, five_year_values)}
-SQL = {"equity_matrix_facts": EQUITY_FACTS_SQL, "equity_matrix_refusals": EQUITY_REFUSALS_SQL, "page_blocks": PAGE_BLOCKS_SQL, "five_year_values": FIVE_YEAR_SQL}
+def statement_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run of pages of each report that carries each statement."""
+    return page_runs.best_runs(page_runs.evidence(reports.report_pages(spark, sf_dir)))
+
+
+def _says(text: str, phrases: list[str]) -> str:
+    return "(" + " or ".join(f"{text} like '% {p} %'" for p in phrases) + ")"
+
+
+def _flat(text: str) -> str:
+    return f"' ' || trim(regexp_replace(replace(lower({text}), chr(39), ''), '[^a-z0-9]+', ' ', 'g')) || ' '"
+
+
+def _of_statement(name: str) -> str:
+    heads, own, last = page_runs.STATEMENTS[name]
+    hits = " + ".join(f"(line like '% {p} %')::int" for p in own)
+    return f"select doc, page, '{name}' as statement, excluded, {_says('head', heads)} as headed, {hits} as hits, {_says('line', last)} as ends from kept"
+
+
+#: All runs by self-joins, then the best of each report and statement.
+STATEMENT_PAGES_SQL = f"""{reports.WITH_REPORTS}, flat as (
+    select doc, page, {_flat("text")} as line, {_flat(f"array_to_string(string_split(text, chr(10))[1:{page_runs.HEAD}], ' ')")} as head,
+        len(list_filter(string_split(replace(text, chr(10), ' '), ' '), lambda w: regexp_matches(w, '^-?[0-9]+([.][0-9]+)?$'))) as n_figures
+    from pages
+), kept as (
+    select *, {_says("head", page_runs.EXCLUDED)} as excluded from flat where n_figures >= {page_runs.FIGURES}
+), judged as (
+    {" union all ".join(map(_of_statement, page_runs.STATEMENTS))}
+), said as (
+    select j.doc, j.page, j.statement, {page_runs.PER_HIT} * j.hits + case when j.headed then {page_runs.HEADED} else 0 end as score, not j.excluded and j.headed and j.hits > 0 as starts,
+        not j.excluded and j.hits > max(r.hits) and not (bool_or(r.headed) and not j.headed) as leans, j.ends
+    from judged j join judged r on r.doc = j.doc and r.page = j.page and r.statement <> j.statement group by j.doc, j.page, j.statement, j.hits, j.headed, j.excluded, j.ends
+), run as (
+    select a.doc, a.statement, a.page as first_page, b.page as last_page, sum(m.score) + {page_runs.GOES_ON} * (b.page - a.page) + case when b.ends then {page_runs.ENDS} else 0 end as score
+    from said a join said b on b.doc = a.doc and b.statement = a.statement and b.page between a.page and a.page + {page_runs.LONGEST - 1}
+    join said m on m.doc = a.doc and m.statement = a.statement and m.page between a.page and b.page
+    where a.starts group by a.doc, a.statement, a.page, b.page, b.ends having count(*) = b.page - a.page + 1 and bool_and(m.page = a.page or m.leans)
+)
+select doc, statement, first_page::int as first_page, last_page::int as last_page, score::double as score from run
+qualify row_number() over (partition by doc, statement order by score desc, first_page, last_page) = 1
+"""
+
+FRAMES = {f.__name__: f for f in (equity_matrix_facts, equity_matrix_refusals, page_blocks, five_year_values, statement_pages)}
+SQL = {"equity_matrix_facts": EQUITY_FACTS_SQL, "equity_matrix_refusals": EQUITY_REFUSALS_SQL, "page_blocks": PAGE_BLOCKS_SQL, "five_year_values": FIVE_YEAR_SQL, "statement_pages": STATEMENT_PAGES_SQL}

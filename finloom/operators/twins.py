@@ -245,7 +245,8 @@ _SQL = {
     "results_observations": B + FIGURES + OBSERVED + " " + " union all ".join(f"select company_id, fy, '{k}' as observation, round({x}, 6) as figure from seen where {c}" for k, c, x in OBSERVATIONS),
     "feed_items": B + FIGURES + FEED + " " + _rounded("company_id fy period_end cohort ~revenue ~patami kind tone ~growth ~rev_growth plausible", "toned"),
     "feed_months": B + FIGURES + FEED + " select cohort, count(*) as n, count(*) filter (where tone = 'up') as up, count(*) filter (where tone = 'down') as down, count(*) filter (where tone = 'flat') as flat, count(*) filter (where tone = 'new') as fresh, round(median(growth), 6) as median_growth, round(median(rev_growth), 6) as median_rev_growth from toned group by cohort",
-    "feed_movers": B + FIGURES + FEED + ", r as (select cohort, company_id, growth, row_number() over (partition by cohort order by growth desc, company_id) as up, row_number() over (partition by cohort order by growth, company_id) as down from toned where patami_b >= 5000000 and growth is not null and plausible) select cohort, company_id, round(growth, 6) as growth, 'gainer' as side from r where up <= 5 and growth > 0 union all select cohort, company_id, round(growth, 6), 'decliner' from r where down <= 5 and growth < 0",
+    "fy_gaps": B + ", have as (select company_id, fy from book where bs_total_assets is not null), later as (select a.company_id, a.fy, min(b.fy) as following from have a join have b on b.company_id = a.company_id and b.fy > a.fy group by all) select company_id, fy + 1 as gap_from, following - 1 as gap_to from later where following > fy + 1",
+    "feed_movers": B + FIGURES + FEED + ", r as (select cohort, company_id, growth, row_number() over (partition by cohort order by growth desc, company_id) as up, row_number() over (partition by cohort order by growth, company_id) as down from toned where patami_b >= 5000 and growth is not null and plausible) select cohort, company_id, round(growth, 6) as growth, 'gainer' as side from r where up <= 5 and growth > 0 union all select cohort, company_id, round(growth, 6), 'decliner' from r where down <= 5 and growth < 0",
     "sector_context": B + FIGURES + SECTORS.format(growth=PAT_GROWTH),
     "long_export": B + " select company_id, fy, concept, round(value, 6) as value from (unpivot (select * exclude (period_end) from book) on " + ", ".join(CONCEPTS) + " into name concept value value) u",
     "rules_single_period": B + OUTCOMES + " " + _rounded("company_id fy rule_key passed ~expected ~actual ~delta severity", "outcome"),
