@@ -121,13 +121,15 @@ def comparative(reported: DataFrame) -> DataFrame:
 def against_source(ours: DataFrame, theirs: DataFrame, keys: list[str], inapplicable: DataFrame | None = None, close: float = 0.15) -> DataFrame:
     """keys, own, other, deviation, class of our values and another source's: a full join of both.
 
-    A source that has nothing at all for a year (the last of keys) isn't blamed for a missing figure; keys of inapplicable are dropped.
+    A source that has nothing at all for a year (the last of several keys, within the first) isn't blamed for a missing figure; with one
+    key there is no year, and figures on either side alone are MISSING. keys of inapplicable are dropped.
     """
-    years = theirs.select(keys[0], keys[-1]).distinct().withColumn("covered", F.lit(True))
     both = ours.select(*keys, F.col("value").alias("own")).join(theirs.select(*keys, F.col("value").alias("other")), keys, "full")
     if inapplicable is not None:
         both = both.join(inapplicable, inapplicable.columns, "left_anti")
-    both = both.join(years, list(dict.fromkeys([keys[0], keys[-1]])), "left").where("covered or other is not null")
+    if len(keys) > 1:
+        years = theirs.select(keys[0], keys[-1]).distinct().withColumn("covered", F.lit(True))
+        both = both.join(years, [keys[0], keys[-1]], "left").where("covered or other is not null")
     deviation = F.try_divide(F.abs(F.col("own") - F.col("other")), F.abs("other"))
     kind = (
         F.when(F.col("own").isNull() | F.col("other").isNull(), "MISSING").when((F.col("other") == 0) & (F.col("own") == 0), "MATCH").when(F.col("other") == 0, "MISMATCH")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from finloom.operators import equity, five_year, page_runs, page_tables
 from finloom.plans import matrices, printed, reports
+from finloom.plans.stored import stored
 
 
 def equity_matrix_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,14 +89,15 @@ def page_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def five_year_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures read from the printed summaries."""
     words, pages = printed.printed(spark, sf_dir)
-    rows = page_tables.cells(page_tables.blocks(words, pages), five_year.is_figure(F.col("text")))
+    placed = stored(page_tables.blocks(words, pages), "blocks")
+    rows = stored(page_tables.cells(placed, five_year.is_figure(F.col("text"))), "page-rows")
     return five_year.summary_values(rows).select("doc", "concept", "fiscal_year", F.round("value", 2).alias("value"))
 
 
 #: Where the printer put each word: a panel beside the table makes two blocks below the shared title, a spread two halves.
 PAGE_BLOCKS_SQL = f"""{printed.WITH_PRINTED}, placed as (
     select doc, page, word_id, word_id // 100 as line, case when v <> 1 then 0 when kind = 'table' then 1 else 2 end as half,
-        case when v <> 0 then 0 when kind = 'panel' then 2 when word_id // 100 in (3, 4, 5, 6) then 1 else 0 end as block
+        case when v <> 0 or word_id // 100 < 2 then 0 when kind = 'panel' then 2 else 1 end as block
     from words
 )
 select doc, page, word_id, half, block, dense_rank() over (partition by doc, page, half, block order by line) - 1 as row_no from placed

@@ -185,7 +185,7 @@ def _scale(own: str, other: str) -> str:
 
 COMPARED = f"""with ours as (select l_orderkey as k, cast(sum(cast(floor(l_extendedprice * 100) as bigint)) as double) / 100 as own from lineitem group by l_orderkey), theirs as (select o_orderkey as k, o_totalprice as other from orders),
 compared as (select coalesce(o.k, t.k) as k, own, other, abs(own - other) / nullif(abs(other), 0) as deviation, case when own is null or other is null then 'MISSING' when other = 0 then case when own = 0 then 'MATCH' else 'MISMATCH' end when {_scale("own", "other")} then 'SCALE_ERROR'
-    when abs(own - other) / abs(other) <= 0.05 then 'MATCH' when abs(own - other) / abs(other) <= 0.15 then 'CLOSE' else 'MISMATCH' end as class from ours o full join theirs t on o.k = t.k where other is not null)"""
+    when abs(own - other) / abs(other) <= 0.05 then 'MATCH' when abs(own - other) / abs(other) <= 0.15 then 'CLOSE' else 'MISMATCH' end as class from ours o full join theirs t on o.k = t.k)"""
 SELECTED = """with fact as (
     select l_suppkey as company_id, 'is.' || lower(l_returnflag || l_linestatus) as concept, year(l_shipdate) * 100 + month(l_shipdate) as period_id, l_orderkey as document_id, case when l_linenumber = 7 then 'COMPANY' else 'CONSOLIDATED' end as basis,
         cast(1 as double) - l_linenumber * cast(0.02 as double) as confidence, cast(l_quantity * 1000 + l_linenumber as double) as value

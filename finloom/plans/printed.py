@@ -23,7 +23,7 @@ ITEMS = [
     (10, ["Basic earnings per share (sen)"], "is.eps_basic", "is_eps_basic * 100"),
     (11, ["Net assets per share (RM)"], "bs.nta_per_share", "bs_nta_per_share"),
 ]
-PANEL = ["Shareholding spread", "Institutional holders", "Foreign holders", "Public float"]
+PANEL = ["Shareholding spread", "Institutional holders", "Foreign holders", "Public float", "Treasury units", "Directors", "Nominees", "Pension funds", "Insurers", "Other holders"]
 #: Points from the left: labels, the first figure's right edge, between figures, the panel; from the top: a row.
 LEFT, EDGE, STEP, BESIDE, LINE = 40, 260, 70, 660, 16
 
@@ -42,7 +42,7 @@ for _row, _label, *_ in ITEMS:
     for _back, _part in enumerate(reversed(_label)):
         _LABELS += _placed(str(_row - _back), 1, _part, LEFT, "table")
 for _n, _text in enumerate(PANEL):
-    _LABELS += _placed(str(3 + _n), 50, _text, BESIDE, "panel") + _placed(str(3 + _n), 60, str(11 + 7 * _n), BESIDE + 160, "panel")
+    _LABELS += _placed(str(2 + _n), 50, _text, BESIDE, "panel") + _placed(str(2 + _n), 60, str(11 + 7 * _n), BESIDE + 160, "panel")
 _FIGURE = "case i.no " + " ".join(f"when {row} then {figure}" for row, *_, figure in ITEMS) + " end"
 _DECIMALS = "case when i.no >= 10 then 2 else 0 end"
 

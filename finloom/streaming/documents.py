@@ -25,11 +25,12 @@ def inbox_stream(spark: SparkSession, path: str, pattern: str = "*.pdf", delay:
 def replacing(read: Callable[[], DataFrame], write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """For foreachBatch: facts of the batch take the place of all that their documents had before; sent twice, it changes nothing more.
 
+    A document that was read again without facts has one row with its document_id and no concept; what it had before goes.
     read gives the stored facts, write puts a whole new version in their place (a new folder or table version for each batch).
     """
 
     def batch(written: DataFrame, batch_id: int) -> None:
-        write(upsert_facts(read(), written, written.select("document_id")), batch_id)
+        write(upsert_facts(read(), written.where("concept is not null"), written.select("document_id")), batch_id)
 
     return batch
 

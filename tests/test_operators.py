@@ -133,6 +133,8 @@ def test_reconciliations(spark):
     side = lambda *rows: spark.createDataFrame(list(rows), "concept string, fy int, value double")
     got = rules.against_source(side(("a", 1, 100.0), ("b", 1, 110.0), ("c", 1, 5.0), ("d", 1, 1000.0), ("e", 2, 3.0), ("f", 1, 0.0)), side(("a", 1, 101.0), ("b", 1, 100.0), ("g", 1, 5.0), ("d", 1, 1.0), ("f", 1, 0.0), ("c", 1, 20.0)), ["concept", "fy"])
     assert {r.concept: r["class"] for r in got.collect() if r.concept not in "eg"} == {"a": "MATCH", "b": "CLOSE", "c": "MISMATCH", "d": "SCALE_ERROR", "f": "MATCH"}
+    one = lambda *rows: spark.createDataFrame(list(rows), "k int, value double")
+    assert {r.k: r["class"] for r in rules.against_source(one((1, 5.0), (2, 6.0)), one((1, 5.0), (3, 7.0)), ["k"]).collect()} == {1: "MATCH", 2: "MISSING", 3: "MISSING"}
     check = lambda shown, fact: spark.range(1).select(rules.summary_check(F.lit(shown), F.lit(fact).cast("double"), F.lit(0.5)).alias("c")).first().c
     assert [(check(*x)["class"], check(*x).note) for x in ((10.0, 10.4), (0.0, 9.0), (10.0, -10.0), (10.0, 10000.0), (100.0, 104.0), (100.0, 200.0), (1.0, None))] == [
         ("MATCH", "printed rounding"), ("MISMATCH", "summary reports zero"), ("MISMATCH", "sign flipped"), ("SCALE_ERROR", "scale"), ("CLOSE", "deviation"), ("MISMATCH", "deviation"), ("ONLY_IN_SUMMARY", "no annual fact"),

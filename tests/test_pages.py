@@ -60,6 +60,8 @@ def test_streams_of_documents(spark, tmp_path):
     for i in (0, 1):  # the second time changes nothing more
         batch(again, i)
         assert sorted((r.concept, r.value) for r in versions[i + 1].collect()) == [("kept", 2.0), ("new", 3.0)]
+    batch(spark.createDataFrame([(None, None, None, None, None, 8, None, None, None)], fact), 2)  # read again, nothing found
+    assert [(r.concept, r.value) for r in versions[3].collect()] == [("new", 3.0)]
     day = lambda d: dt.datetime(2024, 1, d)
     spark.createDataFrame([(1, "c", "p", 1, day(1), 5.0), (1, "c", "p", 2, day(3), 6.0), (1, "c", "p", 3, day(2), 7.0)], "company_id int, concept string, period_end string, document_id int, filed timestamp, value double").write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("company_id int, concept string, period_end string, document_id int, filed timestamp, value double").parquet(str(tmp_path / "in"))

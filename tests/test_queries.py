@@ -13,6 +13,8 @@ from finloom.plans.facts import TABLES
 from finloom.streaming import activity
 
 SF = "/root/testdata/sf0.001"
+#: Queries for which the smallest tables are too small: a second page, flags of peers, and equal company names.
+EMPTY = {"review_page", "peer_flags", "company_dup_exact"}
 
 
 @pytest.fixture(scope="module")
@@ -39,7 +41,7 @@ def test_query_equals_duckdb(spark, duck, name):
     assert sorted(df.columns) == sorted(columns)
     want = sorted(tuple(plain(v) for _, v in sorted(zip(columns, row))) for row in result.fetchall())
     got = sorted(tuple(plain(v) for _, v in sorted(zip(df.columns, row))) for row in df.collect())
-    assert got == want
+    assert got == want and (got or name in EMPTY)
 
 
 def test_entry(spark):
