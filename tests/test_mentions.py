@@ -3,7 +3,7 @@
 from finloom.operators import mentions
 
 TEXTS = {
-    "cover": ("ANNUAL REPORT\nScientex Packaging Berhad 199001000001 (1-X)\nScientex Packaging Berhad\nregistrar Boardroom Services Berhad", ("scientex packaging", 6, "199001000001")),
+    "cover": ("ANNUAL REPORT\nOmega Packaging Berhad 199001000001 (1-X)\nOmega Packaging Berhad\nregistrar Boardroom Services Berhad", ("omega packaging", 6, "199001000001")),
     "far down": ("Alpha Maju Berhad " + "word " * 700 + "Beta Jaya Bhd. " * 4, ("beta jaya", 4, None)),
     "tie": ("Beta Jaya Berhad and Alpha Maju Berhad", ("beta jaya", 3, None)),
     "running head": ("Overview About Gamma Sentosa Berhad; see Gamma Sentosa Berhad", ("gamma sentosa", 6, None)),
