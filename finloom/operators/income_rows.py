@@ -51,15 +51,16 @@ def _marks(events: Column, pattern: str) -> Column:
     return F.coalesce(F.flatten(each), F.array().cast(f"array<{MARK}>"))
 
 
-def _heads_per_share(found: Column) -> Column:
+def heads_per_share(found: Column, names: tuple[str, ...] = ("eps",), cut: bool = True) -> Column:
+    """Whether words speak of earnings per share or unit; cut: also where a line ends before the unit."""
     at = lambda k: F.coalesce(F.get(found, k), F.lit(""))
 
     def here(word: Column, i: Column) -> Column:
         named = at(i + 1).isin(UNITS) | (at(i + 1).isin(KINDS_OF_SHARE) & at(i + 2).isin(UNITS))
-        cut = (i == F.size(found) - 1) & at(i - 1).isin("earnings", "loss")
-        return (word == "per") & (i > 0) & at(i - 1).isin(EARNINGS) & (named | cut)
+        ends = (i == F.size(found) - 1) & at(i - 1).isin("earnings", "loss") & F.lit(cut)
+        return (word == "per") & (i > 0) & at(i - 1).isin(EARNINGS) & (named | ends)
 
-    return F.array_contains(found, "eps") | F.exists(F.transform(found, here), lambda x: x)
+    return F.exists(found, lambda w: w.isin(*names)) | F.exists(F.transform(found, here), lambda x: x)
 
 
 def _read(lines: DataFrame) -> DataFrame:
@@ -75,7 +76,7 @@ def _read(lines: DataFrame) -> DataFrame:
     foreign = says(line, FOREIGN)
     numbered = (F.length(first) <= 2) & first.rlike("^[a-z]+$") & F.col("text").rlike(r"^[^A-Za-z]*[A-Za-z]{1,2}\)")
     rows = rows.withColumns({
-        "valued": F.size("held") > 0, "eps_valued": (F.size("held") > 0) & ~note_only, "heads": _heads_per_share(F.col("found")),
+        "valued": F.size("held") > 0, "eps_valued": (F.size("held") > 0) & ~note_only, "heads": heads_per_share(F.col("found")),
         "sub": kind(0) | (F.coalesce(numbered, F.lit(False)) & kind(1)), "foreign": foreign,
         "tail": (says(line, TAILS) & ~foreign) | line.isin([f" {r} {y} " for r in RESULTS for y in YEARS]),
         "opens_profit": begins(line, [f"{r} {then}" for r in NET_RESULTS for then in (*YEARS, "attributable to", "after tax", "after taxation")]),
@@ -89,7 +90,7 @@ def _read(lines: DataFrame) -> DataFrame:
     return rows.withColumn("letter", letter)
 
 
-READ = ["row_no", "label", "text", "concept", "figures", "valued", "eps_valued", "sub", "opens_profit", "tci_tail", "part", "letter"]
+READ = ["row_no", "label", "text", "concept", "cells", "figures", "valued", "eps_valued", "sub", "opens_profit", "tci_tail", "part", "letter"]
 
 
 def _per_share_blocks(rows: DataFrame) -> DataFrame:
@@ -153,7 +154,7 @@ def _parts_summed(rows: DataFrame) -> DataFrame:
     return rows.drop("last", "joins", "parts", "absorbed", "waits")
 
 
-KEPT = ["row_no", "label", "concept", "figures", "keys", "per_share", "valued", "holder", "below", "tci_tail", "stays"]
+KEPT = ["row_no", "label", "concept", "cells", "figures", "keys", "per_share", "valued", "holder", "below", "tci_tail", "stays"]
 
 
 def _sections(rows: DataFrame) -> DataFrame:
@@ -188,14 +189,14 @@ def _sections(rows: DataFrame) -> DataFrame:
         .when(F.coalesce(again(r) & repeats(r), F.lit(False)), F.lit(None).cast("string"))
         .otherwise(r["concept"])
     )
-    return flat.where(r["stays"]).select("doc", "statement", r["row_no"].alias("row_no"), r["label"].alias("label"), concept.alias("concept"), r["keys"].alias("keys"), r["figures"].alias("figures"))
+    return flat.where(r["stays"]).select("doc", "statement", r["row_no"].alias("row_no"), r["label"].alias("label"), concept.alias("concept"), r["keys"].alias("keys"), r["figures"].alias("figures"), r["cells"].alias("cells"))
 
 
 def mapped(lines: DataFrame) -> DataFrame:
-    """doc, statement, row_no, label, concept (null: kept without one), figures (a decimal a cell; per-share ones in sen).
+    """doc, statement, row_no, label, concept (null: kept without one), figures (a decimal a cell; per-share ones in sen), cells.
 
     A row that gives basic and diluted earnings at once is returned for each. Rows without a label or figures are left out.
     """
     rows = _sections(_parts_summed(_earnings(_per_share_blocks(_read(lines)))))
     rows = rows.withColumn("key", F.explode_outer("keys"))
-    return rows.select("doc", "statement", "row_no", "label", F.coalesce("key", "concept").alias("concept"), "figures")
+    return rows.select("doc", "statement", "row_no", "label", F.coalesce("key", "concept").alias("concept"), "figures", "cells")
