@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from finloom.operators import analysis, catalog, checks, layout, mentions, reports, statements, text, texts, twins
+from finloom.operators import analysis, catalog, checks, incomes, layout, mentions, reports, statements, text, texts, twins
 from finloom.plans.facts import TABLES
 
 STATEMENTS: dict[str, Callable[[str], str]] = {**analysis.QUERIES, **checks.QUERIES, **reports.QUERIES, **text.QUERIES}
@@ -24,8 +24,8 @@ def _query(statement: Callable[[str], str]) -> Callable[[SparkSession, str], Dat
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**{name: _query(statement) for name, statement in STATEMENTS.items()}, **layout.FRAMES, **catalog.FRAMES, **texts.FRAMES, **statements.FRAMES, **mentions.FRAMES}
+    return {**{name: _query(statement) for name, statement in STATEMENTS.items()}, **layout.FRAMES, **catalog.FRAMES, **texts.FRAMES, **statements.FRAMES, **mentions.FRAMES, **incomes.FRAMES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**{name: statement("duckdb") for name, statement in STATEMENTS.items()}, **layout.FRAMES_SQL, **twins.SQL, **texts.SQL, **statements.SQL, **mentions.SQL}
+    return {**{name: statement("duckdb") for name, statement in STATEMENTS.items()}, **layout.FRAMES_SQL, **twins.SQL, **texts.SQL, **statements.SQL, **mentions.SQL, **incomes.SQL}
