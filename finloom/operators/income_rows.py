@@ -67,9 +67,10 @@ def _read(lines: DataFrame) -> DataFrame:
     """Lines with what their own label and cells say."""
     text = F.replace(F.replace(F.coalesce("label", F.lit("")), F.lit("ﬁ"), F.lit("fi")), F.lit("ﬂ"), F.lit("fl"))
     rows = lines.where(F.trim(F.coalesce("label", F.lit(""))) != "").select("doc", "statement", "row_no", "label", "concept", "cells", text.alias("text"), words(text).alias("found"))
-    held = F.filter(F.coalesce("cells", F.array().cast("array<string>")), lambda c: parse_number(c).isNotNull() | F.trim(c).isin("-", "–", "—"))
-    rows = rows.withColumns({"line": spoken(F.col("found")), "held": held, "figures": F.transform("cells", parse_number)})
-    note_only = (F.size("held") == 1) & F.trim(F.get("held", F.lit(0))).rlike("^[0-9]{1,2}([.][0-9]{1,2})?$")
+    rows = rows.withColumns({"line": spoken(F.col("found")), "read": F.transform("cells", lambda c: F.struct(F.trim(c).alias("printed"), parse_number(c).alias("value")))})
+    held = F.filter("read", lambda x: x["value"].isNotNull() | x["printed"].isin("-", "–", "—"))
+    rows = rows.withColumns({"figures": F.col("read.value"), "held": F.coalesce(F.transform(held, lambda x: x["printed"]), F.array().cast("array<string>"))})
+    note_only = (F.size("held") == 1) & F.get("held", F.lit(0)).rlike("^[0-9]{1,2}([.][0-9]{1,2})?$")
     first = F.get("found", F.lit(0))
     kind = lambda k: F.coalesce(F.get("found", F.lit(k)).isin("basic", "diluted"), F.lit(False))
     line = F.col("line")
@@ -111,9 +112,9 @@ def _earnings(rows: DataFrame) -> DataFrame:
     block, own = Window.partitionBy("doc", "statement", "block").orderBy("row_no"), F.col("text")
     heading = F.col("per_share") & (~F.col("eps_valued") | (F.col("nth") == 1))
     rows = rows.withColumn("heading", F.array_join(F.collect_list(F.when(heading, own)).over(block), " "))
-    rows = rows.withColumn("both", words(F.concat_ws(" ", "heading", "text")))
+    rows = rows.withColumn("both", F.when(F.col("per_share"), words(F.concat_ws(" ", "heading", "text"))))
     line = spoken(F.col("both"))
-    continuing = lambda c: says(spoken(words(c)), ["continuing"])
+    continuing = lambda c: F.lower(c).rlike(r"\bcontinuing\b")
     other = F.exists("both", lambda w: F.exists(F.array(*map(F.lit, NOT_TOTAL_STEMS)), lambda s: w.startswith(s))) | says(line, NOT_TOTAL)
     other = other | _stem(own, "discontinu") | (_stem(F.col("heading"), "discontinu") & ~continuing(F.col("heading"))) | (continuing(own) & ~F.col("sub"))
     source = F.when(_stem(own, "basic") | _stem(own, "dilut"), own).otherwise(F.col("heading"))
