@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finloom.functions import labels
@@ -17,22 +17,53 @@ def duplicate_companies(companies: DataFrame, threshold: float = SIMILAR) -> Dat
     """a, b, similarity: pairs of companies (company_id, name) that look like one issuer, a < b.
 
     Companies of one key are one group, whose members are paired with its least id only, so a name that many share costs a row
-    each. Different keys are compared within blocks of equal beginnings and near lengths: each key goes to the blocks of its own
-    length and the LENGTHS longer ones. A block's pairs grow with the square of the keys in it: names that begin alike.
+    each. Different keys of equal beginnings and near lengths are compared where candidates() finds a piece that they share.
     """
     keyed = companies.where("company_id is not null and name is not null").select("company_id", labels.company_key(F.col("name")).alias("key"))
     keyed = keyed.where("key <> ''").withColumn("dense", labels.squashed(F.col("key")))
     first = keyed.groupBy("dense").agg(F.min("company_id").alias("first"))
     same = keyed.join(first, "dense").where(F.col("company_id") != F.col("first")).select(F.col("first").alias("a"), F.col("company_id").alias("b"), F.lit(1.0).alias("similarity"))
     reps = keyed.groupBy("dense").agg(F.min_by(F.struct("company_id", "key"), "company_id").alias("r")).select("r.*")
-    reps = reps.withColumns({"start": F.substring("key", 1, PREFIX), "size": F.length("key")})
-    left = reps.select(F.col("company_id").alias("x"), F.col("key").alias("key_x"), "start", F.explode(F.sequence(F.col("size"), F.col("size") + LENGTHS)).alias("size"))
-    pairs = left.join(reps.select(F.col("company_id").alias("y"), F.col("key").alias("key_y"), "start", "size"), ["start", "size"])
-    pairs = pairs.where((F.col("x") != F.col("y")) & ((F.length("key_x") < F.length("key_y")) | (F.col("x") < F.col("y"))))
-    near = pairs.withColumn("similarity", labels.key_similarity(F.col("key_x"), F.col("key_y"))).where(F.col("similarity") >= threshold)
+    near = candidates(reps, threshold).withColumn("similarity", labels.key_similarity(F.col("key_x"), F.col("key_y"))).where(F.col("similarity") >= threshold)
     return same.unionByName(near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.round("similarity", 3).alias("similarity")))
 
 
+def _edits(a: Column, b: Column, threshold: float) -> Column:
+    """How many letters of two keys of these lengths may be unmatched: the ratio is 2 * matched / (a + b)."""
+    return F.floor((1 - threshold) * (a + b) + 1e-9).cast("int")
+
+
+def candidates(keys: DataFrame, threshold: float = SIMILAR) -> DataFrame:
+    """x, key_x, y, key_y: all pairs of keys (company_id, key; each key once) that can reach the threshold, the shorter one as x.
+
+    Matched letters keep their order in both keys, so at most d = (1 - threshold) * (a + b) letters lie between them. Equal
+    beginnings can be matched whole, so these letters follow them: what follows in the shorter key is cut into d + 1 pieces (d for
+    the longest partner), and one piece, left whole, stands in the longer key, moved by no more letters than were added or left out
+    before it. Pieces are joined by their
+    text, number and length of key, beside the beginning; no pair that reaches the threshold is lost.
+    """
+    rows = keys.select("company_id", "key", F.substring("key", 1, PREFIX).alias("start"), F.length("key").alias("long"))
+
+    def cut(size: Column) -> Column:
+        """The pieces of a key of this size: number, first letter (from 0), letters."""
+        n = _edits(size, size + LENGTHS, threshold) + 1
+        begin = F.least(size, F.lit(PREFIX))
+        at = lambda i: begin + F.floor(i * (size - begin) / n).cast("int")
+        return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(i.alias("part"), at(i).alias("from"), (at(i + 1) - at(i)).alias("letters")))
+
+    pieces = rows.select(F.col("company_id").alias("x"), F.col("key").alias("key_x"), "start", F.col("long").alias("size"), F.explode(cut(F.col("long"))).alias("p"))
+    pieces = pieces.select("x", "key_x", "start", "size", "p.part", F.substr("key_x", F.col("p.from") + 1, F.col("p.letters")).alias("piece"))
+    probes = rows.withColumn("more", F.explode(F.sequence(F.lit(0), F.lit(LENGTHS)))).withColumn("size", F.col("long") - F.col("more")).where("size > 0")
+    probes = probes.withColumn("edits", _edits(F.col("size"), F.col("long"), threshold)).where("edits >= more")
+    probes = probes.withColumn("p", F.explode(cut(F.col("size"))))
+    back, forth = F.floor((F.col("edits") - F.col("more")) / 2).cast("int"), F.floor((F.col("edits") + F.col("more")) / 2).cast("int")
+    probes = probes.withColumn("at", F.explode(F.sequence(F.col("p.from") - back, F.col("p.from") + forth))).where((F.col("at") >= F.least("long", F.lit(PREFIX))) & (F.col("at") + F.col("p.letters") <= F.col("long")))
+    probes = probes.select(F.col("company_id").alias("y"), F.col("key").alias("key_y"), "start", "size", "p.part", F.substr("key", F.col("at") + 1, F.col("p.letters")).alias("piece"))
+    pairs = pieces.join(probes, ["start", "size", "part", "piece"])
+    pairs = pairs.where((F.col("x") != F.col("y")) & ((F.length("key_x") < F.length("key_y")) | (F.col("x") < F.col("y"))))
+    return pairs.select("x", "key_x", "y", "key_y").distinct()
+
+
 def duplicate_issues(pairs: DataFrame, companies: DataFrame) -> DataFrame:
     """Per pair: which of the two holds the data (holder), the other, and the fix; companies (company_id, docs, facts, listed)."""
     side = lambda c: companies.select(F.col("company_id").alias(c), F.struct("facts", "docs", "listed").alias(f"of_{c}"))
