@@ -20,7 +20,7 @@ SHARE_COUNTS = ["weighted average", *(f"number of {a}{b}{c}" for a in ("", "issu
 EARNED, EARNERS = ["profit", "earnings", "loss", "income"], ["attributable", "owner", "owners", "shareholders", "unitholders"]
 COMPONENTS = ["realis", "unrealis", "continuing", "discontinu", "adjust", "issuance", "conversion", "exercise"]
 TOTALS = ["", "total", "unit", "units", "000", "sen"]
-WHOLE_COMPANY = "CONSOLIDATED"
+WHOLE_COMPANY, YEAR = "CONSOLIDATED", "^(19[89][0-9]|20[0-4][0-9])$"
 
 
 def role(label: Column) -> Column:
@@ -44,16 +44,25 @@ def role(label: Column) -> Column:
     return let(words(label), of)
 
 
+def _heads_years(cells: Column) -> Column:
+    """Whether cells read as the years over columns: one, or several that follow on one another, as 2024 and 2023. 1985 twice is a figure."""
+    years = F.array_distinct(F.transform(cells, lambda c: F.trim(c).try_cast("int")))
+    return (F.size(cells) == 1) | ((F.size(years) > 1) & (F.array_max(years) - F.array_min(years) == F.size(years) - 1))
+
+
 def roles(lines: DataFrame) -> DataFrame:
     """doc, row_no, label, context, cells, role of the rows with figures. lines: doc, row_no, label, cells.
 
     A row's role is that of its own label, else of its label after the two lines above it that have no figures; a total, or a bare
     unit, takes that of the block that it closes. Components of a figure have none. Rows of a note are ordered together.
+    A row of years is no row of figures, unless its own label has a role and the cells can't be the years over columns.
     """
     order = Window.partitionBy("doc").orderBy("row_no")
     label = F.trim(F.coalesce("label", F.lit("")))
-    held = F.filter(F.coalesce("cells", F.array().cast("array<string>")), lambda c: (parse_number(c).isNotNull() & ~F.trim(c).rlike("^(19[89][0-9]|20[0-4][0-9])$")) | F.trim(c).isin("-", "–", "—"))
-    rows = lines.select("doc", "row_no", label.alias("label"), "cells", (F.size(held) > 0).alias("valued")).withColumn("own", role(F.col("label")))
+    held = F.filter(F.coalesce("cells", F.array().cast("array<string>")), lambda c: parse_number(c).isNotNull() | F.trim(c).isin("-", "–", "—"))
+    years = F.forall("held", lambda c: F.trim(c).rlike(YEAR))
+    rows = lines.select("doc", "row_no", label.alias("label"), "cells", held.alias("held")).withColumn("own", role(F.col("label")))
+    rows = rows.withColumn("valued", (F.size("held") > 0) & (~years | (F.col("own").isNotNull() & ~_heads_years(F.col("held"))))).drop("held")
     heading = ~F.col("valued") & (F.col("label") != "") & ~F.col("label").endswith(".") & (F.size(F.split("label", r"\s+")) <= HEADING_WORDS)
     found = words(F.col("label"))
     component = F.exists(found, lambda w: F.exists(F.array(*map(F.lit, COMPONENTS)), lambda s: w.startswith(s))) | says(spoken(found), ["effect", "effects", "interest expense"])
@@ -117,14 +126,14 @@ def share_counts(lines: DataFrame, columns: DataFrame, face: DataFrame) -> DataF
     Columns without earnings per share or a plausible count are left out.
     """
     cells = roles(lines).where("role in ('shares', 'patami', 'eps')").select("doc", "row_no", "label", "context", "role", F.posexplode("cells").alias("col", "printed"))
-    value = parse_number(F.col("printed")).cast("double")
-    cells = cells.withColumn("value", value).where("value is not null").join(columns, ["doc", "col"])
+    # A count times its unit is exact as a decimal only: 1.027 million.
+    cells = cells.withColumn("exact", parse_number(F.col("printed"))).withColumn("value", F.col("exact").cast("double")).where("value is not null").join(columns, ["doc", "col"])
     weighted = lambda c: says(spoken(words(F.col(c))), ["weighted"]) | _has(words(F.col(c)), "weighted")
     rank = F.when(weighted("label"), 0).when(weighted("context"), 1).otherwise(2)
     bare = F.replace(F.lower("context"), F.lit(" "), F.lit(""))
     sen = F.col("value") * F.when(bare.contains("(rm)") & ~_has(words(F.col("context")), "sen", "cent", "cents"), 100).otherwise(1)
     stated = share_unit(F.col("context"), F.col("header"))
-    line = F.struct(rank.alias("rank"), "row_no", "value", "printed", stated.alias("stated"))
+    line = F.struct(rank.alias("rank"), "row_no", "exact", "printed", stated.alias("stated"))
     small = (F.col("role") == "eps") & (F.abs("value") <= MOST_SEN)
     money = F.col("value") * money_unit(F.col("context"), F.col("header"), F.col("scale"))
     notes = cells.groupBy("doc", "col", "year", "basis").agg(
@@ -139,7 +148,7 @@ def share_counts(lines: DataFrame, columns: DataFrame, face: DataFrame) -> DataF
         units = F.when(x["stated"].isNotNull(), F.array(x["stated"])).otherwise(F.array(*map(F.lit, MULTIPLIERS)))
 
         def one(m: Column) -> Column:
-            shares = x["value"] * m
+            shares = (x["exact"] * m.cast("long")).cast("double")
             proved = F.coalesce(_near(F.col("patami") / F.nullif(shares, F.lit(0.0)) * 100, F.col("e.eps"), F.col("e.places")), F.lit(False))
             return F.struct((~proved).alias("unproved"), x["rank"].alias("rank"), x["row_no"].alias("row_no"), m.alias("multiplier"), shares.alias("shares"), x["printed"].alias("printed"), x["stated"].isNotNull().alias("stated"))
 

@@ -30,6 +30,19 @@ def test_units_and_arithmetic(spark):
     assert counts(spark, [(PROFIT, ["1"]), EPS]) == [] and counts(spark, []) == []
 
 
+def test_counts_that_look_like_years(spark):
+    label = "Weighted average number of ordinary shares in issue ('000)"
+    got = counts(spark, [(PROFIT, ["48.6", "28.8"]), (label, ["1985", "1985"]), EPS])
+    assert [(r.shares, r.multiplier, r.proved) for r in got] == [(1_985_000.0, 1000, True), (1_985_000.0, 1000, True)]
+    got = counts(spark, [(PROFIT, ["49", "29"]), (label, ["2024", "2023"]), ("Weighted average number of shares ('000)", ["1,999", "1,998"]), EPS])
+    assert [r.shares for r in got] == [1_999_000.0, 1_998_000.0]
+
+
+def test_millions_are_exact(spark):
+    got = counts(spark, [("Weighted average number of ordinary shares (million)", ["1.027", "4.054"]), EPS])
+    assert [r.shares for r in got] == [1_027_000.0, 4_054_000.0]
+
+
 def test_roles(spark):
     rows = [
         ("Basic earnings per share", []), ("Profit after taxation", ["5"]), ("Profit from continuing operations attributable to owners", ["4"]),
