@@ -14,6 +14,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from finloom.functions.words import let
+
 #: Phrases of labels that say nothing of what a row is.
 STOP_PHRASES = ["for the financial period", "for the financial year", "for the period", "for the year", "net of tax", "attributable to", "of the group", "continuing operations"]
 #: What ends a company's name, and words of a country in brackets.
@@ -68,8 +70,8 @@ def company_key(name: Column) -> Column:
     out = _replaced(F.lower(name), (COUNTRY, " "), ("&", " and "), ("['’]", ""), ("[^a-z0-9]+", " "))
     out = _replaced(F.trim(out), (r"(?<=(?:^| )[a-z]) (?=[a-z](?: |$))", ""))  # single letters in a row are one word
     out = _replaced(out, (r"\breal estate investment trust\b", "reit"), (r"\bcorporation\b", "corp"), (r"\bcompany\b", "co"))
-    short = F.array_join(F.filter(F.split(out, " +"), lambda w: ~w.isin(*SUFFIXES)), " ")
-    return F.when(short == "", out).otherwise(short)
+    without = lambda key: F.array_join(F.filter(F.split(key, " +"), lambda w: ~w.isin(*SUFFIXES)), " ")
+    return let(out, lambda key: let(without(key), lambda short: F.when(short == "", key).otherwise(short)))
 
 
 def squashed(key: Column) -> Column:

@@ -1,61 +1,101 @@
 """Whom a text is about: mentions of companies weighted by place, with the registration number printed beside the name.
 
-Texts are read as rows of words with their places in characters; a mention ends at Berhad or Bhd, and takes the capitalised words
-before it. Words of one document are ordered together, which its text bounds; documents are spread over the cluster.
+A mention ends at Berhad or Bhd, and takes the capitalised words before it. A text is cut before each legal form, and of a piece only
+its length, its first characters and its last words are looked at, so mentions are found within the row of their text: nothing but
+them is shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finloom.functions.labels import company_key
+from finloom.functions.words import let
 
 #: Words before the legal form that a name may have; characters of the head, whose mentions count more, and by how much; characters
-#: after a name within which its number stands, and words that can hold them.
-NAME_WORDS, HEAD, HEAD_WEIGHT, NEAR, NEAR_WORDS = 6, 3000, 3, 120, 60
+#: after a name within which its number stands.
+NAME_WORDS, HEAD, HEAD_WEIGHT, NEAR = 6, 3000, 3, 120
 FORMS = ["berhad", "bhd"]
+#: Where a word begins that is a legal form but for what is no letter; sizes that are summed at a stretch.
+AT_FORM, STRETCH = f"(?i)(?<= )(?=(?:{'|'.join(FORMS)})(?![a-z]))", 256
 #: Keys that are no company.
 NOBODY = ["", "the", "company", "the company", "group", "of the"]
 
 
+def _starts(sizes: Column) -> Column:
+    """The sum of the sizes before each one; by stretches, so that the work for long arrays stays near linear."""
+    add = lambda of: F.aggregate(of, F.lit(0), lambda a, x: a + x)
+    stretches = F.transform(F.sequence(F.lit(0), ((F.size(sizes) - 1) / STRETCH).cast("int")), lambda k: F.slice(sizes, k * STRETCH + 1, STRETCH))
+
+    def within(stretch: Column, before: Column) -> Column:
+        return F.transform(stretch, lambda _, i: before + add(F.slice(stretch, 1, i)))
+
+    def all_of(split: Column) -> Column:
+        sums = F.transform(split, add)
+        return let(sums, lambda of: F.flatten(F.transform(split, lambda s, k: let(add(F.slice(of, 1, k)), lambda before: within(s, before)))))
+
+    return let(stretches, all_of)
+
+
+def _ends(text: Column) -> Column:
+    """Array of struct(place, before, after) for each legal form in a text of single blanks: its place, the words before, the text from it on."""
+    pieces = F.split(F.concat(F.lit(" "), text), AT_FORM)
+    reach = max(map(len, FORMS)) + NEAR + 1
+    parts = F.transform(pieces, lambda p: F.struct(F.length(p).alias("size"), F.substring(p, 1, reach).alias("head"), F.substring_index(p, " ", -NAME_WORDS - 1).alias("tail")))
+
+    def placed(parts: Column, starts: Column) -> Column:
+        # A piece from the second on has a word at least, and the least one (bhd and a blank) four characters.
+        tails = lambda i: F.transform(F.slice(parts, F.greatest(i - NAME_WORDS, F.lit(0)) + 1, F.least(i, F.lit(NAME_WORDS))), lambda p: p["tail"])
+        heads = lambda i: F.transform(F.slice(parts, i + 1, reach // 4 + 1), lambda p: p["head"])
+        before = lambda i: F.substring_index(F.trim(F.array_join(tails(i), "")), " ", -NAME_WORDS)
+        each = F.transform(parts, lambda _, i: F.struct((F.get(starts, i) - 1).alias("place"), before(i).alias("before"), F.substring(F.array_join(heads(i), ""), 1, reach).alias("after")))
+        return F.slice(each, 2, F.size(parts))
+
+    return let(parts, lambda parts: let(_starts(F.transform(parts, lambda p: p["size"])), lambda starts: placed(parts, starts)))
+
+
 def mentions(texts: DataFrame) -> DataFrame:
     """doc, place (in characters), key (the name's last two words, normalised), weight, number (12 digits beside the name, or null).
 
     texts: doc, text.
     """
-    each = texts.select("doc", F.posexplode(F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")).alias("nth", "word"))
-    order = Window.partitionBy("doc").orderBy("nth")
-    each = each.withColumn("place", F.coalesce(F.sum(F.length("word") + 1).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    form = F.lower(F.regexp_replace("word", r"[^A-Za-z].*$", "")).isin(FORMS)
-    each = each.withColumn("form", form).withColumn("forms", F.sum(F.col("form").cast("int")).over(order))
-    # Only words around a legal form are held together: those with a form among the words that follow or went before.
-    ahead = F.coalesce(F.lead("forms", NAME_WORDS).over(order), F.sum(F.col("form").cast("int")).over(Window.partitionBy("doc")))
-    behind = F.coalesce(F.lag("forms", NEAR_WORDS + 1).over(order), F.lit(0))
-    each = each.withColumn("around", ahead > behind).where("around")
-    each = each.withColumns({"before": F.collect_list("word").over(order.rangeBetween(-NAME_WORDS, -1)), "after": F.collect_list(F.struct("place", "word")).over(order.rangeBetween(0, NEAR_WORDS))})
-    ends = each.where("form").withColumn("stop", F.col("place") + F.length(F.regexp_extract("word", r"^[A-Za-z]+", 0)))
-    # The words from the last one that is not capitalised on.
-    plain = F.array_max(F.transform("before", lambda w, i: F.when(~w.rlike(r"^[A-Z0-9&]"), i + 1).otherwise(0)))
-    name = F.array_join(F.slice("before", F.coalesce(plain, F.lit(0)) + 1, NAME_WORDS), " ")
-    tokens = F.split(company_key(name), " ")
-    last = F.element_at(tokens, -1)
-    key = F.array_join(F.slice(tokens, F.greatest(F.size(tokens) - 1, F.lit(1)), 2), " ")
-    beside = F.filter("after", lambda w: (w["place"] + F.length(w["word"]) <= F.col("stop") + NEAR) & w["word"].rlike(r"(?<![0-9])[0-9]{12}(?![0-9])"))
-    number = F.regexp_extract(F.get(beside, F.lit(0))["word"], r"(?<![0-9])([0-9]{12})(?![0-9])", 1)
-    found = ends.select("doc", "place", key.alias("key"), F.when(F.col("place") < HEAD, HEAD_WEIGHT).otherwise(1).alias("weight"), number.alias("number"), last.alias("last"), F.lower(F.element_at("before", -1)).alias("prior"))
+    ends = texts.select("doc", F.inline(_ends(F.trim(F.regexp_replace("text", r"\s+", " ")))))
     # A private company's form is Sdn Bhd.
-    return found.where(~F.coalesce("prior", F.lit("")).startswith("sdn") & ~F.col("last").isin("sdn", *FORMS) & ~F.col("last").rlike("^[0-9]+$") & ~F.col("key").isin(NOBODY)).drop("last", "prior")
+    ends = ends.where(~F.lower(F.substring_index("before", " ", -1)).startswith("sdn"))
+    # Each mention is made once as a struct and then judged: as columns, a filter would repeat the work on its names.
+    return ends.select("doc", F.inline(F.filter(F.array(_mention()), lambda m: m["sound"]))).drop("sound")
+
+
+def _mention() -> Column:
+    """struct(place, key, weight, number, sound) of a row of _ends(); sound: it names a company."""
+
+    def named(before: Column) -> Column:
+        # The words from the last one that is not capitalised on.
+        plain = F.array_max(F.transform(before, lambda w, i: F.when(~w.rlike(r"^[A-Z0-9&]"), i + 1).otherwise(0)))
+        name = F.array_join(F.slice(before, F.coalesce(plain, F.lit(0)) + 1, NAME_WORDS), " ")
+        return let(F.split(company_key(name), " "), of_tokens)
+
+    def of_tokens(tokens: Column) -> Column:
+        last, key = F.element_at(tokens, -1), F.array_join(F.slice(tokens, F.greatest(F.size(tokens) - 1, F.lit(1)), 2), " ")
+        return F.struct(key.alias("key"), (~last.isin("sdn", *FORMS) & ~last.rlike("^[0-9]+$") & ~key.isin(NOBODY)).alias("sound"))
+
+    near = F.length(F.regexp_extract("after", "^[A-Za-z]+", 0)) + NEAR
+    # Of a word that goes on beyond, no part counts.
+    whole = F.when(F.length("after") > near, F.regexp_replace(F.substring("after", F.lit(1), near + 1), "[^ ]*$", "")).otherwise(F.col("after"))
+    number = F.nullif(F.regexp_extract(whole, r"(?<![0-9])([0-9]{12})(?![0-9])", 1), F.lit(""))
+    weight = F.when(F.col("place") < HEAD, HEAD_WEIGHT).otherwise(1)
+    return let(let(F.split("before", " "), named), lambda n: F.struct(F.col("place").alias("place"), n["key"].alias("key"), weight.alias("weight"), number.alias("number"), n["sound"].alias("sound")))
 
 
 def dominant(texts: DataFrame) -> DataFrame:
     """doc, key, weight, number: the company that a text names most, of equals the one named first, with its most printed number."""
-    found = mentions(texts)
-    numbers = found.where("number is not null").groupBy("doc", "key", "number").agg(F.count("*").alias("n"), F.min("place").alias("seen"))
-    number = numbers.groupBy("doc", "key").agg(F.max_by("number", F.struct("n", -F.col("seen"))).alias("number"))
-    weights = found.groupBy("doc", "key").agg(F.sum("weight").alias("weight"), F.min("place").alias("seen"))
-    best = weights.groupBy("doc").agg(F.max_by(F.struct("key", "weight"), F.struct("weight", -F.col("seen"))).alias("b")).select("doc", "b.*")
-    return best.join(number, ["doc", "key"], "left").select("doc", "key", "weight", "number")
+    # One shuffle: all that follows groups the mentions of a document finer or by itself.
+    found = mentions(texts).repartition("doc")
+    numbers = found.groupBy("doc", "key", "number").agg(F.count("*").alias("n"), F.sum("weight").alias("weight"), F.min("place").alias("seen"))
+    printed = F.when(F.col("number").isNotNull(), F.struct("n", -F.col("seen")))
+    named = numbers.groupBy("doc", "key").agg(F.sum("weight").alias("weight"), F.min("seen").alias("seen"), F.max_by("number", printed).alias("number"))
+    return named.groupBy("doc").agg(F.max_by(F.struct("key", "weight", "number"), F.struct("weight", -F.col("seen"))).alias("b")).select("doc", "b.*")
 
 
 _NAME = "case {} % 5 when 0 then 'Alpha Nusantara' when 1 then 'Beta Maju' when 2 then 'Gamma Sentosa' when 3 then 'Delta Perkasa' else 'Epsilon Jaya' end"

@@ -19,3 +19,23 @@ def test_dominant_entities(spark):
     frame = spark.createDataFrame([(k, t) for k, (t, _) in TEXTS.items()], "doc string, text string")
     got = {r.doc: (r.key, r.weight, r.number) for r in mentions.dominant(frame).collect()}
     assert got == {k: want for k, (_, want) in TEXTS.items() if want}
+
+
+def test_legal_forms_in_odd_places(spark):
+    texts = [
+        "Berhad", "Bhd. Alpha Berhad", "Alpha Berhad(200001000001)", "Alpha Berhadx Beta Bhd2", "Alpha Berhad " + "w " * 54 + "200001000001", "Alpha Berhad " + "w " * 53 + "200001000001", "Alpha Berhad " + "w " * 53 + "200001000001xy",
+        "a" * 2999 + " Alpha Bhd", "Alpha  \n Maju\tBhd " * 600,
+    ]
+    found = mentions.mentions(spark.createDataFrame(list(enumerate(texts)), "doc int, text string")).orderBy("doc", "place").collect()
+    got = [(r.doc, r.place, r.key, r.weight, r.number) for r in found if r.doc < 8]
+    number = "200001000001"
+    want = [(1, 11, "alpha", 3, None), (2, 6, "alpha", 3, number), (3, 19, "berhadx beta", 3, None), (4, 6, "alpha", 3, None), (5, 6, "alpha", 3, number), (6, 6, "alpha", 3, None), (7, 3006, "alpha", 1, None)]
+    assert got == want
+    assert [r.place for r in found if r.doc == 8] == [11 + 15 * i for i in range(600)]
+
+
+def test_words_are_not_shuffled(spark):
+    """Nothing but mentions is shuffled, once."""
+    frame = spark.createDataFrame([(1, "Beta Jaya Berhad")], "doc int, text string")
+    plan = mentions.dominant(frame)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Window" not in plan
