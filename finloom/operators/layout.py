@@ -12,13 +12,21 @@ OVERLAP = 0.45
 
 
 def row_groups(words: DataFrame) -> DataFrame:
-    """doc, page, word_id and row_no (from 0) of each word (doc, page, word_id, x0, y0, y1).
+    """doc, page, word_id and row_no (from 0) of each word (doc, page, word_id, x0, y0, y1)."""
+    return with_rows(words.select("doc", "page", "word_id", "x0", "y0", "y1"), ["doc", "page"]).select("doc", "page", "word_id", "row_no")
+
+
+def with_rows(words: DataFrame, keys: list[str]) -> DataFrame:
+    """words (word_id, x0, y0, y1 and any columns that can be sorted) with row_no (from 0) within keys, which name a page or a part of one.
 
     A sweep down the page: a word joins the row above it if they overlap enough, and widens it. The words of one page are held
     together as an array, which a page bounds; pages are spread over the cluster. Words without a place (null y0 or y1) are left out.
+    All columns travel in the array, so words are shuffled once and meet no second time.
     """
     placed = words.where("y0 is not null and y1 is not null")
-    pages = placed.groupBy("doc", "page").agg(F.array_sort(F.collect_list(F.struct("y0", "x0", "y1", "word_id"))).alias("on_page"))
+    first = ["y0", "x0", "y1", "word_id"]
+    rest = [c for c in words.columns if c not in (*first, *keys)]
+    pages = placed.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*first, *rest))).alias("on_page"))
     start = F.struct(F.lit(None).cast("double").alias("top"), F.lit(None).cast("double").alias("bottom"), F.lit(-1).alias("row_no"), F.array().cast("array<int>").alias("rows"))
 
     def step(row, word):
@@ -29,9 +37,9 @@ def row_groups(words: DataFrame) -> DataFrame:
         top, bottom = F.when(joins, F.least(row["top"], y0)).otherwise(y0), F.when(joins, F.greatest(row["bottom"], y1)).otherwise(y1)
         return F.struct(top.alias("top"), bottom.alias("bottom"), no.alias("row_no"), F.concat(row["rows"], F.array(no)).alias("rows"))
 
-    swept = pages.select("doc", "page", "on_page", F.aggregate("on_page", start, step, lambda row: row["rows"]).alias("rows"))
-    each = swept.select("doc", "page", F.inline(F.arrays_zip("on_page", "rows")))
-    return each.select("doc", "page", F.col("on_page.word_id").alias("word_id"), F.col("rows").alias("row_no"))
+    swept = pages.select(*keys, "on_page", F.aggregate("on_page", start, step, lambda row: row["rows"]).alias("rows"))
+    each = swept.select(*keys, F.inline(F.arrays_zip("on_page", "rows")))
+    return each.select(*keys, "on_page.*", F.col("rows").alias("row_no"))
 
 
 def reach(links: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:

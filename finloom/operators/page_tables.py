@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finloom.functions.numbers import parse_number
-from finloom.operators.layout import row_groups
+from finloom.operators.layout import with_rows
 
 #: Points: a gap that may be a gutter, and by how much edges of one column or gutter may differ.
 GUTTER, TOLERANCE = 20.0, 9.0
@@ -29,13 +29,6 @@ def halves(words: DataFrame, pages: DataFrame) -> DataFrame:
     return words.join(wide, ["doc", "page"], "left").withColumn("half", side).drop("middle")
 
 
-def _rows(words: DataFrame, keys: list[str]) -> DataFrame:
-    """words with row_no within keys (the page's sweep, for any finer part of it)."""
-    named = words.withColumns({"_keys": F.struct(*keys), "_page": F.col("page")})
-    found = row_groups(named.select(F.col("_keys").alias("doc"), F.col("_page").alias("page"), "word_id", "x0", "y0", "y1"))
-    return words.join(found.select("doc.*", "word_id", "row_no"), [*keys, "word_id"])
-
-
 def _is_label(text: Column) -> Column:
     """A run of three letters in a word that is no figure."""
     return parse_number(text).isNull() & text.rlike("[A-Za-z]{3}")
@@ -61,7 +54,7 @@ def gutters(words: DataFrame) -> DataFrame:
     keys = [*PAGE, "cluster"]
     share = met.groupBy(*keys).agg(F.countDistinct(F.when(F.col("crosses"), F.col("row_no"))).alias("crossed"), F.countDistinct("row_no").alias("all_rows"))
     # Each side's rows are swept apart, as those of two panels need not stand level.
-    swept = _rows(met.where("side is not null").drop("row_no"), [*keys, "side"])
+    swept = with_rows(met.where("side is not null").drop("row_no"), [*keys, "side"])
     labelled = swept.groupBy(*keys, "side", "row_no").agg(F.max(_is_label(F.col("text"))).alias("labelled"))
     panels = labelled.groupBy(*keys, "side").agg(F.count("*").alias("n"), F.avg(F.col("labelled").cast("int")).alias("part"))
     sound = panels.where((F.col("n") >= SUPPORT) & (F.col("part") >= LABELLED)).groupBy(*keys).agg(F.count("*").alias("sides")).where("sides = 2")
@@ -76,7 +69,7 @@ def blocks(words: DataFrame, pages: DataFrame) -> DataFrame:
     A row is split only where it has a gap of its own over the gutter; a title that runs across stays whole.
     """
     halved = halves(words, pages)
-    naive = _rows(halved, PAGE)
+    naive = with_rows(halved, PAGE)
     marked = naive.join(gutters(naive), PAGE, "left")
     in_row = Window.partitionBy(*PAGE, "row_no").orderBy("x0", "word_id")
     before = F.lag("x1").over(in_row)
@@ -84,7 +77,7 @@ def blocks(words: DataFrame, pages: DataFrame) -> DataFrame:
     marked = marked.withColumn("gapped", F.coalesce((F.col("x0") - before >= GUTTER) & (before < F.col("high")) & (F.col("x0") > F.col("low")), F.lit(False)))
     split = F.max("gapped").over(Window.partitionBy(*PAGE, "row_no"))
     placed = marked.withColumn("block", F.when(split, F.when(left, 1).otherwise(2)).otherwise(0)).drop("low", "high", "gapped", "row_no")
-    return _rows(placed, [*PAGE, "block"])
+    return with_rows(placed, [*PAGE, "block"])
 
 
 def cells(placed: DataFrame, is_figure: Column) -> DataFrame:

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from finloom.operators import five_year, page_tables
+from finloom.operators import five_year, layout, page_tables
 
 WORDS = "doc long, page int, word_id int, text string, x0 double, x1 double, y0 double, y1 double"
 
@@ -96,3 +96,13 @@ def test_year_headings(spark):
     texts = ["2021", "FY2021", "FYE 31.3.2025", "2021*", "2021 (Restated)", "2025/26", "1,999", "1899", "20215", "", None]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     assert [r[0] for r in frame.orderBy("i").select(five_year.year_of(F.col("t"))).collect()] == [2021, 2021, 2025, 2021, 2021, 2026, None, None, None, None, None]
+
+
+def test_words_keep_their_columns_through_the_sweep(spark):
+    """Rows are found with the words' columns at hand: one shuffle and no join."""
+    words = spark.createDataFrame(laid(1, 1, PLAIN), WORDS).withColumn("half", F.lit(0))
+    swept = layout.with_rows(words, page_tables.PAGE)
+    plan = swept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Join" not in plan
+    assert sorted(swept.columns) == sorted([*words.columns, "row_no"])
+    assert {(r.word_id, r.text, r.row_no) for r in swept.collect()} == {(r.word_id, r.text, int(r.y0 // 20) - 1) for r in words.collect()}
