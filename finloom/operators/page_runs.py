@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finloom.functions.numbers import parse_number
-from finloom.functions.words import says, spoken, words
+from finloom.functions.words import let, says, spoken, words
 
 #: Phrases of a statement's heading, of its lines, and of its last line.
 STATEMENTS = {
@@ -33,7 +33,7 @@ def evidence(pages: DataFrame) -> DataFrame:
     """doc, page, statement, score, starts, leans, ends: what a page says for each statement. Pages of few figures say nothing."""
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.trim(x) != "")
     marked = pages.select("doc", "page", lines.alias("lines"), "text")
-    figures = F.size(F.filter(F.split(F.trim(F.coalesce("text", F.lit(""))), r"\s+"), lambda x: parse_number(x).isNotNull()))
+    figures = F.size(F.filter(F.split(F.trim(F.coalesce("text", F.lit(""))), r"\s+"), lambda x: F.when(x.rlike("[0-9]"), parse_number(x).isNotNull()).otherwise(False)))
     marked = marked.select("doc", "page", spoken(words(F.array_join(F.slice("lines", 1, HEAD), " "))).alias("head"), spoken(words(F.coalesce("text", F.lit("")))).alias("line"), figures.alias("figures"))
 
     def hits(phrases: list[str]) -> Column:
@@ -63,11 +63,18 @@ def best_runs(said: DataFrame, longest: int = LONGEST) -> DataFrame:
         bonus = F.when(p["ends"], ENDS).otherwise(0.0)
         # Of runs that end here the longest starts first; an earlier run stays unless a later one is better.
         tried = F.array(*(F.struct((grown[k] + bonus).alias("total"), F.lit(k).alias("more")) for k in range(longest)))
-        top = F.array_max(F.filter(tried, lambda t: t["total"].isNotNull()))
-        start = p["page"] - top["more"]
-        better = top["total"].isNotNull() & (acc["best"].isNull() | (top["total"] > acc["best"]) | ((top["total"] == acc["best"]) & (start < acc["first"])))
-        pick = lambda new, old: F.when(better, new).otherwise(acc[old]).alias(old)
-        return F.struct(p["page"].cast("int").alias("page"), F.array(*grown).alias("runs"), pick(top["total"], "best"), pick(start.cast("int"), "first"), pick(p["page"].cast("int"), "last"))
+        ends = F.array_max(F.filter(tried, lambda t: t["total"].isNotNull()))
+
+        def placed(top: Column) -> Column:
+            start = p["page"] - top["more"]
+            return F.struct(top["total"].alias("total"), start.alias("start"), (top["total"].isNotNull() & (acc["best"].isNull() | (top["total"] > acc["best"]) | ((top["total"] == acc["best"]) & (start < acc["first"])))).alias("better"))
+
+        def told(t: Column) -> Column:
+            pick = lambda new, old: F.when(t["better"], new).otherwise(acc[old]).alias(old)
+            return F.struct(p["page"].cast("int").alias("page"), F.array(*grown).alias("runs"), pick(t["total"], "best"), pick(t["start"].cast("int"), "first"), pick(p["page"].cast("int"), "last"))
+
+        # What a step finds is worked out once, not for each of its uses.
+        return let(let(ends, placed), told)
 
     folded = reports.select("doc", "statement", F.aggregate("pages", state, step).alias("r")).where("r.best is not null")
     return folded.select("doc", "statement", F.col("r.first").alias("first_page"), F.col("r.last").alias("last_page"), F.col("r.best").alias("score"))

@@ -45,3 +45,9 @@ def test_pages_of_a_report(spark):
     frame = spark.createDataFrame([(1, p, t) for p, t in PAGES.items()] + [(1, 7, None), (1, 8, "")], "doc int, page int, text string")
     got = {r.statement: (r.first_page, r.last_page) for r in page_runs.best_runs(page_runs.evidence(frame)).collect()}
     assert got == {"BS": (2, 3), "CF": (4, 4)}
+
+
+def test_a_step_of_the_fold_is_worked_out_once(spark):
+    """The best of the runs that end on a page stands once in the expression, not once for each use of it."""
+    said = spark.createDataFrame([(1, 1, "IS", 5.0, True, True, False)], "doc long, page int, statement string, score double, starts boolean, leans boolean, ends boolean")
+    assert page_runs.best_runs(said)._jdf.queryExecution().analyzed().toString().count("array_max(") == 1
