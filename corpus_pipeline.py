@@ -36,8 +36,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, token_ids and a digest of the text decoded from them."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(docs.select("doc_id", "text", "lang", "source"), path, public_tokenizers.PATTERN).drop("text")
-    rows = bpe.decode(ids, path)
+    rows = bpe.round_trip(docs.select("doc_id", "text", "lang", "source"), path, public_tokenizers.PATTERN)
     return rows.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import gc
+import marshal
 import re
 from functools import lru_cache
 from struct import pack
@@ -30,8 +31,8 @@ from pyspark.sql.functions import arrow_udf
 from finloom.llm.common import small_batches
 
 MAX_STATES = 250_000
-MAX_PIECES = 250_000
-MAX_PAIRS = 400_000
+MAX_PIECES = 200_000
+MAX_PAIRS = 300_000
 #: Texts are split into pieces a part of about this many characters at a time.
 PART_CHARS = 1_000_000
 #: A place where a piece always ends: a letter, one space, a letter.
@@ -43,16 +44,20 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-class State(dict):
-    """byte -> (next state, packed tokens emitted), filled in as bytes come; a state that nothing has left yet holds no table."""
+class Moves(dict):
+    """state << 8 | byte -> (next state << 8, packed tokens emitted), filled in as bytes come. A state's guesses are held as bytes."""
 
-    __slots__ = ("guesses", "machine")
-
-    def __init__(self, guesses: tuple, machine: Transducer):
-        self.guesses, self.machine = guesses, machine
-
-    def __missing__(self, byte: int) -> tuple[State, bytes]:
-        move = self[byte] = self.machine.move(self.guesses, byte)
+    def __init__(self, machine: Transducer):
+        self.machine, self.guesses = machine, [marshal.dumps(((-1, 0, b""),), 2)]
+        self.names = {self.guesses[0]: 0}
+
+    def __missing__(self, key: int) -> tuple[int, bytes]:
+        alive, emitted = self.machine.move(marshal.loads(self.guesses[key >> 8]), key & 255)
+        name = marshal.dumps(alive, 2)  # in version 2 equal guesses give equal bytes
+        to = self.names.setdefault(name, len(self.guesses))
+        if to == len(self.guesses):
+            self.guesses.append(name)
+        move = self[key] = to << 8, emitted
         return move
 
 
@@ -81,8 +86,7 @@ class Transducer:
 
     def _reset(self) -> None:
         # A guess is (last token, trie node, tokens held).
-        self.start = State(((-1, 0, b""),), self)
-        self.names = {self.start.guesses: self.start}
+        self.moves = Moves(self)
 
     def merged(self, data: bytes, until: int = 1) -> list[int]:
         """The encoding of a few bytes by its definition: merge the lowest rank, leftmost first, until none or so many are left."""
@@ -135,7 +139,8 @@ class Transducer:
             else:
                 later, right, equal = right, b[0], True
 
-    def move(self, guesses: tuple, byte: int) -> tuple[State, bytes]:
+    def move(self, guesses: tuple, byte: int) -> tuple[tuple, bytes]:
+        """The guesses alive after a byte, and the tokens that all of them share."""
         child, ends = self.child.get, self.ends
         alive, closing = [], []
         for last, node, held in guesses:
@@ -160,26 +165,22 @@ class Transducer:
             if shared:
                 n = len(shared)
                 alive = [(last, node, held[n:]) for last, node, held in alive]
-        target = tuple(alive)
-        to = self.names.get(target)
-        if to is None:
-            to = self.names[target] = State(target, self)
-        return to, shared
+        return tuple(alive), shared
 
     def encode_piece(self, data: bytes) -> bytes:
         """The tokens of a piece, packed."""
         whole = self.ranks.get(data)
         if whole is not None:
             return self.packed[whole]
-        if len(self.names) > MAX_STATES:
+        if len(self.moves.names) > MAX_STATES:
             self._reset()
             gc.collect()
-        state, out = self.start, []
+        moves, state, out = self.moves, 0, []
         for byte in data:
-            state, emitted = state[byte]
+            state, emitted = moves[state | byte]
             if emitted:
                 out.append(emitted)
-        out.append(state.guesses[-1][2])  # the guess that closed at the last byte
+        out.append(marshal.loads(moves.guesses[state >> 8])[-1][2])  # the guess that closed at the last byte
         return b"".join(out)
 
 
@@ -305,20 +306,36 @@ def _token_bytes(path: str) -> tuple[bytes, ...]:
     return tuple(out)
 
 
+def _ids(texts: pa.Array, path: str, pattern: str) -> pa.ListArray:
+    coder = _encoder(path, pattern)
+    gc.disable()  # hundreds of thousands of moves live long; _reset() collects those it gives up
+    try:
+        found = [coder.encode(t.as_py() or "") for t in texts]
+    finally:
+        gc.enable()
+    offsets = np.zeros(len(found) + 1, np.int32)
+    np.cumsum([len(x) for x in found], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found) if found else np.zeros(0, np.int32)))
+
+
+def _texts(lists: pa.Array, path: str) -> pa.Array:
+    token = _token_bytes(path).__getitem__
+    out = []
+    for one in lists:
+        stream, parts, values = Utf8Stream(), [], one.values.to_numpy() if one.is_valid else np.zeros(0, np.int32)
+        for at in range(0, len(values), 65_536):
+            parts.append(stream.feed(b"".join(map(token, values[at : at + 65_536].tolist()))))
+        parts.append(stream.feed(b"", last=True))
+        out.append("".join(parts))
+    return pa.array(out, pa.string())
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
     """docs with the token ids of each whole text, as the rank file at path (on every node) and the pattern give them."""
     small_batches(docs.sparkSession)
 
     def encoded(texts: pa.Array) -> pa.Array:
-        coder = _encoder(path, pattern)
-        gc.disable()  # hundreds of thousands of states live long; _reset() collects those it gives up
-        try:
-            found = [coder.encode(t.as_py() or "") for t in texts]
-        finally:
-            gc.enable()
-        offsets = np.zeros(len(found) + 1, np.int32)
-        np.cumsum([len(x) for x in found], out=offsets[1:])
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found) if found else np.zeros(0, np.int32)))
+        return _ids(texts, path, pattern)
 
     # Called nondeterministic, as the optimizer would run it once for the ids and once more for each use of them.
     return docs.withColumn(ids, arrow_udf(encoded, "array<int>").asNondeterministic()(F.col(text)))
@@ -330,19 +347,27 @@ def decode(rows: DataFrame, path: str, ids: str = "token_ids", text: str = "deco
 
     @arrow_udf("string")
     def decoded(lists: pa.Array) -> pa.Array:
-        token = _token_bytes(path).__getitem__
-        out = []
-        for one in lists:
-            stream, parts, values = Utf8Stream(), [], one.values.to_numpy() if one.is_valid else np.zeros(0, np.int32)
-            for at in range(0, len(values), 65_536):
-                parts.append(stream.feed(b"".join(map(token, values[at : at + 65_536].tolist()))))
-            parts.append(stream.feed(b"", last=True))
-            out.append("".join(parts))
-        return pa.array(out, pa.string())
+        return _texts(lists, path)
 
     return rows.withColumn(text, decoded(F.col(ids)))
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "token_ids", decoded: str = "decoded") -> DataFrame:
+    """docs with the ids of encode() and the text that decode() makes of them, by one Python worker a task.
+
+    With a step each, a task has two workers, and as either may take any step next, both come to hold the encoder's memory.
+    """
+    small_batches(docs.sparkSession)
+
+    def there_and_back(texts: pa.Array) -> pa.Array:
+        lists = _ids(texts, path, pattern)
+        return pa.StructArray.from_arrays([lists, _texts(lists, path)], ["ids", "text"])
+
+    both = arrow_udf(there_and_back, "struct<ids: array<int>, text: string>").asNondeterministic()
+    rows = docs.withColumn("_bpe_both", both(F.col(text)))
+    return rows.withColumns({ids: F.col("_bpe_both.ids"), decoded: F.col("_bpe_both.text")}).drop("_bpe_both")
+
+
 def digests(rows: DataFrame, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
     """doc_id, n_tokens and the digests of ids and decoded bytes."""
     return rows.select(

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -34,6 +35,28 @@ def test_bpe_equals_the_library_and_decodes(spark, reference):
     assert bpe.encode(docs.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
 
 
+def test_bpe_round_trip_is_encode_and_decode_by_one_worker(spark, reference, capsys):
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(ODD)], "doc_id int, text string, decoded int")
+    rows = bpe.round_trip(docs, PATH, public_tokenizers.PATTERN)
+    assert rows.columns == ["doc_id", "text", "decoded", "token_ids"]
+    for r in rows.collect():
+        assert r.token_ids == reference.encode_ordinary(ODD[r.doc_id] or "") and r.decoded == (ODD[r.doc_id] or "")
+    bpe.digests(rows).explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+    assert bpe.round_trip(docs.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_bpe_states_are_few_bytes(reference):
+    machine = bpe.Transducer(bpe.read_ranks(PATH))
+    words = [random.Random(i).randbytes(6).hex() for i in range(300)]
+    tracemalloc.start()
+    got = [np.frombuffer(machine.encode_piece(w.encode()), np.int32).tolist() for w in words]
+    machine.pairs, machine.halves = {}, {}
+    size = tracemalloc.get_traced_memory()[0] / len(machine.moves.names)
+    tracemalloc.stop()
+    assert got == [reference.encode_ordinary(w) for w in words] and size < 550
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=60))
 def test_bpe_any_text(text):
