@@ -7,7 +7,8 @@ year, the columns add up, and one year's closing is the next one's opening. What
 
 lines: doc_id, row_no, label, concept (or null), figures (array<double> by column, null where nothing is printed).
 statements: doc_id, company_id, fye (or null), header (text above the rows), headers (array<string> by column).
-Everything is partitioned by doc_id, which a page bounds.
+Everything is partitioned by doc_id, which a page bounds; a task sorts the rows of some STATEMENTS_PER_TASK statements, however many
+there are, and rows carry what is read from a statement's header, not its text.
 """
 
 from __future__ import annotations
@@ -17,9 +18,12 @@ from pyspark.sql import functions as F
 
 from finloom.functions import balances, numbers, periods
 from finloom.functions.words import begins, let, says, spoken, words
+from finloom.plans.stored import stored
 
 #: By how much printed sums may miss their total.
 SLACK = 1.0
+#: Statements are dealt to tasks by about so many; a task's windows need several sorts, each of which holds all of its rows.
+STATEMENTS_PER_TASK = 2_000
 TOTALS = ["total equity", "total unitholders", "total unit holders", "total funds", "total shareholders"]
 OTHERS_SHARE = ["non controlling", "noncontrolling", "minority"]
 
@@ -76,7 +80,14 @@ def _statements(statements: DataFrame) -> DataFrame:
         .when(F.size("nci") > 1, "several columns of others' share")
         .when(F.size("named") > 1, "several columns of total equity")
     )
-    return out.withColumn("reason", reason)
+    return out.withColumn("reason", reason).withColumn("multiplier", F.col("scale.multiplier")).drop("header", "headers", "scale")
+
+
+def _dealt(lines: DataFrame, statements: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """lines and what _statements() reads, dealt by doc_id to as many tasks as the number of statements asks for."""
+    heads = stored(_statements(statements), "equity-heads")
+    tasks = max(lines.sparkSession.sparkContext.defaultParallelism, -(-heads.count() // STATEMENTS_PER_TASK))
+    return lines.repartition(tasks, "doc_id"), heads.repartition(tasks, "doc_id")
 
 
 def _events(lines: DataFrame, heads: DataFrame) -> DataFrame:
@@ -147,7 +158,7 @@ def _judged(lines: DataFrame, statements: DataFrame) -> DataFrame:
 
     One pass: all windows are over doc_id, so lines are shuffled once.
     """
-    each = _with_total(_blocks(_events(lines, _statements(statements))))
+    each = _with_total(_blocks(_events(*_dealt(lines, statements))))
     page, so_far = Window.partitionBy("doc_id"), Window.partitionBy("doc_id").orderBy("row_no", "nth").rowsBetween(Window.unboundedPreceding, 0)
     # A year that comes again starts a second matrix; nothing from there on counts.
     of_year = Window.partitionBy("doc_id", "block", "fy").orderBy("row_no", "nth")
@@ -196,7 +207,7 @@ def equity_facts(lines: DataFrame, statements: DataFrame) -> DataFrame:
     move = F.array(fact(F.col("movement"), F.lit(None).cast("date"), F.get("figures", F.col("total"))))
     told = each.withColumn("told", F.when(F.col("held"), ends).when(inside, move)).withColumn("of", F.when(F.col("held"), F.col("own")).otherwise(F.col("next")))
     keys = ["doc_id", "company_id", "basis", "col", "fiscal_year", "period_start", "period_end"]
-    rows = told.select("doc_id", "company_id", "basis", F.col("total").alias("col"), "of.fiscal_year", "of.period_start", "of.period_end", F.col("scale.multiplier").alias("multiplier"), F.inline("told")).where("figure is not null")
+    rows = told.select("doc_id", "company_id", "basis", F.col("total").alias("col"), "of.fiscal_year", "of.period_start", "of.period_end", "multiplier", F.inline("told")).where("figure is not null")
     summed = rows.groupBy(*keys, "multiplier", "concept", "instant").agg(F.sum("figure").alias("value"), F.count("*").alias("n_rows"))
     sure = (F.col("n_rows") == 1) | F.col("concept").isin(balances.ADDITIVE)
     return summed.where(sure).withColumn("value", F.col("value") * F.col("multiplier")).drop("multiplier")

@@ -100,3 +100,14 @@ def test_labels(spark):
     ends = {"At 1 January 2024": True, "Balance as at 31.12.2023": True, "31 December 2023": True, "As at January 2023": True, "Net assets at end": True, "Total equity of the Group": True, "Profit for the year 2023": False, "Transfer at cost": False, None: False}
     frame = spark.createDataFrame([(i, x) for i, x in enumerate(ends)], "i int, x string")
     assert [r[0] for r in frame.orderBy("i").select(balances.is_balance(F.col("x"))).collect()] == list(ends.values())
+
+
+def test_tasks_grow_with_statements_and_rows_carry_no_header(spark, monkeypatch):
+    pages = 2 * spark.sparkContext.defaultParallelism
+    heads = spark.createDataFrame([(d, 7, 12, HEADER, WIDE) for d in range(pages)], HEADS)
+    lines = spark.createDataFrame([(d, i, label, None, wide(total)) for d in range(pages) for i, (label, total) in enumerate(TWO_YEARS)], LINES)
+    before = sorted(map(tuple, equity.equity_facts(lines, heads).collect()), key=str)
+    monkeypatch.setattr(equity, "STATEMENTS_PER_TASK", 1)
+    dealt = equity._dealt(lines, heads)
+    assert [df.rdd.getNumPartitions() for df in dealt] == [pages, pages] and not {"header", "headers"} & set(dealt[1].columns)
+    assert before and sorted(map(tuple, equity.equity_facts(lines, heads).collect()), key=str) == before
