@@ -5,7 +5,8 @@ encoding a transduction: a nondeterministic machine guesses the next token while
 close it where the pair (last token, this token) is its own encoding. Subset construction runs lazily, one (state, byte) at a
 time: a state is the set of guesses still alive, each with the tokens that not all of them share yet; what all share is emitted.
 A guess lives for one token's bytes at most, so the lookahead is bounded by the longest token. Transitions are memoised up to a
-bound and then built anew, and so are whole pieces, so a worker's memory doesn't grow with the corpus.
+bound and then built anew, and so are whole pieces, so a worker's memory doesn't grow with the corpus. A worker that Spark keeps for
+later stages drops all of it once it has encoded nothing for IDLE_SECONDS.
 
 Defined results: a null text encodes to an empty list like an empty one; null ids decode to no bytes; an id outside the
 vocabulary, or a null inside a list, is an error; repeated rows give equal results; empty tables give none. A column that is named
@@ -18,6 +19,7 @@ import base64
 import gc
 import marshal
 import re
+import threading
 from functools import lru_cache
 from struct import pack
 
@@ -33,6 +35,8 @@ from finloom.llm.common import small_batches
 MAX_STATES = 250_000
 MAX_PIECES = 200_000
 MAX_PAIRS = 300_000
+#: What a worker holds is dropped when it wasn't used for so long; tasks of one stage follow each other sooner.
+IDLE_SECONDS = 5.0
 #: Texts are split into pieces a part of about this many characters at a time.
 PART_CHARS = 1_000_000
 #: A place where a piece always ends: a letter, one space, a letter.
@@ -306,11 +310,36 @@ def _token_bytes(path: str) -> tuple[bytes, ...]:
     return tuple(out)
 
 
+class _Idle:
+    """Clears the caches once no batch has used them for IDLE_SECONDS. A batch that runs meanwhile has its own hold on what it uses."""
+
+    timer: threading.Timer | None = None
+
+    def __enter__(self) -> None:
+        if self.timer:
+            self.timer.cancel()
+
+    def __exit__(self, *error) -> None:
+        self.timer = threading.Timer(IDLE_SECONDS, self.forget)
+        self.timer.daemon = True
+        self.timer.start()
+
+    @staticmethod
+    def forget() -> None:
+        _encoder.cache_clear()
+        _token_bytes.cache_clear()
+        gc.collect()  # the machine and its moves hold each other
+
+
+_IDLE = _Idle()
+
+
 def _ids(texts: pa.Array, path: str, pattern: str) -> pa.ListArray:
     coder = _encoder(path, pattern)
     gc.disable()  # hundreds of thousands of moves live long; _reset() collects those it gives up
     try:
-        found = [coder.encode(t.as_py() or "") for t in texts]
+        with _IDLE:
+            found = [coder.encode(t.as_py() or "") for t in texts]
     finally:
         gc.enable()
     offsets = np.zeros(len(found) + 1, np.int32)
@@ -321,12 +350,13 @@ def _ids(texts: pa.Array, path: str, pattern: str) -> pa.ListArray:
 def _texts(lists: pa.Array, path: str) -> pa.Array:
     token = _token_bytes(path).__getitem__
     out = []
-    for one in lists:
-        stream, parts, values = Utf8Stream(), [], one.values.to_numpy() if one.is_valid else np.zeros(0, np.int32)
-        for at in range(0, len(values), 65_536):
-            parts.append(stream.feed(b"".join(map(token, values[at : at + 65_536].tolist()))))
-        parts.append(stream.feed(b"", last=True))
-        out.append("".join(parts))
+    with _IDLE:
+        for one in lists:
+            stream, parts, values = Utf8Stream(), [], one.values.to_numpy() if one.is_valid else np.zeros(0, np.int32)
+            for at in range(0, len(values), 65_536):
+                parts.append(stream.feed(b"".join(map(token, values[at : at + 65_536].tolist()))))
+            parts.append(stream.feed(b"", last=True))
+            out.append("".join(parts))
     return pa.array(out, pa.string())
 
 

@@ -4,7 +4,9 @@ import hashlib
 import itertools
 import math
 import random
+import time
 import tracemalloc
+import weakref
 import zlib
 
 import numpy as np
@@ -46,6 +48,20 @@ def test_bpe_round_trip_is_encode_and_decode_by_one_worker(spark, reference, cap
     assert bpe.round_trip(docs.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
 
 
+def test_bpe_idle_workers_hold_no_tables(monkeypatch):
+    monkeypatch.setattr(bpe, "IDLE_SECONDS", 0.1)
+    texts = pa.array(["some words, and some more", None, "naïve 日本語"])
+    first = bpe._ids(texts, PATH, public_tokenizers.PATTERN)
+    held = weakref.ref(bpe._encoder(PATH, public_tokenizers.PATTERN))
+    assert bpe._texts(first, PATH).to_pylist() == ["some words, and some more", "", "naïve 日本語"]
+    assert held() is not None and bpe._token_bytes.cache_info().currsize
+    ends = time.monotonic() + 20
+    while time.monotonic() < ends and (held() is not None or bpe._token_bytes.cache_info().currsize):
+        time.sleep(0.05)
+    assert held() is None and not bpe._token_bytes.cache_info().currsize
+    assert bpe._ids(texts, PATH, public_tokenizers.PATTERN).equals(first)
+
+
 def test_bpe_states_are_few_bytes(reference):
     machine = bpe.Transducer(bpe.read_ranks(PATH))
     words = [random.Random(i).randbytes(6).hex() for i in range(300)]
